@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-MODULES: tuple = ()
+from evspark.sources import csv_rows
+
+MODULES: tuple = (csv_rows,)
 
 
 def queries() -> dict:
