@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evspark.llm import exact, groups
+from evspark.llm import exact, groups, survivors
 
-MODULES = (groups, exact)
+MODULES = (groups, exact, survivors)
 
 
 def queries() -> dict:
