@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evspark.llm import exact, groups, survivors
+from evspark.llm import exact, groups, leakage, survivors
 
-MODULES = (groups, exact, survivors)
+MODULES = (groups, exact, survivors, leakage)
 
 
 def queries() -> dict:
