@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evspark.llm import exact, groups, leakage, survivors
+from evspark.llm import exact, groups, leakage, residue, survivors
 
-MODULES = (groups, exact, survivors, leakage)
+MODULES = (groups, exact, survivors, leakage, residue)
 
 
 def queries() -> dict:
