@@ -5,7 +5,7 @@ query against it by block-max WAND, which returns all items that score above the
 by aligning the item with the passage.
 
 The threshold of an item is RETAINED of the smallest BM25 score that any stretch of SHARE of it has against the item,
-so that a passage with a whole stretch, or one with up to half of its weight changed, is always retrieved. Weights
+so that a passage with a whole stretch, or one with up to two fifths of its weight changed, is always retrieved. Weights
 are stored divided by their item's threshold: a document is retrieved when it reaches 1.
 
 The held-out items are a bounded set. They are indexed in shards of at most SHARD_CHARS characters; each shard is one
@@ -31,32 +31,35 @@ from evspark.runtime import table
 
 #: Part of an item that makes a leak (fixed by the problem).
 SHARE = 0.4
-RETAINED = 0.5
-PASSIVE = 0.25
+RETAINED = 0.6
+PASSIVE = 0.4
 #: Item words in a row that may be changed or lost inside a stretch, and the part of a stretch's weight that must be
 #: found.
 LOST_IN_A_ROW, FOUND = 2, 0.6
 K1, B = 1.2, 0.75
-BLOCK = 16
+BLOCK = 8
 SHARD_CHARS = 8_000_000
 #: Words in a passage; passages of longer texts overlap by half.
 PASSAGE = 20_000
 
-_MARKUP = re.compile(r"<[^<>\n]{1,80}>|&#?\w{1,8};|[­​‌‍﻿]")
+_MARKUP = re.compile(r"<[^<>\n]{1,80}>|&#?\w{1,8};")
 _HYPHENATED = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t>*#|]*(?=[^\W\d_])")
-_WORD = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*")
+_INVISIBLE = ("\u00ad", "\u200b", "\u200c", "\u200d", "\ufeff")
+_WORD = re.compile(r"\d+(?:[.,]\d+)+|[^\W_]+")
 
 
 def words(text: str | None) -> list[str]:
-    """Words without layout, markup, letter case and punctuation; a number is one word, and a word cut at the end of
-    a line is whole again."""
+    """Words without layout, markup, letter case and punctuation; a number is one word, and a word cut at the end of a line is whole again."""
     if not text:
         return []
+    if "<" in text or "&" in text:
+        text = _MARKUP.sub(" ", text)
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
-    if "<" in text or "&" in text or not text.isascii():
-        text = _MARKUP.sub(lambda m: "" if len(m[0]) == 1 else " ", text)
-    if "-" in text:
+        for c in _INVISIBLE:
+            if c in text:
+                text = text.replace(c, "")
+    if "-\n" in text or "-\r" in text or "- \n" in text or "-\t" in text:
         text = _HYPHENATED.sub("", text)
     return _WORD.findall(text.lower())
 
@@ -68,6 +71,7 @@ class Index:
     idf: dict[str, float]
     #: term -> (item numbers in order, normed weights, greatest weight of each block, greatest weight)
     postings: dict[str, tuple[list[int], list[float], list[float], float]]
+    terms: frozenset[str]
 
 
 def build(items: list[tuple[int, str]]) -> Index:
@@ -88,7 +92,7 @@ def build(items: list[tuple[int, str]]) -> Index:
         weights = [v for _, v in entries]
         blocks = [max(weights[s : s + BLOCK]) for s in range(0, len(weights), BLOCK)]
         postings[t] = ([x for x, _ in entries], weights, blocks, max(weights))
-    return Index([i for i, _ in pairs], [w for _, w in pairs], idf, postings)
+    return Index([i for i, _ in pairs], [w for _, w in pairs], idf, postings, frozenset(postings))
 
 
 def retrieve(index: Index, terms: set[str]) -> list[int]:
@@ -153,40 +157,38 @@ def retrieve(index: Index, terms: set[str]) -> list[int]:
             c[0] = c[3][j] if j < len(c[3]) else end
 
 
-def stretch(item: list[str], where: dict[str, np.ndarray], idf: dict[str, float]) -> float:
+def stretch(item: list[str], where: dict[str, list[int]], idf: dict[str, float]) -> float:
     """The part of the item covered by its best stretch: item words found in the item's order, text between them
     allowed, at most LOST_IN_A_ROW words in a row lost.
 
     A local alignment: found words add their weight, lost ones take it away, so that a frame of common words around
-    other names and numbers does not add up.
+    other names and numbers does not add up. ``where`` has the places of each word, in order.
     """
-    none = np.empty(0, dtype=np.int64)
-    rows: list[tuple] = []  # of each item word: positions, best score up to there, where that chain began, matched weight
-    cost = np.concatenate(([0.0], np.cumsum([idf.get(t, 0.0) for t in item])))
+    none: tuple = ([], [])
+    rows = [none] * len(item)  # of each item word: its places, and the best chain that ends at or before each place
+    cost = [0.0]
+    for t in item:
+        cost.append(cost[-1] + idf[t])
     best = 0
     for p, t in enumerate(item):
-        qs = where.get(t, none)
+        places = where.get(t)
+        if not places:
+            continue
         w = idf[t]
-        score, begin, found = np.full(len(qs), w), np.full(len(qs), p), np.full(len(qs), w)
-        if len(qs):
-            for back in range(1, LOST_IN_A_ROW + 2):
-                if p - back < 0 or not len(rows[p - back][0]):
-                    continue
-                pq, top, at, gb, fb = rows[p - back]
-                k = np.searchsorted(pq, qs) - 1
-                ok = k >= 0
-                from_ = at[np.maximum(k, 0)]
-                value = np.where(ok, top[from_] + w - (cost[p] - cost[p - back + 1]), -1.0)
-                take = value > score
-                score, begin, found = np.where(take, value, score), np.where(take, gb[from_], begin), np.where(take, fb[from_] + w, found)
-            reach = p + 1 - begin
-            held = found >= FOUND * (cost[p + 1] - cost[begin])
-            if held.any():
-                best = max(best, int(reach[held].max()))
-            order = np.maximum.accumulate(np.where(score >= np.maximum.accumulate(score), np.arange(len(qs)), 0))
-            rows.append((qs, score, order, begin, found))
-        else:
-            rows.append((none, none, none, none, none))
+        before = [(*rows[q], cost[p] - cost[q + 1]) for q in range(max(0, p - LOST_IN_A_ROW - 1), p) if rows[q][0]]
+        tops, top = [], (-1.0, p, 0.0)  # a chain: score, its first item word, weight found
+        for place in places:
+            chain = (w, p, w)
+            for earlier, chains, lost in before:
+                k = bisect_left(earlier, place)
+                if k and (c := chains[k - 1])[0] - lost > chain[0] - w:
+                    chain = (c[0] - lost + w, c[1], c[2] + w)
+            if p + 1 - chain[1] > best and chain[2] >= FOUND * (cost[p + 1] - cost[chain[1]]):
+                best = p + 1 - chain[1]
+            if chain[0] > top[0]:
+                top = chain
+            tops.append(top)
+        rows[p] = (places, tops)
     return best / len(item)
 
 
@@ -212,7 +214,7 @@ def held_items(index: Index, text: str | None, share: float = SHARE) -> list[tup
     tokens = words(text)
     for begin in range(0, max(1, len(tokens) - PASSAGE // 2), PASSAGE // 2):
         passage = tokens[begin : begin + PASSAGE]
-        terms = index.postings.keys() & passage
+        terms = index.terms.intersection(passage)
         hits = [x for x in retrieve(index, terms) if may_hold(index.items[x], terms, index.idf, share)]
         if not hits:
             continue
@@ -220,9 +222,8 @@ def held_items(index: Index, text: str | None, share: float = SHARE) -> list[tup
         for q, t in enumerate(passage):
             if t in terms:
                 where[t].append(q)
-        places = {t: np.array(q) for t, q in where.items()}
         for x in hits:
-            if (part := stretch(index.items[x], places, index.idf)) >= share:
+            if (part := stretch(index.items[x], where, index.idf)) >= share:
                 found[index.ids[x]] = max(part, found.get(index.ids[x], 0.0))
     return sorted(found.items())
 
