@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evspark.llm import exact, groups, leakage, residue, responses, survivors
+from evspark.llm import encoding, exact, groups, leakage, residue, responses, survivors
 
-MODULES = (groups, exact, survivors, leakage, residue, responses)
+MODULES = (encoding, groups, exact, survivors, leakage, residue, responses)
 
 
 def queries() -> dict:
