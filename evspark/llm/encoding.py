@@ -35,7 +35,16 @@ CUT_COST, KEEP_COST, GAIN = 4.0, 0.5, 0.7
 
 #: Code pages a text may have been decoded with by mistake, and those of one byte a letter it may really have had.
 WRONG = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "mac_roman", "cp437", "cp850", "cp852", "cp866", "koi8-r", "iso8859-2", "iso8859-15")
-RIGHT = ("cp1252", "cp1250", "cp1251", "mac_roman", "cp850", "koi8-r", "cp866", "iso8859-5")
+#: The latter with the pages they are known to be taken for.
+RIGHT = {
+    "cp1252": ("cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "mac_roman", "cp437", "cp850", "koi8-r"),
+    "cp1250": ("cp1252", "latin-1", "cp1251", "mac_roman", "cp852"),
+    "cp1251": ("cp1252", "latin-1", "mac_roman", "koi8-r", "cp866"),
+    "koi8-r": ("cp1252", "latin-1", "cp1251"),
+    "cp866": ("cp1252", "latin-1", "cp1251"),
+    "mac_roman": ("cp1252", "latin-1"),
+    "cp850": ("cp1252", "latin-1"),
+}
 
 
 @lru_cache(maxsize=None)
@@ -138,13 +147,13 @@ def readings(word: str, letters: Letters) -> dict[str, tuple[bool, bool]]:
         if 0xC2 <= lead <= 0xDF:
             out.setdefault(viterbi(word[:-1], page, letters)[0] + bytes([lead, 0xA0]).decode(), (True, False))
     own = [c for c in word if c >= "\x80"]
-    for wrong in WRONG:
-        codes = _bytes_of(wrong)
-        if all(c in codes for c in own):
-            for right in RIGHT:
-                if right != wrong:
-                    chars = _chars_of(right)
-                    c = "".join(x if x < "\x80" else chars[codes[x]] for x in word)
+    for right, pages in RIGHT.items():
+        chars = _chars_of(right)
+        for wrong in pages:
+            codes = _bytes_of(wrong)
+            if all(c in codes for c in own):
+                c = "".join(x if x < "\x80" else chars[codes[x]] for x in word)
+                if not (c[-1] == "\xa0" and word[-1].isalpha()):  # a cut word, not one with a space behind
                     out.setdefault(c, (False, True))
     return {c: x for c, x in out.items() if c != word and LOST not in c and plausible(c)}
 
