@@ -57,9 +57,8 @@ def restore(history: list[DataFrame]) -> DataFrame:
             labels = pointers.select("id", F.col("parent").alias("root"))
             continue
         known = labels.select(F.col("id").alias("parent"), "root")
-        own = lookup_join(pointers, known, "parent", pointers.groupBy("parent").agg(F.count("*").alias("n"))).select(
-            "id", F.coalesce("root", "parent").alias("root")
-        )
+        # a parent with very many children is a skewed left side, which adaptive execution splits
+        own = pointers.join(known, "parent", "left").select("id", F.coalesce("root", "parent").alias("root"))
         # a vertex may move again in a later round: its later label is the right one
         labels = checkpoint(own.join(labels.select("id"), "id", "left_anti").unionByName(labels))
     assert labels is not None
