@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from evspark.llm import encoding, exact, groups, leakage, names, residue, responses, survivors
+from evspark.llm import encoding, exact, groups, leakage, names, packing, residue, responses, survivors
 
-MODULES = (encoding, names, groups, exact, survivors, leakage, names, residue, responses)
+MODULES = (encoding, names, groups, exact, survivors, leakage, names, packing, residue, responses)
 
 
 def queries() -> dict:
