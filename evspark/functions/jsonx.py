@@ -9,6 +9,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _pairs(pairs: list) -> dict:
@@ -53,7 +54,7 @@ def same_value(a, b) -> bool:
     return float(a) == float(b) if number(a) and number(b) else canonical(a) == canonical(b)
 
 
-@F.pandas_udf("ok boolean, canonical string, error string")
+@F.pandas_udf(T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("canonical", T.StringType()), T.StructField("error", T.StringType())]))
 def _strict_udf(texts: pd.Series) -> pd.DataFrame:
     rows = []
     for text in texts:

@@ -131,19 +131,23 @@ def first_snippet(column: Column, term: str, around: int = 60) -> Column:
     return F.when(at > 0, F.substring(column, start, at - start + len(term) + around))
 
 
-def word_ngrams(column: Column, n: int = 4) -> Column:
-    """Runs of n words of a text (FN-22)."""
-    w = F.filter(F.split(F.lower(column), r"[^\p{L}\p{N}]+"), lambda x: x != "")
-    return F.when(
-        F.size(w) >= n,
-        F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " ")),
-    ).otherwise(F.array().cast("array<string>"))
+def ngrams(text: str | None, n: int = 4) -> set[tuple[str, ...]]:
+    w = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
 def quote_share(quote: Column, source: Column, n: int = 4) -> Column:
-    """The part of the quote's distinct n-word runs that occur in the source; 0 if it has none."""
-    own = F.array_distinct(word_ngrams(quote, n))
-    return F.coalesce(F.try_divide(F.size(F.array_intersect(own, word_ngrams(source, n))), F.size(own)), F.lit(0.0))
+    """The part of the quote's distinct n-word runs that occur in the source (FN-22); 0 if it has none."""
+
+    @F.pandas_udf(T.DoubleType())
+    def share(quotes: pd.Series, sources: pd.Series) -> pd.Series:
+        out = []
+        for q, s in zip(quotes, sources, strict=True):
+            own = ngrams(q, n)
+            out.append(len(own & ngrams(s, n)) / len(own) if own else 0.0)
+        return pd.Series(out, dtype="float64")
+
+    return share(quote, source)
 
 
 def sequence_ratio_bound(a: Column, b: Column) -> Column:

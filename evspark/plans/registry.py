@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from evspark.plans import core
 from evspark.sources import csv_rows
 
-MODULES: tuple = (csv_rows,)
+MODULES: tuple = (core, csv_rows)
 
 
 def queries() -> dict:
