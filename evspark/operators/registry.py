@@ -1,16 +1,18 @@
 """Stable row ids for identities (section 2.13): versioned, never reused, allocated in request order (WIN-8, JN-14).
 
 A registry is a table (row_uid, identity MAP<STRING,STRING>, status). New versions are new tables; allocation numbers
-only the identities that are new, so the one ordered window is as large as the request, not as the registry.
+only the identities that are new, by sorted ranges.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evspark.runtime import numbered
+
 NAMESPACE = r"[A-Z][A-Z0-9-]{0,31}"
 
 
@@ -70,9 +72,7 @@ def register(requested: DataFrame, registry: DataFrame, fields: list[str], names
     own = F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f).cast("string"))])
     known = registry.select(identity_key(F.col("identity")).alias("_key"))
     new = requested.select(own.alias("identity"), order).withColumn("_key", identity_key(F.col("identity"))).join(known, "_key", "left_anti")
-    start = next_id(registry)
-    number = F.row_number().over(Window.orderBy(order)) + F.lit(start - 1)
-    made = new.select(F.format_string(f"{namespace}-R%06d", number).alias("row_uid"), "identity", F.lit("active").alias("status"))
+    made = numbered(new, "_n", order, start=next_id(registry)).select(F.format_string(f"{namespace}-R%06d", "_n").alias("row_uid"), "identity", F.lit("active").alias("status"))
     return registry.select("row_uid", "identity", "status").unionByName(made)
 
 

@@ -6,14 +6,14 @@ operator against a model instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evspark.functions import stats, text
 from evspark.functions.jsonx import strict_json
 from evspark.operators import audit, effects, evidence, linkage, lookup, provenance, registry, screening
 from evspark.operators.components import components
-from evspark.runtime import table
+from evspark.runtime import numbered, table
 from evspark.sources import exports
 
 L, D = "long", "double"
@@ -32,17 +32,21 @@ def query(sql: str | None = None):
 
 
 def _rec(spark: SparkSession, d: str) -> DataFrame:
-    """Records as the linkage takes them. Their order is that of their ids, numbered inside ranges."""
+    """Records as the linkage takes them, yet without their order."""
     r = table(spark, d, "records")
-    ord_ = F.row_number().over(Window.orderBy("record_id")).cast(L)
     missing = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     return r.select(
-        ord_.alias("ord"), "record_id", F.lower(F.trim("source")).alias("source"), F.lit("").alias("input_file"),
+        "record_id", F.lower(F.trim("source")).alias("source"), F.lit("").alias("input_file"),
         *map(missing, ("pmid", "doi", "title", "abstract", "year", "first_author", "journal", "language")),
         F.filter(F.transform(F.split(F.coalesce("doc_types", F.lit("")), ";"), F.trim), lambda t: t != "").alias("doc_types"),
     )
 
 
+def _ordered(spark: SparkSession, d: str) -> DataFrame:
+    """In the order of their ids."""
+    return numbered(_rec(spark, d), "ord", "record_id")
+
+
 #: The same columns in SQL. FOLD is exact for what small letters and accents of Latin scripts give.
 _REC = """rec AS (SELECT record_id, lower(trim(source)) AS source, coalesce(pmid, '') AS pmid, coalesce(doi, '') AS doi, coalesce(title, '') AS title,
   coalesce(abstract, '') AS abstract, coalesce(year, '') AS year, coalesce(first_author, '') AS first_author FROM records)"""
@@ -168,14 +172,14 @@ def m3_pairs(spark, d):
     return k.join(k.withColumnRenamed("record_id", "id_b"), ["nt", "year"]).where("record_id < id_b").select(F.col("record_id").alias("id_a"), "id_b")
 
 
-@query(f"""WITH {_REC}, k AS (SELECT *, {_KEY.format(c='title')} AS nt FROM rec)
-SELECT least(a.record_id, b.record_id) AS id_a, greatest(a.record_id, b.record_id) AS id_b FROM k a JOIN k b ON a.nt = b.nt AND CAST(b.year AS BIGINT) - CAST(a.year AS BIGINT) = 1
-WHERE len(string_split(a.nt, ' ')) >= 6 AND regexp_full_match(a.year, '[0-9]{{1,9}}') AND regexp_full_match(b.year, '[0-9]{{1,9}}')""")
+@query(f"""WITH k AS (SELECT doc_id, {_KEY.format(c="split_part(coalesce(text, ''), chr(10), 1)")} AS nt, 2000 + n_chars % 20 AS y FROM documents)
+SELECT least(a.doc_id, b.doc_id) AS id_a, greatest(a.doc_id, b.doc_id) AS id_b FROM k a JOIN k b ON a.nt = b.nt AND b.y - a.y = 1 WHERE len(string_split(a.nt, ' ')) >= 6""")
 def r1_pairs(spark, d):
-    r = _rec(spark, d).withColumn("ntitle", _ascii_key(F.col("title"))).withColumn("long", text.count_words(F.col("ntitle")) >= 6)
-    ids = r.select(F.col("ord").alias("o"), "record_id")
-    pairs = linkage.years_apart(r).join(ids.toDF("ord_a", "x"), "ord_a").join(ids.toDF("ord_b", "y"), "ord_b")
-    return pairs.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    docs = table(spark, d, "documents").select(
+        F.col("doc_id").alias("ord"), _ascii_key(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)).alias("ntitle"), (F.col("n_chars") % 20 + 2000).cast("string").alias("year")
+    )
+    pairs = linkage.years_apart(docs.withColumn("long", text.count_words(F.col("ntitle")) >= 6))
+    return pairs.select(F.col("ord_a").alias("id_a"), F.col("ord_b").alias("id_b"))
 
 
 @query(f"""WITH {_REC}, k AS (SELECT *, {_KEY.format(c='title')} AS nt, {_KEY.format(c='first_author')} AS na FROM rec)
@@ -189,18 +193,18 @@ def r2_short_pairs(spark, d):
 
 @query()
 def dedup_ledger(spark, d):
-    out = linkage.link(_rec(spark, d), linkage.Rules(source_precedence=("pubmed", "wos"), listed={"default": ("Editorial", "Letter")}, neutral={"default": ("Journal Article",)}))
+    out = linkage.link(_ordered(spark, d), linkage.Rules(source_precedence=("pubmed", "wos"), listed={"default": ("Editorial", "Letter")}, neutral={"default": ("Journal Article",)}))
     return out.ledger
 
 
 @query()
 def dedup_counts(spark, d):
-    return linkage.link(_rec(spark, d), linkage.Rules()).counts
+    return linkage.link(_ordered(spark, d), linkage.Rules()).counts
 
 
 @query()
 def r3_similar(spark, d):
-    r = _rec(spark, d).select("ord", text.norm_text(F.col("title")).alias("ntitle"), text.norm_text(F.col("first_author")).alias("nauthor"), "year", F.col("ord").alias("root"))
+    r = _ordered(spark, d).select("ord", text.norm_text(F.col("title")).alias("ntitle"), text.norm_text(F.col("first_author")).alias("nauthor"), "year", F.col("ord").alias("root"))
     found = linkage.similar_titles(r.where("nauthor <> '' AND year <> '' AND ntitle <> ''"), 0.9, ["nauthor", "year"])
     return found.select("ord_a", "ord_b", F.round("ratio", 3).alias("similarity"))
 
@@ -311,10 +315,10 @@ def ft_input(spark, d):
     return screening.full_text_input(r, decided, r.select("record_id").limit(0), gone).select("record_id")
 
 
-@query("""WITH a AS (SELECT DISTINCT record_id FROM records), b AS (SELECT DISTINCT trim(record_id) AS record_id FROM ledger WHERE record_id IS NOT NULL)
+@query("""WITH a AS (SELECT DISTINCT record_id FROM records), b AS (SELECT DISTINCT trim(record_id) AS record_id FROM ledger WHERE record_id IS NOT NULL AND status = 'kept')
 SELECT record_id, 'undecided' AS side FROM a WHERE record_id NOT IN (SELECT record_id FROM b) UNION ALL SELECT record_id, 'unknown' FROM b WHERE record_id NOT IN (SELECT record_id FROM a)""")
 def coverage_diff(spark, d):
-    return screening.coverage_gaps(table(spark, d, "records"), table(spark, d, "ledger").where("record_id IS NOT NULL").select(F.trim("record_id").alias("record_id")))
+    return screening.coverage_gaps(table(spark, d, "records"), table(spark, d, "ledger").where("record_id IS NOT NULL AND status = 'kept'").select(F.trim("record_id").alias("record_id")))
 
 
 # ---- audits
@@ -358,10 +362,10 @@ def attempts_to_valid(spark, d):
     return audit.resolved(_log(spark, d)).withColumn("accepted", F.coalesce("accepted", F.lit(0)).cast(L))
 
 
-@query("""WITH a AS (SELECT DISTINCT request_id FROM requests), b AS (SELECT DISTINCT request_id FROM responses)
+@query("""WITH a AS (SELECT DISTINCT request_id FROM requests), b AS (SELECT DISTINCT request_id FROM responses WHERE attempt > 1)
 SELECT request_id, 'unused request' AS problem FROM a WHERE request_id NOT IN (SELECT request_id FROM b) UNION ALL SELECT request_id, 'unknown request' FROM b WHERE request_id NOT IN (SELECT request_id FROM a)""")
 def request_gaps(spark, d):
-    return audit.request_gaps(table(spark, d, "requests"), table(spark, d, "responses"))
+    return audit.request_gaps(table(spark, d, "requests"), table(spark, d, "responses").where("attempt > 1"))
 
 
 @query("""SELECT request_id, sha256(request) = request_sha256 AS sha_ok FROM requests""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys
@@ -60,3 +60,18 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, counts: DataFrame,
     cold_side = marked.where(F.col("_hot").isNull()).drop("_hot")
     hot_lookup = lookup.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left_semi")
     return cold_side.join(lookup, key, how).unionByName(hot_side.join(F.broadcast(hot_lookup), key, how))
+
+
+def numbered(df: DataFrame, name: str, *order: str, start: int = 1) -> DataFrame:
+    """Rows with their number in an order, without sorting them in one task.
+
+    Ranges are sorted apart and written to a checkpoint, so that they are the same when they are counted and when they
+    are numbered; the offsets come from one row a range.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = checkpoint(sorted_.withColumns({"_range": F.spark_partition_id(), "_place": place}))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")  # one row a range
+    offsets = sizes.select("_range", before.alias("_before"))
+    return rows.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_before") + F.col("_place") + start).drop("_range", "_place", "_before")
