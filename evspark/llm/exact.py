@@ -21,8 +21,10 @@ BLOCK = 500
 
 
 def stripped(column: Column) -> Column:
-    """Text without formatting and letter case. Upper case first: it makes SS of a sharp s, as capitals are typed."""
-    return F.lower(F.upper(F.regexp_replace(F.coalesce(column, F.lit("")), FORMATTING, "")))
+    """Text without formatting and letter case. A sharp s is ss, which is how capitals have it, and letters with two
+    small forms have one."""
+    small = F.lower(F.regexp_replace(F.coalesce(column, F.lit("")), FORMATTING, ""))
+    return F.replace(F.translate(small, "ςſı", "σsi"), F.lit("ß"), F.lit("ss"))
 
 
 def title_and_doi(title: Column, doi: Column) -> tuple[Column, Column]:
@@ -100,8 +102,8 @@ s AS (
     OR (regexp_replace(t, '[\s\p{Z}\p{P}\p{C}$+<=>^`|~]+', '', 'g') = '' AND regexp_replace(d, '[\s\p{Z}\p{P}\p{C}$+<=>^`|~]+', '', 'g') <> '')) AS sw FROM k),
 w AS (SELECT record_id, CASE WHEN sw THEN d ELSE t END AS t, CASE WHEN sw THEN t ELSE d END AS d FROM s),
 n AS (
-  SELECT record_id, replace(lower(upper(regexp_replace(t, '[\s\p{Z}\p{P}\p{C}$+<=>^`|~]+', '', 'g'))), 'ß', 'ss') AS t,
-    replace(lower(upper(regexp_replace(CASE WHEN regexp_matches(d, '10\.\d{4,9}/') THEN regexp_extract(d, '(?s)10\.\d{4,9}/.*') ELSE d END,
+  SELECT record_id, replace(lower((regexp_replace(t, '[\s\p{Z}\p{P}\p{C}$+<=>^`|~]+', '', 'g'))), 'ß', 'ss') AS t,
+    replace(lower((regexp_replace(CASE WHEN regexp_matches(d, '10\.\d{4,9}/') THEN regexp_extract(d, '(?s)10\.\d{4,9}/.*') ELSE d END,
       '[\s\p{Z}\p{P}\p{C}$+<=>^`|~]+', '', 'g'))), 'ß', 'ss') AS d FROM w)
 """
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.runtime import table
+from evspark.runtime import checkpoint, table
 
 #: Part of an item that makes a leak (fixed by the problem).
 SHARE = 0.4
@@ -74,14 +74,27 @@ class Index:
     terms: frozenset[str]
 
 
-def build(items: list[tuple[int, str]]) -> Index:
+@dataclass
+class Statistics:
+    """Of all items, whatever the shard: number, mean length in words, and number of items of each term."""
+
+    n: int
+    mean: float
+    df: dict[str, int]
+
+    @classmethod
+    def of(cls, items: list[tuple[int, str]]) -> Statistics:
+        own = [w for _, t in items if (w := words(t))]
+        return cls(len(own), sum(map(len, own)) / max(1, len(own)), Counter(t for w in own for t in set(w)))
+
+
+def build(items: list[tuple[int, str]], known: Statistics | None = None) -> Index:
+    known = known or Statistics.of(items)
     pairs = [(i, w) for i, t in sorted(items) if (w := words(t))]
-    df = Counter(t for _, w in pairs for t in set(w))
-    n, mean = len(pairs), sum(len(w) for _, w in pairs) / max(1, len(pairs))
-    idf = {t: math.log(1 + (n - k + 0.5) / (k + 0.5)) for t, k in df.items()}
+    idf = {t: math.log(1 + (known.n - known.df[t] + 0.5) / (known.df[t] + 0.5)) for _, w in pairs for t in w}
     lists: dict[str, list[tuple[int, float]]] = defaultdict(list)
     for x, (_, w) in enumerate(pairs):
-        tf, norm = Counter(w), K1 * (1 - B + B * len(w) / mean)
+        tf, norm = Counter(w), K1 * (1 - B + B * len(w) / known.mean)
         weight = {t: idf[t] * k * (K1 + 1) / (k + norm) for t, k in tf.items()}
         size = max(1, math.ceil(SHARE * len(w)))
         least = min(sum(weight[t] for t in set(w[s : s + size])) for s in range(len(w) - size + 1))
@@ -228,6 +241,16 @@ def held_items(index: Index, text: str | None, share: float = SHARE) -> list[tup
     return sorted(found.items())
 
 
+def _terms(batches):
+    """(shard, term, NULL) for each term of an item, and (shard, NULL, words) for the item itself."""
+    for pdf in batches:
+        rows = []
+        for shard, text in zip(pdf["shard"], pdf["text"], strict=True):
+            if w := words(text):
+                rows += [(shard, t, None) for t in sorted(set(w))] + [(shard, None, len(w))]
+        yield pd.DataFrame(rows, columns=["shard", "term", "size"]).astype({"size": "Int64"})
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, part): every document and test item of which it holds at least ``share``.
 
@@ -238,12 +261,19 @@ def leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = math.ceil(chars / SHARD_CHARS)
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(max(1, shards))).cast("int"))
     schema = "doc_id long, item_id long, part double"
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text IS NOT NULL")
+    if shards > 1:  # statistics of all items, of which each shard takes those of its own terms
+        terms = items.mapInPandas(_terms, "shard int, term string, size long")
+        of = terms.where("term IS NULL").agg(F.count("*").alias("n"), F.avg("size").alias("mean")).first()
+        df = terms.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("df"))
+        own_df = checkpoint(terms.where("term IS NOT NULL").select("shard", "term").distinct().join(df, "term"))
     out = None
     for shard in range(shards):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard).collect()  # bounded by SHARD_CHARS
-        index = spark.sparkContext.broadcast(build([(r.item_id, r.text) for r in own]))
+        own = items.where(F.col("shard") == shard).collect()  # bounded by SHARD_CHARS
+        known = Statistics(of.n, of.mean, {r.term: r.df for r in own_df.where(F.col("shard") == shard).collect()}) if shards > 1 else None
+        index = spark.sparkContext.broadcast(build([(r.item_id, r.text) for r in own], known))
 
         def search(batches, index=index):
             known = index.value

@@ -248,10 +248,10 @@ def _neighbours(batches):
             if before is not None:
                 out.append((*before, before[2] != row[2] and row[2].startswith(before[2]), None))
             before = row
-        yield pd.DataFrame(out, columns=["request_id", "attempt", "raw_text", "shortened", "first"]).astype({"attempt": "int64", "shortened": "boolean"})
+        yield pd.DataFrame(out, columns=["request_id", "attempt", "raw_text", "shortened", "first"]).astype({"attempt": "Int64", "shortened": "boolean"})
     if before is not None:
         yield pd.DataFrame([(*before, None, first)], columns=["request_id", "attempt", "raw_text", "shortened", "first"]).astype(
-            {"attempt": "int64", "shortened": "boolean"}
+            {"attempt": "Int64", "shortened": "boolean"}
         )
 
 
