@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.functions import stats, text
+from evspark.functions import sqlfunctions, stats, text
 from evspark.functions.jsonx import strict_json
 from evspark.operators import audit, effects, evidence, linkage, lookup, provenance, registry, screening
 from evspark.operators.components import components
 from evspark.runtime import numbered, table
 from evspark.sources import exports
+from evspark.streaming import attempts
 
 L, D = "long", "double"
 QUERIES: dict = {}
@@ -225,11 +226,11 @@ def ledger_balance(spark, d):
     return out.withColumn("balanced", F.col("identified") == F.col("duplicates") + F.col("removed") + F.col("passed"))
 
 
-@query("""WITH RECURSIVE l AS (SELECT DISTINCT l_orderkey + 1000000000 AS u, l_partkey AS v FROM lineitem WHERE l_quantity > 49),
+@query("""WITH RECURSIVE l AS (SELECT trim(record_id_a) AS u, trim(record_id_b) AS v FROM review_pairs WHERE trim(record_id_a) <> trim(record_id_b)),
 e AS (SELECT u, v FROM l UNION SELECT v, u FROM l), walk AS (SELECT u AS id, u AS seen FROM e UNION SELECT w.id, e.v FROM walk w JOIN e ON w.seen = e.u)
 SELECT id, min(seen) AS first_id FROM walk GROUP BY id""")
 def component_labels(spark, d):
-    links = table(spark, d, "lineitem").where("l_quantity > 49").select((F.col("l_orderkey") + 1000000000).alias("u"), F.col("l_partkey").alias("v"))
+    links = table(spark, d, "review_pairs").select(F.trim("record_id_a").alias("u"), F.trim("record_id_b").alias("v"))
     return components(links).select("id", F.col("group").alias("first_id"))
 
 
@@ -403,20 +404,20 @@ def challenge_routing(spark, d):
 
 def _registered(spark, d):
     s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    s = s.select(F.col("s_name").alias("study"), F.col("n_name").alias("arm"), F.col("s_suppkey").alias("k"))
+    s = s.select(F.col("s_name").alias("study"), F.col("n_name").alias("arm"), F.col("s_suppkey").alias("k"), "s_acctbal")
     empty = s.sparkSession.createDataFrame([], "row_uid string, identity map<string,string>, status string")
-    first = registry.register(s.where("k % 3 = 0"), empty, ["study", "arm"], "TEST", "k")
+    first = registry.register(s.where("s_acctbal >= 0"), empty, ["study", "arm"], "TEST", "k")
     return s, first
 
 
-@query("""SELECT 'TEST-R' || lpad(CAST(row_number() OVER (ORDER BY s_suppkey % 3 <> 0, s_suppkey) AS VARCHAR), 6, '0') AS row_uid, s_name AS study FROM supplier""")
+@query("""SELECT 'TEST-R' || lpad(CAST(row_number() OVER (ORDER BY s_acctbal < 0, s_suppkey) AS VARCHAR), 6, '0') AS row_uid, s_name AS study FROM supplier""")
 def registry_alloc(spark, d):
     s, first = _registered(spark, d)
     second = registry.register(s, first, ["study", "arm"], "TEST", "k")
     return second.select("row_uid", F.col("identity")["study"].alias("study"))
 
 
-@query("""WITH r AS (SELECT s_suppkey, s_name, 'TEST-R' || lpad(CAST(row_number() OVER (ORDER BY s_suppkey) AS VARCHAR), 6, '0') AS row_uid FROM supplier WHERE s_suppkey % 3 = 0)
+@query("""WITH r AS (SELECT s_suppkey, s_name, 'TEST-R' || lpad(CAST(row_number() OVER (ORDER BY s_suppkey) AS VARCHAR), 6, '0') AS row_uid FROM supplier WHERE s_acctbal >= 0)
 SELECT s.s_name AS study, row_uid, CASE WHEN row_uid IS NULL THEN 'unregistered' WHEN row_uid = 'TEST-R000001' THEN 'retired' END AS problem FROM supplier s LEFT JOIN r USING (s_suppkey)""")
 def registry_lookup(spark, d):
     s, first = _registered(spark, d)
@@ -559,6 +560,43 @@ def dispersion_b(spark, d):
     return f.select("Row_UID", F.round("value", 6).alias("value"), F.round("reference_sd", 6).alias("reference_sd"))
 
 
+@query(f"""WITH {_ARMS}, e AS (SELECT t.l_linestatus, t.l_returnflag AS t, c.l_returnflag AS c, {_G} AS g FROM g t JOIN g c ON t.l_linestatus = c.l_linestatus AND t.l_returnflag < c.l_returnflag)
+SELECT l_linestatus, t, c, round(g, 8) AS g FROM e""")
+def sql_hedges_g(spark, d):
+    sqlfunctions.register(spark)
+    table(spark, d, "lineitem").groupBy("l_linestatus", "l_returnflag").agg(
+        F.count("*").cast(D).alias("n"), F.avg("l_quantity").alias("m"), F.stddev_samp("l_quantity").alias("s")
+    ).createOrReplaceTempView("evspark_arms")
+    return spark.sql("""SELECT t.l_linestatus, t.l_returnflag AS t, c.l_returnflag AS c, round(hedges_g(t.m, t.s, t.n, c.m, c.s, c.n), 8) AS g
+      FROM evspark_arms t JOIN evspark_arms c ON t.l_linestatus = c.l_linestatus AND t.l_returnflag < c.l_returnflag""")
+
+
+@query("""WITH e AS (SELECT o_orderpriority AS stratum, CAST(year(o_orderdate) * 12 + month(o_orderdate) AS BIGINT) AS round, count(*) AS audited, count(*) FILTER (WHERE o_orderstatus = 'P') AS missed FROM orders GROUP BY ALL)
+SELECT stratum, round, CAST(sum(audited) OVER w AS BIGINT) AS audited_so_far, CAST(sum(missed) OVER w AS BIGINT) AS missed_so_far,
+  coalesce(missed = 0 AND lag(missed) OVER (PARTITION BY stratum ORDER BY round) = 0, false) AS may_stop FROM e WINDOW w AS (PARTITION BY stratum ORDER BY round ROWS UNBOUNDED PRECEDING)""")
+def audit_rounds(spark, d):
+    o = table(spark, d, "orders")
+    r = o.groupBy(F.col("o_orderpriority").alias("stratum"), (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast(L).alias("round")).agg(
+        F.count("*").alias("audited"), F.count_if(F.col("o_orderstatus") == "P").alias("missed")
+    )
+    return audit.round_totals(r).select("stratum", "round", "audited_so_far", "missed_so_far", "may_stop")
+
+
+@query("""SELECT s_nationkey, count(*) AS n_rows, round(avg(s_acctbal), 6) AS s_acctbal FROM supplier GROUP BY 1""")
+def unit_means(spark, d):
+    return lookup.by_unit(table(spark, d, "supplier"), ["s_nationkey"], ["s_acctbal"]).withColumn("s_acctbal", F.round("s_acctbal", 6))
+
+
+@query("""WITH r AS (SELECT request_id, attempt, regexp_replace(lower(trim(kind)), '[\\W_]+', '_', 'g') AS kind, raw_text FROM responses)
+SELECT request_id, count(*) AS attempts, count(*) FILTER (WHERE kind = 'technical_error') AS technical_failures,
+  CAST(coalesce(min(CASE WHEN kind = 'response' AND length(coalesce(raw_text, '')) > 60 THEN attempt END), 0) AS BIGINT) AS accepted FROM r GROUP BY request_id""".replace("\\\\", "\\"))
+def stream_attempts(spark, d):
+    schema = table(spark, d, "responses").schema
+    stream = spark.readStream.schema(schema).parquet(f"{d}/responses.parque*")
+    out = attempts.run_to_end(attempts.running_attempts(stream, F.length(F.coalesce("raw_text", F.lit(""))) > 60), "complete")
+    return out.withColumn("accepted", F.coalesce("accepted", F.lit(0)).cast(L))
+
+
 # ---- lookups, JSON, manifests
 
 

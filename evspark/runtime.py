@@ -16,13 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder for checkpoints.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``. A temporary folder is used only in
-    local mode, where driver and executors are one machine; elsewhere a missing setting is an error.
+    The cluster names it in ``spark.checkpoint.dir``. A temporary folder is used only in local mode, where driver and
+    executors are one machine; elsewhere a missing setting is an error.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         where = sc.getConf().get("spark.checkpoint.dir")
         if where is None:
@@ -30,11 +30,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             where = tempfile.mkdtemp(prefix="evspark-checkpoint-")
         sc.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def blank_to_null(column: Column) -> Column:

@@ -6,9 +6,13 @@ attempt by watermarked windows of arrival, and a complete view that equals the b
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evspark.runtime import checkpoint_dir
+
 
 def _status(valid: Column) -> Column:
     kind = F.regexp_replace(F.lower(F.trim("kind")), r"[\W_]+", "_")
@@ -31,8 +35,18 @@ def arrivals(stream: DataFrame, every: str = "1 hour", late: str = "2 hours") ->
     return s.groupBy(F.window("received_at", every), "status").agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), "status", "n")
 
 
-def run_to_end(result: DataFrame, name: str, mode: str) -> DataFrame:
-    """Drive a bounded stream to its end into a memory table, for tests and small reports."""
-    query = result.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+def run_to_end(result: DataFrame, mode: str) -> DataFrame:
+    """Drive a bounded stream to its end and read what it wrote.
+
+    State and results lie in the checkpoint folder that all executors share; nothing passes through the driver. In
+    mode complete each batch writes the whole result, of which the last counts; in mode append each adds its rows.
+    """
+    spark = result.sparkSession
+    where = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{where}/rows")
+
+    query = result.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    return result.sparkSession.table(name)
+    return spark.read.schema(result.schema).parquet(f"{where}/rows")

@@ -490,7 +490,7 @@ def test_stream_of_attempts(spark, tmp_path):
     df = spark.createDataFrame([("a", 1, "technical_error", None, "2024-01-01 00:00:10"), ("a", 2, "response", "yes", "2024-01-01 00:30:00"), ("a", 2, "response", "yes", "2024-01-01 00:30:01"), ("b", 1, "response", "", "2024-01-01 05:00:00")], "request_id string, attempt int, kind string, raw_text string, received_at string")
     df.withColumn("received_at", F.col("received_at").cast("timestamp")).write.parquet(str(tmp_path / "in"))
     stream = lambda: spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
-    done = attempts.run_to_end(attempts.running_attempts(stream(), F.coalesce("raw_text", F.lit("")) != ""), "att", "complete")
+    done = attempts.run_to_end(attempts.running_attempts(stream(), F.coalesce("raw_text", F.lit("")) != ""), "complete")
     assert {r["request_id"]: (r["attempts"], r["technical_failures"], r["accepted"]) for r in rows(done)} == {"a": (3, 1, 2), "b": (1, 0, None)}
-    wins = attempts.run_to_end(attempts.arrivals(stream()), "arr", "append")
+    wins = attempts.run_to_end(attempts.arrivals(stream()), "append")
     assert {(r["status"], r["n"]) for r in rows(wins)} == {("TECHNICAL_FAILURE", 1), ("VALID", 1)}
