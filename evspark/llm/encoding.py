@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.runtime import checkpoint, table
+from evspark.runtime import checkpoint, lookup_join, table
 
 FIELDS = ("title", "abstract")
 LOST = "�"
@@ -236,15 +236,14 @@ def _explained(batches):
         yield pdf[ok]
 
 
-def garbled_words(text: DataFrame) -> DataFrame:
+def garbled_words(counts: DataFrame) -> DataFrame:
     """(word, reading, lossless): garbled words as they stand, with the best reading (NULL if there is none) and
-    whether it gives back what stood there without a guess."""
-    counts = checkpoint(word_counts(text))
+    whether it gives back what stood there without a guess. ``counts`` comes from ``word_counts``."""
     by_low = counts.groupBy("low").agg(F.sum("n").alias("n"))
     other = checkpoint(counts.where(_beyond_ascii(F.col("word"))).join(by_low.withColumnRenamed("n", "own"), "low"))
     # one row per character of Unicode at most
     chars = other.select(F.explode(F.split("word", "")).alias("c"), "n").where(_beyond_ascii(F.col("c"))).groupBy("c").agg(F.sum("n").alias("n"))
-    letters = text.sparkSession.sparkContext.broadcast(Letters({r.c: r.n for r in chars.collect()}))
+    letters = counts.sparkSession.sparkContext.broadcast(Letters({r.c: r.n for r in chars.collect()}))
 
     schema = "word string, reading string, several boolean, whole boolean, gain double, n_parts int, low string"
     spread = other.where(~F.col("word").contains(LOST)).select("word").repartition("word").mapInPandas(_readings(letters), schema)
@@ -282,9 +281,10 @@ def garbled_words(text: DataFrame) -> DataFrame:
 def garbled_values(records: DataFrame) -> DataFrame:
     """(record_id, field, text, repairs): values with a garbled word; ``repairs`` lists (word, reading, lossless)."""
     text = values(records)
-    bad = checkpoint(garbled_words(text))
+    counts = checkpoint(word_counts(text))
+    bad = checkpoint(garbled_words(counts))
     own = text.where(_beyond_ascii(F.col("text"))).select("record_id", "field", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    hits = own.where(_beyond_ascii(F.col("word"))).join(bad, "word")
+    hits = lookup_join(own.where(_beyond_ascii(F.col("word"))), bad, "word", counts.where(_beyond_ascii(F.col("word"))), "inner")
     repairs = hits.groupBy("record_id", "field").agg(F.sort_array(F.collect_list(F.struct("word", "reading", "lossless"))).alias("repairs"))
     return text.join(repairs, ["record_id", "field"])
 

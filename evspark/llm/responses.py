@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from evspark.runtime import table
+from evspark.runtime import checkpoint, lookup_join, table
 
 #: An answer's length is a limit if so many unended answers have it and this many times the mean of the lengths beside.
 SPIKE_LEAST, SPIKE_TIMES, SPIKE_NEAR = 5, 8, 5
@@ -238,37 +238,32 @@ def defect_of(raw: str | None, request: str | None, shortened: bool, at_limit: b
 
 
 def _neighbours(batches):
-    """(request_id, attempt, raw_text, shortened) of sorted rows, and one row with the first and last text. The last
-    row waits for the next partition."""
+    """(raw_text, shortened) of sorted texts, and one row with the first and last text: the last one waits for the
+    next partition."""
     before, first = None, None
     for pdf in batches:
         out = []
-        for row in zip(pdf["request_id"], pdf["attempt"], pdf["raw_text"], strict=True):
-            first = row[2] if first is None else first
+        for text in pdf["raw_text"]:
+            first = text if first is None else first
             if before is not None:
-                out.append((*before, before[2] != row[2] and row[2].startswith(before[2]), None))
-            before = row
-        yield pd.DataFrame(out, columns=["request_id", "attempt", "raw_text", "shortened", "first"]).astype({"attempt": "Int64", "shortened": "boolean"})
+                out.append((before, text.startswith(before), None))
+            before = text
+        yield pd.DataFrame(out, columns=["raw_text", "shortened", "first"]).astype({"shortened": "boolean"})
     if before is not None:
-        yield pd.DataFrame([(*before, None, first)], columns=["request_id", "attempt", "raw_text", "shortened", "first"]).astype(
-            {"attempt": "Int64", "shortened": "boolean"}
-        )
+        yield pd.DataFrame([(before, None, first)], columns=["raw_text", "shortened", "first"]).astype({"shortened": "boolean"})
 
 
-def shortened_versions(answers: DataFrame) -> DataFrame:
-    """``answers`` (request_id, attempt, raw_text, distinct) with ``shortened``: whether another answer goes on where
-    this one ends."""
+def shortened_versions(texts: DataFrame) -> DataFrame:
+    """(raw_text): of distinct texts (raw_text) those that another one begins with."""
     rows = (
-        answers.repartitionByRange(F.col("raw_text")).sortWithinPartitions("raw_text")
-        .mapInPandas(_neighbours, "request_id string, attempt long, raw_text string, shortened boolean, first string")
-        .withColumn("part", F.spark_partition_id())
+        texts.select("raw_text").repartitionByRange(F.col("raw_text")).sortWithinPartitions("raw_text")
+        .mapInPandas(_neighbours, "raw_text string, shortened boolean, first string").withColumn("part", F.spark_partition_id())
     )
+    rows = checkpoint(rows)  # ranges are drawn from a sample: they have to be the same for ends and rest
     ends = rows.where("first IS NOT NULL")  # one row per partition
     following = ends.withColumn("next", F.lead("first").over(Window.orderBy("part"))).select("part", "next")
-    goes_on = F.coalesce((F.col("next") != F.col("raw_text")) & F.col("next").startswith(F.col("raw_text")), F.lit(False))
-    last = ends.join(F.broadcast(following), "part").withColumn("shortened", goes_on)
-    columns = ["request_id", "attempt", "raw_text", "shortened"]
-    return rows.where("first IS NULL").select(*columns).unionByName(last.select(*columns))
+    last = ends.join(F.broadcast(following), "part").where(F.col("next").startswith(F.col("raw_text")))
+    return rows.where("shortened").select("raw_text").unionByName(last.select("raw_text"))
 
 
 def length_limits(answers: DataFrame) -> DataFrame:
@@ -292,13 +287,16 @@ def defects(responses: DataFrame, requests: DataFrame) -> DataFrame:
         "request_id", F.col("attempt").cast("long").alias("attempt"), F.coalesce("raw_text", F.lit("")).alias("raw_text")
     ).distinct()
     limits = length_limits(answers).withColumn("at_limit", F.lit(True))
-    marked = shortened_versions(answers).withColumn("size", F.length("raw_text")).join(limits, "size", "left")
+    # the same text may be the answer to any part of the requests: texts are compared once, and joined by how hot they are
+    texts = checkpoint(answers.where("trim(raw_text) <> ''").groupBy("raw_text").agg(F.count("*").alias("n")))
+    cut = checkpoint(shortened_versions(texts)).withColumn("shortened", F.lit(True))
+    marked = lookup_join(answers, cut, "raw_text", texts).withColumn("size", F.length("raw_text")).join(limits, "size", "left")
     asked = requests.groupBy("request_id").agg(F.min("request").alias("request"))
 
     def judge(batches):
         for pdf in batches:
             pdf["defect"] = [
-                defect_of(t, r, bool(s), a is True)
+                defect_of(t, r, s is True, a is True)
                 for t, r, s, a in zip(pdf["raw_text"], pdf["request"], pdf["shortened"], pdf["at_limit"], strict=True)
             ]
             yield pdf.loc[pdf["defect"].notna(), ["request_id", "attempt", "defect"]]
