@@ -1,9 +1,8 @@
 """Duplicates hidden by formatting differences (problem 6).
 
-Method: progressive partition refinement. All rows are first parted by cheap invariants of the text (length without
-formatting, number of digits, whether there is a DOI), then, inside classes with several members only, by the letter
-histogram, and last, again inside classes with several members only, by the whole keys. A row that is alone in its
-class leaves at once, so the costly keys are built and shuffled for likely copies only.
+Method: progressive partition refinement. All rows are first parted by cheap invariants of the text (lengths without
+formatting, number of digits, letter histogram); a row that is alone in its class leaves at once. The whole keys are
+shuffled and compared inside classes with several members only.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.runtime import HOT_SHARE, table
+from evspark.runtime import checkpoint, table
 
 DOI = r"10\.\d{4,9}/"
 #: White space, punctuation, controls and ASCII symbols: what formatting may change.
@@ -50,13 +49,11 @@ def refine(records: DataFrame) -> DataFrame:
     """
     title, doi = title_and_doi(F.col("title"), F.col("doi"))
     rows = records.select("record_id", stripped(title).alias("t"), stripped(doi).alias("d")).where("t <> '' OR d <> ''")
-    digits = lambda c: F.length(F.regexp_replace(c, r"\D", ""))
-    first = _several(
-        rows.withColumns({"k1": F.length("t"), "k2": F.length("d"), "k3": digits(F.col("t"))}), ["k1", "k2", "k3"]
-    )
+    # one long for all invariants; a chance collision only leaves a row for the next level
     letters = [F.length("t") - F.length(F.translate("t", c, "")) for c in "aeiostnrlcdmup"]
-    second = _several(first.withColumn("h", F.concat_ws(",", *[x.cast("string") for x in letters])), ["k1", "k2", "k3", "h"])
-    return second.select("record_id", F.col("t").alias("title_key"), F.col("d").alias("doi_key"))
+    digits = F.length(F.regexp_replace("t", r"\D", ""))
+    parted = checkpoint(rows.withColumn("k", F.xxhash64(F.length("t"), F.length("d"), digits, *letters)))
+    return _several(parted, ["k"]).select("record_id", F.col("t").alias("title_key"), F.col("d").alias("doi_key"))
 
 
 def classes(records: DataFrame) -> DataFrame:
