@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from functools import lru_cache
 
 import pandas as pd
@@ -171,16 +172,13 @@ def plausible(reading: str) -> bool:
 
 # ---- words of the corpus
 
-_PUNCTUATION = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]"
-
-
 def words(text: Column) -> Column:
     """The words of a text, each once, with digits as 0 and without ASCII punctuation around.
 
     A no-break space parts words unless it follows a character beyond ASCII, with which it may be one letter.
     """
-    parts = F.split(F.regexp_replace(text, "[0-9]", "0"), r"[\x00-\x20]+|(?<![^\x00-\x7F])\u00A0+")
-    return F.transform(parts, lambda w: F.regexp_replace(w, f"^{_PUNCTUATION}+|{_PUNCTUATION}+$", ""))
+    parts = F.split(F.translate(text, "123456789", "000000000"), r"[\x00-\x20]+|(?<![^\x00-\x7F])\u00A0+")
+    return F.transform(parts, lambda w: F.btrim(w, F.lit(string.punctuation)))
 
 
 def _beyond_ascii(column: Column) -> Column:
