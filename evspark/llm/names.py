@@ -13,6 +13,7 @@ Spellings are counted before anything else: however often a name occurs, it is o
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
@@ -144,10 +145,36 @@ def _band_rows(batches):
             part = pdf.iloc[begin : begin + 500]
             sigs = np.stack([signature(grams(kind, key), seeds) for kind, key in zip(part["kind"], part["key"], strict=True)])
             mixed = (sigs.reshape(len(part), n, ROWS) * weights).sum(axis=2, dtype=np.uint64)
-            yield pd.DataFrame({
-                "kind": np.repeat(part["kind"].to_numpy(), n), "key": np.repeat(part["key"].to_numpy(), n),
-                "band": np.tile(np.arange(n, dtype=np.int32), len(part)), "hash": mixed.ravel().view(np.int64),
-            })
+            mixed ^= np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # the band
+            yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), n), "hash": mixed.ravel().view(np.int64)})
+
+
+def _meetings(batches):
+    """Pairs of ids with one hash, from rows sorted by hash: one pass over the bands, one run in memory at a time."""
+    rest = np.empty((0, 2), dtype=np.int64)
+    for pdf in itertools.chain(batches, [None]):
+        if pdf is not None:
+            rest = np.concatenate((rest, pdf[["hash", "id"]].to_numpy(dtype=np.int64)))
+            if not len(rest):
+                continue
+            whole = int(np.searchsorted(rest[:, 0], rest[-1, 0]))  # the last run may go on
+        else:
+            whole = len(rest)
+        done, rest = rest[:whole], rest[whole:]
+        begin = np.flatnonzero(np.concatenate(([True], np.diff(done[:, 0]) != 0))) if whole else np.empty(0, dtype=np.int64)
+        size = np.diff(np.concatenate((begin, [whole])))
+        left, right, waiting = [], [], 0
+        for b, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+            ids = np.unique(done[b : b + n, 1])
+            for i in range(len(ids) - 1):
+                left.append(np.full(len(ids) - 1 - i, ids[i]))
+                right.append(ids[i + 1 :])
+                waiting += len(ids) - 1 - i
+                if waiting > 100_000:
+                    yield pd.DataFrame({"id": np.concatenate(left), "id2": np.concatenate(right)})
+                    left, right, waiting = [], [], 0
+        if waiting:
+            yield pd.DataFrame({"id": np.concatenate(left), "id2": np.concatenate(right)})
 
 
 # ---- verification
@@ -294,10 +321,12 @@ def clusters(names: DataFrame) -> DataFrame:
     base = parsed.groupBy("kind", "base").agg(F.sum("n").alias("base_n"), F.count("*").alias("base_forms"))
     forms = checkpoint(forms.join(base, ["kind", "base"]))
 
-    # keys that meet in a band
-    dealt = forms.select("kind", "key").distinct().mapInPandas(_band_rows, "kind string, key string, band int, hash long")
-    a, b = dealt, dealt.select("kind", F.col("key").alias("key2"), "band", "hash")
-    met = a.join(b, ["kind", "band", "hash"]).where("key < key2").select("kind", "key", "key2").distinct()
+    # keys that meet in a band: only numbers are shuffled, and become keys again for the pairs that met
+    keys = checkpoint(forms.select("kind", "key").distinct().withColumn("id", F.xxhash64("kind", "key")))
+    dealt = keys.mapInPandas(_band_rows, "id long, hash long").repartition("hash").sortWithinPartitions("hash")
+    met = dealt.mapInPandas(_meetings, "id long, id2 long").distinct()
+    met = met.join(keys, "id").join(keys.select("kind", F.col("key").alias("key2"), F.col("id").alias("id2")), ["kind", "id2"])
+    met = met.select("kind", F.least("key", "key2").alias("key"), F.greatest("key", "key2").alias("key2"))
     # what no one edit or swap can make equal needs no closer look
     met = met.where((F.col("kind") == "journal") | (F.levenshtein("key", "key2", 2) >= 0))
     own = forms.select("kind", "key").distinct().select("kind", "key", F.col("key").alias("key2"))
