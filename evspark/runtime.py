@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 HOT_SHARE = 256
 
 
+#: All characters that Unicode calls white space.
+WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -40,8 +44,8 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def blank_to_null(column: Column) -> Column:
-    """NULL for a missing string, whether it is NULL, empty or white space."""
-    trimmed = F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
+    """The string without outer white space; NULL if it is missing, whether as NULL, empty or white space."""
+    trimmed = F.btrim(column, F.lit(WHITE))
     return F.when(trimmed != "", trimmed)
 
 
