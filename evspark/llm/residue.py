@@ -8,9 +8,10 @@ that variants no pattern knows are found beside known ones. A text is residue if
 An unfilled field makes a text residue wherever it stands, but its label does not spread: the line around a field is
 content, and the same line with the field filled in is sound.
 
-Only numbers leave the Python workers: (doc_id, line, SimHash, label). Equal lines are one node of the graph however
-often they occur, so boilerplate that stands in a third of all texts is one row in the tables. Texts are fetched
-again only for near-duplicates of a trusted line that are not trusted themselves.
+Only numbers leave the Python workers: (doc_id, key, SimHash, label). Lines of equal words, whatever their punctuation
+and digits, have one key and are one node of the graph however often they occur, so boilerplate that stands in a third
+of all texts is one row in the tables; a label of any of them is a label of all. Texts are fetched again only for
+near-duplicates of a trusted line that are not trusted themselves.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.operators.components import components
 from evspark.runtime import checkpoint, table
 
 SHINGLE, SIMILARITY, HAMMING = 5, 0.8, 3
@@ -245,7 +245,25 @@ def simhashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(first), np.packbits(out, axis=1).view(np.int64).ravel()
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("sim", pa.int64()), ("label", pa.int8())])
+def line_keys(codes: np.ndarray) -> np.ndarray:
+    """A hash of the words of each line of a string of word codes, in the order of ``simhashes``."""
+    live = codes != 0
+    first = np.flatnonzero(live & np.concatenate(([True], ~live[:-1]))) if len(codes) else np.empty(0, dtype=np.int64)
+    if not len(first):
+        return np.empty(0, dtype=np.int64)
+    begin = np.zeros(len(codes), dtype=np.int64)
+    begin[first] = first
+    place = np.arange(len(codes)) - np.maximum.accumulate(begin)
+    h = codes + place.astype(np.uint64) * _PRIMES[0]
+    h ^= h >> np.uint64(30)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return np.add.reduceat(np.where(live, h, np.uint64(0)), first).view(np.int64)
+
+
+_OUT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("label", pa.int8())])
 
 
 def _lines(batches):
@@ -253,7 +271,7 @@ def _lines(batches):
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for begin in range(0, len(ids), 64):
-            docs, sims, labels = [], [], []
+            docs, keys, sims, labels = [], [], [], []
             stream: list[int] = []
             where: list[tuple[int, int]] = []  # where each text begins in the stream
             trusted: set[int] = set()
@@ -263,6 +281,7 @@ def _lines(batches):
                 text = unicodedata.normalize("NFC", text)
                 if has_field(text):
                     docs.append(d)
+                    keys.append(None)
                     sims.append(None)
                     labels.append(FIELD)
                 low = text.lower()
@@ -277,21 +296,23 @@ def _lines(batches):
                         place += len(own) + 1
                 stream.extend([codes[t] for t in tokens])
                 stream.append(0)
-            first, sim = simhashes(np.array(stream, dtype=np.uint64))
+            text_codes = np.array(stream, dtype=np.uint64)
+            first, sim = simhashes(text_codes)
+            keys += line_keys(text_codes).tolist()
             starts, owners = np.array([w for w, _ in where]), [d for _, d in where]
             for p, x, k in zip(first.tolist(), sim.tolist(), np.searchsorted(starts, first, "right").tolist() if where else [], strict=True):
                 docs.append(owners[k - 1])
                 sims.append(x)
                 labels.append(WHOLE if p in trusted else NONE)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(sims, pa.int64()), pa.array(labels, pa.int8())], schema=_OUT
+                [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(sims, pa.int64()), pa.array(labels, pa.int8())], schema=_OUT
             )
 
 
 def lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, sim, label) of every line with words; of a text with an unfilled field also a row without ``sim``."""
+    """(doc_id, key, sim, label) of every line with words; of a text with an unfilled field also a row without ``key``."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _lines, "doc_id long, sim long, label byte"
+        _lines, "doc_id long, key long, sim long, label byte"
     )
 
 
@@ -314,17 +335,17 @@ def shingles(line: str) -> frozenset:
 
 
 def _texts(batches):
-    """(sim, line) of the lines of whole texts."""
+    """(key, line) of the lines of whole texts."""
     codes = _Codes()
     for batch in batches:
-        sims, rows = [], []
+        keys, rows = [], []
         for text in batch.column(0).to_pylist():
             text = unicodedata.normalize("NFC", text or "")
             stream = np.array([codes[t] for t in _TOKEN.findall(text.lower())], dtype=np.uint64)
             own = [row for row in text.split("\n") if _WORD.search(row)]
-            sims += simhashes(stream)[1].tolist()
+            keys += line_keys(stream).tolist()
             rows += own
-        yield pa.RecordBatch.from_arrays([pa.array(sims, pa.int64()), pa.array(rows, pa.string())], ["sim", "line"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(rows, pa.string())], ["key", "line"])
 
 
 def _similar(batches):
@@ -338,35 +359,35 @@ def _similar(batches):
 
 
 def spread(documents: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(sim) of lines that are linked to a trusted line by verified near-duplicates, and are not trusted themselves.
+    """(key) of the trusted lines and of all that are linked to one by verified near-duplicates.
 
-    Only components of the SimHash graph with both kinds of lines are followed up: their lines' texts are fetched,
-    each pair is compared by shingles, and the components of what is left carry the labels.
+    Goes out from the trusted lines: in each round the candidates beside the lines reached last have their texts
+    fetched and compared by shingles, until no line is new. ``nodes`` has (key, sim, label).
     """
-    pairs = checkpoint(near_duplicates(nodes))
-    trusted = nodes.where(F.col("label") == WHOLE).select("sim")
-    none = nodes.select("sim").where(F.lit(False))
-
-    def mixed(links: DataFrame) -> DataFrame:
-        groups = components(links).withColumnRenamed("id", "sim").join(trusted.withColumn("known", F.lit(1)), "sim", "left")
-        both = groups.groupBy("group").agg(F.count("known").alias("k"), F.count("*").alias("n")).where("k > 0 AND k < n")
-        return checkpoint(groups.join(both, "group", "left_semi").select("sim", "known"))
-
-    if pairs.isEmpty():
-        return none
-    doubtful = mixed(pairs)
-    if doubtful.isEmpty():
-        return none
-    ends = pairs.join(doubtful.select(F.col("sim").alias("u")), "u", "left_semi")
-    ids = rows.join(doubtful, "sim", "left_semi").groupBy("sim").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    texts = (
-        documents.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_texts, "sim long, line string")
-        .join(doubtful, "sim", "left_semi").groupBy("sim").agg(F.min("line").alias("line"))
-    )
-    named = lambda c: texts.select(F.col("sim").alias(c), F.col("line").alias(c + "_line"))
-    compared = ends.join(named("u"), "u").join(named("v"), "v").select("u", "v", "u_line", "v_line")
-    verified = checkpoint(compared.mapInArrow(_similar, "u long, v long"))
-    return none if verified.isEmpty() else mixed(verified).where("known IS NULL").select("sim")
+    near = checkpoint(near_duplicates(nodes.select("sim").distinct()))
+    beside = near.unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    reached = checkpoint(nodes.where(F.col("label") == WHOLE).select("key", "sim"))
+    rest = nodes.where(F.col("label") != WHOLE).select("key", "sim")
+    known = reached.select("key")
+    while not reached.isEmpty():
+        u, v = reached.select(F.col("key").alias("u"), F.col("sim")), rest.select(F.col("key").alias("v"), F.col("sim"))
+        near_sim = u.withColumnRenamed("sim", "s").join(beside.withColumnRenamed("u", "s").withColumnRenamed("v", "sim"), "s").select("u", "sim")
+        pairs = checkpoint(u.unionByName(near_sim).join(v, "sim").select("u", "v").distinct())
+        if pairs.isEmpty():
+            break
+        doubtful = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
+        ids = rows.join(doubtful, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+        texts = (
+            documents.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_texts, "key long, line string")
+            .join(doubtful, "key", "left_semi").groupBy("key").agg(F.min("line").alias("line"))
+        )
+        named = lambda c: texts.select(F.col("key").alias(c), F.col("line").alias(c + "_line"))
+        compared = pairs.join(named("u"), "u").join(named("v"), "v").select("u", "v", "u_line", "v_line")
+        new = compared.mapInArrow(_similar, "u long, v long").select(F.col("v").alias("key")).distinct()
+        reached = checkpoint(rest.join(new, "key", "left_semi"))
+        rest = checkpoint(rest.join(reached, "key", "left_anti"))
+        known = known.unionByName(reached.select("key"))
+    return known
 
 
 def residue(documents: DataFrame) -> DataFrame:
@@ -377,10 +398,10 @@ def residue(documents: DataFrame) -> DataFrame:
     same doc_id count as one text. Other columns are ignored.
     """
     rows = checkpoint(lines(documents))
-    nodes = rows.where("sim IS NOT NULL").groupBy("sim").agg(F.max("label").alias("label"))
-    more = spread(documents, rows, checkpoint(nodes))
-    linked = rows.join(more, "sim", "left_semi").select("doc_id", "sim", F.lit(WHOLE).cast("byte").alias("label"))
-    found = rows.where(F.col("label") != NONE).select("doc_id", "sim", "label").unionByName(linked)
+    nodes = rows.where("key IS NOT NULL").groupBy("key", "sim").agg(F.max("label").alias("label"))
+    known = spread(documents, rows, checkpoint(nodes))
+    linked = rows.join(known, "key", "left_semi").select("doc_id", F.lit(WHOLE).cast("byte").alias("label"))
+    found = rows.where(F.col("label") == FIELD).select("doc_id", "label").unionByName(linked)
     return found.groupBy("doc_id").agg(
         F.max((F.col("label") == FIELD).cast("int")).alias("n_fields"), F.count_if(F.col("label") == WHOLE).alias("n_lines")
     )

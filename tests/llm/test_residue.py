@@ -62,3 +62,9 @@ def test_labels_spread_to_verified_neighbours(spark, rows):
     assert near == {(0, 3), (0, 1 << 40), (3, 1 << 40)}
     a = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
     assert len(residue.shingles(a) & residue.shingles(a + " more")) / len(residue.shingles(a) | residue.shingles(a + " more")) > residue.SIMILARITY
+
+
+def test_equal_words_share_a_label(spark, rows):
+    data = [(1, "Sorry. Page not found."), (2, "Sorry, page not found."), (3, "x\nSORRY - page not found!"), (4, "Sorry, the page was not found by 3 of them.")]
+    out = {r["doc_id"]: (r["n_fields"], r["n_lines"]) for r in rows(residue.residue(spark.createDataFrame(data, "doc_id long, text string")))}
+    assert out == {1: (0, 1), 2: (0, 1), 3: (0, 1)}
