@@ -1,14 +1,19 @@
 """Template residue and error-page text (problem 10).
 
 Method: every line of every text gets a SimHash of its five-word shingles; partitioned tables (each keyed by half of
-the 64 bits) find lines at a small Hamming distance, whose texts are then compared; lines that a pattern of residue
-matches as a whole are trusted, and their label spreads over the connected components of near-duplicate lines, so
-that variants no pattern knows are found beside known ones. A text is residue if one of its lines is.
+the 64 bits) find lines at a small Hamming distance, and the least hashes of the shingles find all other lines of
+similarity SIMILARITY: the texts are then compared. Lines that a pattern of residue matches as a whole are trusted, and
+their label spreads over the connected components of near-duplicate lines, so that variants no pattern knows are found
+beside known ones. A text is residue if one of its lines is.
+
+Of two sets with that similarity, either has one of its floor(n / 5) + 1 least elements among those of the other. The
+tables alone miss nearly all pairs that are just similar enough; this join, which goes out from labelled lines only,
+misses none.
 
 An unfilled field makes a text residue wherever it stands, but its label does not spread: the line around a field is
 content, and the same line with the field filled in is sound.
 
-Only numbers leave the Python workers: (doc_id, key, SimHash, label). Lines of equal words, whatever their punctuation
+Only numbers leave the Python workers: (doc_id, key, SimHash, label, hashes). Lines of equal words, whatever their punctuation
 and digits, have one key and are one node of the graph however often they occur, so boilerplate that stands in a third
 of all texts is one row in the tables; a label of any of them is a label of all. Texts are fetched again only for
 near-duplicates of a trusted line that are not trusted themselves.
@@ -205,8 +210,9 @@ class _Codes(dict):
         return code
 
 
-def simhashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first position and the SimHash of each line of a string of word codes, where 0 ends a line.
+def shingle_hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first position of each line of a string of word codes, where 0 ends a line; the hashes of all shingles, and
+    where those of each line begin.
 
     A line shorter than a shingle is one shingle.
     """
@@ -228,9 +234,35 @@ def simhashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h ^= h >> np.uint64(27)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(31)
-    at = np.flatnonzero(first[keep])
+    return np.flatnonzero(first), h, np.flatnonzero(first[keep])
+
+
+def least_hashes(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of least hashes that each line is found by, and these hashes, line by line."""
+    ends = np.append(at[1:], len(h))
+    sizes, values, begin = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)], 0
+    while begin < len(at):  # whole lines, so few at a time that their numbers fit above 40 bits of hash
+        end = max(begin + 1, int(np.searchsorted(at, at[begin] + 50_000)))
+        own = np.repeat(np.arange(end - begin, dtype=np.uint64), ends[begin:end] - at[begin:end])
+        sets = np.unique(own << np.uint64(40) | h[at[begin] : ends[end - 1]] >> np.uint64(24))
+        n = np.bincount((sets >> np.uint64(40)).astype(np.int64), minlength=end - begin)
+        some = np.floor((1 - SIMILARITY) * n + 1e-9).astype(np.int64) + 1
+        place = np.arange(len(sets)) - np.repeat(np.cumsum(n) - n, n)
+        sizes.append(some)
+        values.append((sets[place < np.repeat(some, n)] & np.uint64((1 << 40) - 1)).astype(np.int64))
+        begin = end
+    return np.concatenate(sizes), np.concatenate(values)
+
+
+def simhashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first position and the SimHash of each line of a string of word codes, where 0 ends a line."""
+    first, h, at = shingle_hashes(codes)
+    return first, simhashes_of(h, at)
+
+
+def simhashes_of(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     if not len(at):
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        return np.empty(0, dtype=np.int64)
     counts = np.diff(np.concatenate((at, [len(h)])))
     out = np.empty((len(at), 64), dtype=bool)
     step = 50_000
@@ -242,7 +274,7 @@ def simhashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sums = np.add.reduceat(bits, at[begin:end] - at[begin], axis=0, dtype=np.int32)
         out[begin:end] = sums * 2 > counts[begin:end, None]
         begin = end
-    return np.flatnonzero(first), np.packbits(out, axis=1).view(np.int64).ravel()
+    return np.packbits(out, axis=1).view(np.int64).ravel()
 
 
 def line_keys(codes: np.ndarray) -> np.ndarray:
@@ -263,11 +295,12 @@ def line_keys(codes: np.ndarray) -> np.ndarray:
     return np.add.reduceat(np.where(live, h, np.uint64(0)), first).view(np.int64)
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("label", pa.int8())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("label", pa.int8()), ("least", pa.list_(pa.int64()))])
 
 
 def _lines(batches):
     codes = _Codes()
+    seen: set[int] = set()  # a line's hashes leave a task once, or a few times
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for begin in range(0, len(ids), 64):
@@ -297,22 +330,35 @@ def _lines(batches):
                 stream.extend([codes[t] for t in tokens])
                 stream.append(0)
             text_codes = np.array(stream, dtype=np.uint64)
-            first, sim = simhashes(text_codes)
-            keys += line_keys(text_codes).tolist()
+            first, h, at = shingle_hashes(text_codes)
+            sim, own_keys = simhashes_of(h, at), line_keys(text_codes).tolist()
+            sizes, least = least_hashes(h, at)
+            new = np.zeros(len(sizes), dtype=bool)
+            for i, key in enumerate(own_keys):
+                if key not in seen:
+                    seen.add(key)
+                    new[i] = True
+            if len(seen) > 400_000:
+                seen.clear()
+            sizes_out = np.concatenate((np.zeros(len(keys), dtype=np.int64), np.where(new, sizes, 0)))
+            offsets = np.concatenate(([0], np.cumsum(sizes_out))).astype(np.int32)
+            hashes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(least[np.repeat(new, sizes)], pa.int64()))
+            keys += own_keys
             starts, owners = np.array([w for w, _ in where]), [d for _, d in where]
             for p, x, k in zip(first.tolist(), sim.tolist(), np.searchsorted(starts, first, "right").tolist() if where else [], strict=True):
                 docs.append(owners[k - 1])
                 sims.append(x)
                 labels.append(WHOLE if p in trusted else NONE)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(sims, pa.int64()), pa.array(labels, pa.int8())], schema=_OUT
+                [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(sims, pa.int64()), pa.array(labels, pa.int8()), hashes], schema=_OUT
             )
 
 
 def lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, key, sim, label) of every line with words; of a text with an unfilled field also a row without ``key``."""
+    """(doc_id, key, sim, label, least) of every line with words; of a text with an unfilled field also a row without
+    ``key``. At least one row of each key has the hashes it is found by."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _lines, "doc_id long, key long, sim long, label byte"
+        _lines, "doc_id long, key long, sim long, label byte, least array<long>"
     )
 
 
@@ -368,11 +414,20 @@ def spread(documents: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame
     beside = near.unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v")))
     reached = checkpoint(nodes.where(F.col("label") == WHOLE).select("key", "sim"))
     rest = nodes.where(F.col("label") != WHOLE).select("key", "sim")
+    size = F.size("least")
+    # the least and the greatest number of shingles a line with so many hashes can have
+    fewest, most = F.ceil((size - 1) / (1 - SIMILARITY) - 1e-6), F.ceil(size / (1 - SIMILARITY) - 1e-6) - 1
+    hashed = rows.where(size > 0).select("key", fewest.alias("fewest"), most.alias("most"), "least")
     known = reached.select("key")
     while not reached.isEmpty():
         u, v = reached.select(F.col("key").alias("u"), F.col("sim")), rest.select(F.col("key").alias("v"), F.col("sim"))
         near_sim = u.withColumnRenamed("sim", "s").join(beside.withColumnRenamed("u", "s").withColumnRenamed("v", "sim"), "s").select("u", "sim")
-        pairs = checkpoint(u.unionByName(near_sim).join(v, "sim").select("u", "v").distinct())
+        own = hashed.join(reached, "key", "left_semi").select(F.col("key").alias("u"), F.explode("least").alias("hash"), F.col("fewest").alias("a"), F.col("most").alias("b")).distinct()
+        close = (F.col("most") >= SIMILARITY * F.col("a") - 1e-6) & (F.col("b") >= SIMILARITY * F.col("fewest") - 1e-6)
+        other = hashed.select(F.col("key").alias("v"), "fewest", "most", F.explode("least").alias("hash"))
+        shared = other.join(own, "hash").where(close & (F.col("u") != F.col("v"))).select("u", "v").distinct()
+        shared = shared.join(rest.select(F.col("key").alias("v")), "v", "left_semi").select("u", "v")
+        pairs = checkpoint(u.unionByName(near_sim).join(v, "sim").select("u", "v").unionByName(shared).distinct())
         if pairs.isEmpty():
             break
         doubtful = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()

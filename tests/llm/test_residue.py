@@ -68,3 +68,34 @@ def test_equal_words_share_a_label(spark, rows):
     data = [(1, "Sorry. Page not found."), (2, "Sorry, page not found."), (3, "x\nSORRY - page not found!"), (4, "Sorry, the page was not found by 3 of them.")]
     out = {r["doc_id"]: (r["n_fields"], r["n_lines"]) for r in rows(residue.residue(spark.createDataFrame(data, "doc_id long, text string")))}
     assert out == {1: (0, 1), 2: (0, 1), 3: (0, 1)}
+
+
+def test_the_label_reaches_all_lines_of_the_similarity(spark, rows):
+    """Held against brute force: the lines linked to a trusted one by pairs of Jaccard SIMILARITY."""
+    import random
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    texts = []
+    for size in [6, 8, 9, 12, 20, 40, 80] * 4:
+        base = ["Please", "enable", "JavaScript", *(word() for _ in range(size))]
+        texts.append(" ".join(base))
+        for cut in (1, 2, 4, 8, 16):  # the more, the less alike
+            texts.append(" ".join(["We", "ask", *(base if cut == 1 else base[: -cut + 1]), *(word() for _ in range(cut - 1))]))
+            texts.append(" ".join([word(), *texts[-1].split()]))  # similar to the variant, maybe not to the line itself
+    data = list(enumerate(texts))
+    sets = {i: residue.shingles(t) for i, t in data}
+    alike = {i: [j for j, q in sets.items() if len(p & q) >= residue.SIMILARITY * len(p | q)] for i, p in sets.items()}
+    want = {i for i, t in data if residue.is_residue(t)}
+    trusted, new = len(want), set(want)
+    while new:
+        new = {j for i in new for j in alike[i]} - want
+        want |= new
+    got = {r["doc_id"] for r in rows(residue.residue(spark.createDataFrame(data, "doc_id long, text string")))}
+    assert got == want and trusted + 50 < len(want) < len(texts)
+
+
+def test_a_variant_no_pattern_knows_is_found(spark, rows):
+    base = "Please enable JavaScript in the settings of your own web browser before you try to open the full text of this archived article of the repository again later today thank you very much for all of your kind patience with us"
+    df = spark.createDataFrame([(1, base), (2, "Title\nWe ask: " + base)], "doc_id long, text string")
+    assert {r["doc_id"] for r in rows(residue.residue(df))} == {1, 2}
