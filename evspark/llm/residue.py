@@ -103,76 +103,70 @@ TYPED_FILLER = frozenset("blah foo bar baz qux test testing xxx asdf asdfasdf qw
 
 #: Notices, matched against the beginning of a sentence in small letters with digits as 0 and no punctuation.
 _SCRIPTS = r"(?:java ?script|scripts?|scripting|skripte|les scripts)"
-NOTICES = re.compile(
-    "^(?:noscript )?(?:"
-    + "|".join(
-        [
-            rf"(?:please |you (?:need|have) to |you must |to \w+(?: \w+){{0,4}} )?(?:enable|activate|allow|turn on|switch on) (?:\w+ )?{_SCRIPTS}\b",
-            r"(?:bitte )?(?:aktivieren|erlauben) sie (?:\w+ )?(?:java ?script|skripte|cookies)\b",
-            r"(?:veuillez |merci d )?activer (?:\w+ )?(?:java ?script|les scripts)\b",
-            r"(?:por favor )?(?:active|habilite|ative) (?:\w+ )?(?:java ?script|los scripts)\b",
-            r"(?:пожалуйста )?включите (?:java ?script|скрипты)",
-            rf"(?:this|the) (?:site|page|website|viewer|reader|application) (?:requires|needs) (?:\w+ )?(?:{_SCRIPTS}|cookies)\b",
-            rf"your browser (?:does not|doesn t|cannot) (?:support|run) {_SCRIPTS}\b",
-            rf"{_SCRIPTS} (?:must|has to|have to|needs? to) be (?:allowed|enabled|switched on|turned on)\b",
-            r"checking your browser\b",
-            r"viewer inactive\b",
-            rf"(?:loading )?if nothing appears {_SCRIPTS}",
-            r"loading if nothing appears",
-            r"reload after changing the setting",
-            r"(?:error |http error )?000 (?:page |file )?(?:not found|forbidden|unauthorized|bad gateway|bad request|internal server error|service unavailable|gateway timeout)\b",
-            r"(?:page|file|document|article) not found$",
-            r"(?:the )?(?:page|address|url|content|article|document) you (?:asked for|requested|are looking for) (?:does not|doesn t|could not|cannot|can t|was not|is not)\b",
-            r"(?:the )?requested (?:page|url|article|document|content|resource) (?:could not|cannot|was not|is not|does not)\b",
-            r"(?:error|erreur|fehler|erro|ошибка) (?:code )?0+ (?:the|une?|la|le|der|die|das|o|a|page|not|internal|service)\b",
-            r"une erreur (?:interne )?est survenue",
-            r"seite nicht gefunden\b",
-            r"der angeforderte inhalt\b",
-            r"pagina no encontrada\b",
-            r"página no encontrada\b",
-            r"page (?:introuvable|non trouvée)\b",
-            r"página não encontrada\b",
-            r"страница не найдена",
-            r"we are down for\b",
-            r"(?:this|the) (?:site|service|archive|server) is (?:down|(?:temporarily|currently) (?:unavailable|down))\b",
-            r"(?:oops )?something went wrong\b",
-            r"your session has expired\b",
-            r"please log in again\b",
-            r"access denied(?: you|$)",
-            r"you don t have permission\b",
-            r"internal server error\b",
-            r"the (?:requested article|request) could not be\b",
-            r"gateway timeout\b",
-            r"service (?:temporarily )?unavailable$",
-            r"too many requests$",
-            r"your (?:ip )?address has been blocked\b",
-            r"traceback most recent call last\b",
-            r"(?:key|value|type|name|index|attribute|runtime|import)error\b",
-            r"http 0 0 000\b",
-            r"pdf conversion failed\b",
-            r"(?:your|sample|dummy|placeholder) text (?:goes )?here\b",
-            r"your text goes here\b",
-            r"replace this (?:paragraph|text|sentence)\b",
-            r"sample (?:abstract|text|paragraph)\b",
-        ]
-    )
-    + ")"
-)
-#: Words of which every notice and filler line has one, and those few of them that ordinary texts use all the time:
-#: for these a number has to follow or to go before.
-SIGN_WORDS = frozenset(
-    "javascript scripts scripting skripte cookies скрипты browser viewer reload encontrada introuvable trouvée найдена gefunden angeforderte survenue "
-    "maintenance unavailable wrong expired denied permission timeout requests blocked traceback keyerror valueerror typeerror nameerror indexerror "
-    "attributeerror runtimeerror importerror conversion goes placeholder dummy paragraph asked requested looking server http java archive "
-    "lorem ipsum dolor consectetur adipiscing adipisicing eiusmod tempor incididunt labore aliqua veniam nostrud exercitation ullamco laboris commodo "
-    "consequat aute irure reprehenderit voluptate cillum fugiat pariatur excepteur occaecat cupidatat proident officia deserunt mollit laborum "
-    "blah foo qux asdf asdfasdf qwer qwerty qwertz lkj jkl hjkl zxcv yadda".split()
-)
-_SIGNS = re.compile(
-    r"\b(?:error|erreur|fehler|erro|ошибка)\s+(?:code\s+)?\d|\b\d\d\d\s*\W?\s*(?:page|file|not|forbidden|unauthorized|bad|internal|service|gateway)\b"
-    r"|\b(?:page|file|document|article)\s+not\s+found\s*(?:[.!\n]|$)"
-)
-_SIGN_PARTS = frozenset("error erreur fehler erro ошибка page file not forbidden unauthorized bad internal gateway".split())
+NOTICE_PATTERNS = [
+    rf"(?:please |you (?:need|have) to |you must |to \w+(?: \w+){{0,4}} )?(?:enable|activate|allow|turn on|switch on) (?:\w+ )?{_SCRIPTS}\b",
+    r"(?:bitte )?(?:aktivieren|erlauben) sie (?:\w+ )?(?:java ?script|skripte|cookies)\b",
+    r"(?:veuillez |merci d )?activer (?:\w+ )?(?:java ?script|les scripts)\b",
+    r"(?:por favor )?(?:active|habilite|ative) (?:\w+ )?(?:java ?script|los scripts)\b",
+    r"(?:пожалуйста )?включите (?:java ?script|скрипты)",
+    rf"(?:this|the) (?:site|page|website|viewer|reader|application) (?:requires|needs) (?:\w+ )?(?:{_SCRIPTS}|cookies)\b",
+    rf"your browser (?:does not|doesn t|cannot) (?:support|run) {_SCRIPTS}\b",
+    rf"{_SCRIPTS} (?:must|has to|have to|needs? to) be (?:allowed|enabled|switched on|turned on)\b",
+    r"checking your browser\b",
+    r"viewer inactive\b",
+    rf"(?:loading )?if nothing appears {_SCRIPTS}",
+    r"loading if nothing appears",
+    r"reload after changing the setting",
+    r"(?:error |http error )?000 (?:page |file )?(?:not found|forbidden|unauthorized|bad gateway|bad request|internal server error|service unavailable|gateway timeout)\b",
+    r"(?:page|file|document|article) not found$",
+    r"(?:the )?(?:page|address|url|content|article|document) you (?:asked for|requested|are looking for) (?:does not|doesn t|could not|cannot|can t|was not|is not)\b",
+    r"(?:the )?requested (?:page|url|article|document|content|resource) (?:could not|cannot|was not|is not|does not)\b",
+    r"(?:error|erreur|fehler|erro|ошибка) (?:code )?0+ (?:the|une?|la|le|der|die|das|o|a|page|not|internal|service)\b",
+    r"une erreur (?:interne )?est survenue",
+    r"seite nicht gefunden\b",
+    r"der angeforderte inhalt\b",
+    r"pagina no encontrada\b",
+    r"página no encontrada\b",
+    r"page (?:introuvable|non trouvée)\b",
+    r"página não encontrada\b",
+    r"страница не найдена",
+    r"we are down for\b",
+    r"(?:this|the) (?:site|service|archive|server) is (?:down|(?:temporarily|currently) (?:unavailable|down))\b",
+    r"(?:oops )?something went wrong\b",
+    r"your session has expired\b",
+    r"please log in again\b",
+    r"access denied(?: you|$)",
+    r"you don t have permission\b",
+    r"internal server error\b",
+    r"the (?:requested article|request) could not be\b",
+    r"gateway timeout\b",
+    r"service (?:temporarily )?unavailable$",
+    r"too many requests$",
+    r"your (?:ip )?address has been blocked\b",
+    r"traceback most recent call last\b",
+    r"(?:key|value|type|name|index|attribute|runtime|import)error\b",
+    r"http 0 0 000\b",
+    r"pdf conversion failed\b",
+    r"(?:your|sample|dummy|placeholder) text (?:goes )?here\b",
+    r"your text goes here\b",
+    r"replace this (?:paragraph|text|sentence)\b",
+    r"sample (?:abstract|text|paragraph)\b",
+]
+NOTICES = re.compile("^(?:noscript )?(?:" + "|".join(NOTICE_PATTERNS) + ")")
+#: How the notices begin, in small letters: each pattern above begins with one of these, which the tests hold against all
+#: branches of the patterns. Words that open ordinary sentences are followed up to a word that does so rarely.
+OPENINGS = [
+    r"noscript|please|enable|activate|allow|turn|switch|bitte|aktivieren|erlauben|veuillez|merci|activer|active|habilite|ative|пожалуйста|включите",
+    r"to (?:[^\W_]+ ){1,5}(?:enable|activate|allow|turn|switch)|you (?:need|have|must|don)|your (?:browser|session|ip|address|text)|por favor",
+    r"(?:this|the) (?:site|page|website|viewer|reader|application|service|archive|server|address|url|content|article|document|requested|request)",
+    r"javascript|java|scripts?|scripting|skripte|les scripts|checking your|viewer inactive|loading|if nothing|reload",
+    r"error|http|\d\d\d|erreur|fehler|erro|ошибка|(?:page|file|document|article|address|url|content) (?:not|you|introuvable|non)|requested",
+    r"une erreur|seite nicht|der angeforderte|pagina|página|страница|we are down|oops|something went|access denied|internal server|gateway timeout",
+    r"service (?:temporarily|unavailable)|too many|traceback|(?:key|value|type|name|index|attribute|runtime|import)error|pdf conversion",
+    r"(?:sample|dummy|placeholder) (?:text|abstract|paragraph)|replace this",
+]
+_OPENING = re.compile(r"(?:^|[.!?…](?=[\s<]))[\W_]*(?:" + "|".join(OPENINGS).replace(" ", r"[\W_]+") + r")(?![^\W_])", re.M)
+_FILLER = LATIN_FILLER | TYPED_FILLER
 _TOKEN = re.compile(r"[^\W_]+|\n")
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+|(?<=[.!?])(?=<)")
@@ -182,8 +176,13 @@ def plain(word: str) -> str:
     return word if word.isalpha() else re.sub(r"\d", "0", word)
 
 
+def mostly_filler(words: list[str]) -> bool:
+    return len(words) >= 4 and sum(map(_FILLER.__contains__, words)) >= 0.7 * len(words)
+
+
 def has_sign(low: str, words: list[str]) -> bool:
-    return not SIGN_WORDS.isdisjoint(words) or (not _SIGN_PARTS.isdisjoint(words) and _SIGNS.search(low) is not None)
+    """Whether a line, in small letters and as words, may be residue: true for all lines that are."""
+    return mostly_filler(words) or _OPENING.search(low) is not None
 
 
 def is_residue(line: str) -> bool:
@@ -320,13 +319,13 @@ def _lines(batches):
                 low = text.lower()
                 tokens = _TOKEN.findall(low)
                 where.append((len(stream), d))
-                if has_sign(low, tokens):
-                    place = len(stream)
-                    for row in text.split("\n"):
-                        own = _WORD.findall(row.lower())
-                        if own and has_sign(row.lower(), own) and is_residue(row):
-                            trusted.add(place)
-                        place += len(own) + 1
+                begin_line, opened = 0, _OPENING.search(low) is not None
+                ends = [*(i for i, t in enumerate(tokens) if t == "\n"), len(tokens)]
+                for row, low_row, end_line in zip(text.split("\n"), low.split("\n"), ends, strict=True):
+                    own = tokens[begin_line:end_line]
+                    if own and (mostly_filler(own) or (opened and _OPENING.search(low_row))) and is_residue(row):
+                        trusted.add(len(stream) + begin_line)
+                    begin_line = end_line + 1
                 stream.extend([codes[t] for t in tokens])
                 stream.append(0)
             text_codes = np.array(stream, dtype=np.uint64)

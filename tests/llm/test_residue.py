@@ -99,3 +99,45 @@ def test_a_variant_no_pattern_knows_is_found(spark, rows):
     base = "Please enable JavaScript in the settings of your own web browser before you try to open the full text of this archived article of the repository again later today thank you very much for all of your kind patience with us"
     df = spark.createDataFrame([(1, base), (2, "Title\nWe ask: " + base)], "doc_id long, text string")
     assert {r["doc_id"] for r in rows(residue.residue(df))} == {1, 2}
+
+
+def example(tree, rng):
+    """A random string that a parsed pattern matches."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, value = rng.choice(arg)
+            out += chr(value) if str(kind) == "LITERAL" else "q"
+        elif op == "BRANCH":
+            out += example(rng.choice(arg[1]), rng)
+        elif op == "SUBPATTERN":
+            out += example(arg[3], rng)
+        elif op == "MAX_REPEAT":
+            out += "".join(example(arg[2], rng) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 4))))
+        else:
+            assert op == "AT", op
+    return out
+
+
+@pytest.mark.parametrize("pattern", residue.NOTICE_PATTERNS)
+def test_every_notice_passes_the_gate(pattern):
+    import random
+    import re
+
+    rng, tree = random.Random(1), re._parser.parse(pattern)
+    for text in {example(tree, rng) for _ in range(400)}:
+        for line in (text, text.upper(), "Title of it. - " + text, "Stop!<noscript>" + text.replace(" ", " - "), text.replace("0", "4")):
+            assert residue.is_residue(line), line
+            assert residue.has_sign(line.lower(), residue._WORD.findall(line.lower())), line
+
+
+def test_every_filler_word_passes_the_gate(spark, rows):
+    words = sorted(residue.LATIN_FILLER | residue.TYPED_FILLER)
+    for w in words:
+        assert residue.has_sign(" ".join([w] * 4), [w] * 4) and residue.has_sign("", [w, "x", w, w]) and residue.is_residue(" ".join([w] * 4))
+    lines = ["test test test test", "Please log in again", "We are down for repairs", "This site is currently down", "Sample abstract", "The request could not be completed", "enable script"]
+    df = spark.createDataFrame([(i, "Title of a text\n\n" + x + "\nmore words") for i, x in enumerate(lines)], "doc_id long, text string")
+    assert {r["doc_id"] for r in rows(residue.residue(df))} == set(range(len(lines)))
