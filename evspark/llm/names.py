@@ -2,8 +2,9 @@
 
 Method: every distinct spelling is parsed into a form (surname, given name and initials of a person, the name of a
 group, the words of a periodical). MinHash signatures over the padded q-grams of the forms' keys are cut into bands;
-the number of bands is taken from the collision curve, so that forms as similar as one typing error leaves them meet
-with the wanted probability. Pairs that meet are verified by Monge-Elkan similarity of their words, where an initial
+the number of bands is taken from the collision curve, so that forms of similarity MEET_AT meet with the wanted
+probability. One typing error leaves less than that of a short name: keys also meet if a letter taken from each makes
+them equal, which all keys at one edit or swap do. Pairs that meet are verified by Monge-Elkan similarity of their words, where an initial
 or an abbreviation agrees with the word it begins and a nickname with its name, and where every word has to find its
 match. Star clustering then takes the most frequent full forms as centres and gives each other form to the one
 centre it fits best, so that chains of errors join nothing.
@@ -122,6 +123,15 @@ def grams(kind: str, key: str) -> set[str]:
     return {w[i : i + Q] for w in padded for i in range(max(1, len(w) - Q + 1))}
 
 
+def shortened(kind: str, key: str) -> set[str]:
+    """The key, and the key without each of its letters: two keys at one edit or swap have one of these in common.
+
+    The words of a periodical are put in order again, since an edit may have moved one.
+    """
+    words = key.split(" ") if kind == "journal" else [key]
+    return {key} | {" ".join(sorted([*words[:k], w[:i] + w[i + 1 :], *words[k + 1 :]])) for k, w in enumerate(words) for i in range(len(w))}
+
+
 def _seeds(n: int) -> np.ndarray:
     return np.random.default_rng(20240101).integers(0, 1 << 63, n, dtype=np.uint64)
 
@@ -147,6 +157,9 @@ def _band_rows(batches):
             mixed = (sigs.reshape(len(part), n, ROWS) * weights).sum(axis=2, dtype=np.uint64)
             mixed ^= np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # the band
             yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), n), "hash": mixed.ravel().view(np.int64)})
+            exact = [(i, xxhash.xxh64_intdigest(f"{kind}|{x}")) for i, kind, key in zip(part["id"], part["kind"], part["key"], strict=True) for x in shortened(kind, key)]
+            ids, hashes = zip(*exact, strict=True)
+            yield pd.DataFrame({"id": np.array(ids, dtype=np.int64), "hash": np.array(hashes, dtype=np.uint64).view(np.int64)})
 
 
 def _meetings(batches):
@@ -321,7 +334,7 @@ def clusters(names: DataFrame) -> DataFrame:
     base = parsed.groupBy("kind", "base").agg(F.sum("n").alias("base_n"), F.count("*").alias("base_forms"))
     forms = checkpoint(forms.join(base, ["kind", "base"]))
 
-    # keys that meet in a band: only numbers are shuffled, and become keys again for the pairs that met
+    # keys that meet in a band or without a letter: only numbers are shuffled, and become keys again for the pairs that met
     keys = checkpoint(forms.select("kind", "key").distinct().withColumn("id", F.xxhash64("kind", "key")))
     dealt = keys.mapInPandas(_band_rows, "id long, hash long").repartition("hash").sortWithinPartitions("hash")
     met = dealt.mapInPandas(_meetings, "id long, id2 long").distinct()
