@@ -2,8 +2,9 @@
 
 Method: the answers are sorted by text (a range partitioning, then a sort inside partitions) and each is compared with
 its successor; one that is a proper prefix of it is a shortened version. Lengths that answers without a proper end
-share far more often than the lengths beside them are limits that cut answers. With these two signs, each answer and
-its request go through the rules: empty, copy, refusal, truncated, language.
+share far more often than the lengths beside them are limits that cut answers. An answer that another answer to the same
+request begins with is cut wherever it ends; a beginning of any other answer only at a limit. With these signs, each
+answer and its request go through the rules: empty, copy, refusal, truncated, language.
 
 A prefix of any other answer is a prefix of its successor in the order too, so comparing neighbours finds all of them
 without comparing pairs; the last answer of a partition is compared with the first of the next by a summary of one row
@@ -266,9 +267,17 @@ def shortened_versions(texts: DataFrame) -> DataFrame:
     return rows.where("shortened").select("raw_text").unionByName(last.select("raw_text"))
 
 
+def cut_attempts(answers: DataFrame) -> DataFrame:
+    """(request_id, raw_text) of answers that another answer to the same request begins with."""
+    texts = answers.where("request_id IS NOT NULL AND trim(raw_text) <> ''").select("request_id", "raw_text").distinct()
+    following = F.lead("raw_text").over(Window.partitionBy("request_id").orderBy("raw_text"))
+    return texts.withColumn("next", following).where(F.col("next").startswith(F.col("raw_text"))).select("request_id", "raw_text")
+
+
 def length_limits(answers: DataFrame) -> DataFrame:
-    """(size): lengths at which answers are cut, from those that do not end as a text ends."""
-    unended = answers.where(~F.col("raw_text").rlike(r"[.!?}`\]\"]\s*$")).groupBy(F.length("raw_text").alias("size")).agg(F.count("*").alias("n"))
+    """(size): lengths at which answers are cut, from those that do not end as a text ends and are not empty."""
+    words = F.lower(F.regexp_replace(F.regexp_replace("raw_text", r"</?[A-Za-z]+\s*/?>|```\w*", ""), r"[^\p{L}\p{N}]", ""))
+    unended = answers.where((words != "") & ~words.isin(*sorted(_NOTHING))).where(~F.col("raw_text").rlike(r"[.!?}`\]\"]\s*$")).groupBy(F.length("raw_text").alias("size")).agg(F.count("*").alias("n"))
     near = F.explode(F.sequence(F.col("size") - SPIKE_NEAR, F.col("size") + SPIKE_NEAR)).alias("size")
     around = unended.select(near, "n").groupBy("size").agg(F.sum("n").alias("all"))
     mean = (F.col("all") - F.col("n")) / (2 * SPIKE_NEAR)
@@ -291,18 +300,19 @@ def defects(responses: DataFrame, requests: DataFrame) -> DataFrame:
     texts = checkpoint(answers.where("trim(raw_text) <> ''").groupBy("raw_text").agg(F.count("*").alias("n")))
     cut = checkpoint(shortened_versions(texts)).withColumn("shortened", F.lit(True))
     marked = lookup_join(answers, cut, "raw_text", texts).withColumn("size", F.length("raw_text")).join(limits, "size", "left")
+    marked = marked.join(cut_attempts(answers).withColumn("cut", F.lit(True)), ["request_id", "raw_text"], "left")
     asked = requests.groupBy("request_id").agg(F.min("request").alias("request"))
 
     def judge(batches):
         for pdf in batches:
             pdf["defect"] = [
-                defect_of(t, r, s is True, a is True)
-                for t, r, s, a in zip(pdf["raw_text"], pdf["request"], pdf["shortened"], pdf["at_limit"], strict=True)
+                defect_of(t, r, s is True or c is True, a is True or c is True)
+                for t, r, s, a, c in zip(pdf["raw_text"], pdf["request"], pdf["shortened"], pdf["at_limit"], pdf["cut"], strict=True)
             ]
             yield pdf.loc[pdf["defect"].notna(), ["request_id", "attempt", "defect"]]
 
     return (
-        marked.select("request_id", "attempt", "raw_text", "shortened", "at_limit").join(asked, "request_id", "left")
+        marked.select("request_id", "attempt", "raw_text", "shortened", "at_limit", "cut").join(asked, "request_id", "left")
         .mapInPandas(judge, "request_id string, attempt long, defect string").distinct()
     )
 

@@ -39,3 +39,13 @@ def test_neighbours_find_all_prefixes(spark, rows):
     df = spark.createDataFrame([(t,) for t in set(texts)], "raw_text string")
     got = {r["raw_text"] for r in rows(responses.shortened_versions(df))}
     assert got == {t for t in texts if any(u != t and u.startswith(t) for u in texts)}
+
+
+def test_a_cut_at_a_sentence_end_beside_its_full_version(spark, rows):
+    cut = GOOD[: GOOD.index(". ") + 1]
+    data = [("a", 1, cut), ("a", 2, GOOD), ("b", 1, cut), ("c", 1, GOOD), ("c", 2, GOOD), (None, 1, cut), (None, 2, GOOD)]
+    data += [(f"e{i:02d}", 1, "<answer></answer>") for i in range(20)]
+    df = spark.createDataFrame([(i, k, "response", t) for i, k, t in data], "request_id string, attempt int, kind string, raw_text string")
+    req = spark.createDataFrame([(i, REQUEST) for i in "abc"], "request_id string, request string")
+    out = {(r["request_id"], r["attempt"]): r["defect"] for r in rows(responses.defects(df, req)) if r["defect"] != "empty"}
+    assert out == {("a", 1): "truncated"} and rows(responses.length_limits(df)) == []
