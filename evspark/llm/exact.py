@@ -42,28 +42,40 @@ def _several(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), keys, "left_semi")
 
 
+def parted(records: DataFrame) -> DataFrame:
+    """(record_id, t, d, k): all rows with their keys and the class of their invariants, which is NULL for a row with
+    neither title nor DOI."""
+    title, doi = title_and_doi(F.col("title"), F.col("doi"))
+    rows = records.select("record_id", stripped(title).alias("t"), stripped(doi).alias("d"))
+    # one long for all invariants; a chance collision only leaves a row for the next level
+    letters = [F.length("t") - F.length(F.translate("t", c, "")) for c in "aeiostnrlcdmup"]
+    digits = F.length(F.regexp_replace("t", r"\D", ""))
+    invariants = F.xxhash64(F.length("t"), F.length("d"), digits, *letters)
+    return checkpoint(rows.withColumn("k", F.when((F.col("t") != "") | (F.col("d") != ""), invariants)))
+
+
 def refine(records: DataFrame) -> DataFrame:
     """(record_id, title_key, doi_key) of the rows that are in a class with another row.
 
     Null, empty and blank are the same missing value; a row with neither title nor DOI is in no class.
     """
-    title, doi = title_and_doi(F.col("title"), F.col("doi"))
-    rows = records.select("record_id", stripped(title).alias("t"), stripped(doi).alias("d")).where("t <> '' OR d <> ''")
-    # one long for all invariants; a chance collision only leaves a row for the next level
-    letters = [F.length("t") - F.length(F.translate("t", c, "")) for c in "aeiostnrlcdmup"]
-    digits = F.length(F.regexp_replace("t", r"\D", ""))
-    parted = checkpoint(rows.withColumn("k", F.xxhash64(F.length("t"), F.length("d"), digits, *letters)))
-    return _several(parted, ["k"]).select("record_id", F.col("t").alias("title_key"), F.col("d").alias("doi_key"))
+    return _likely(parted(records))
+
+
+def _likely(rows: DataFrame) -> DataFrame:
+    return _several(rows.where("k IS NOT NULL"), ["k"]).select("record_id", F.col("t").alias("title_key"), F.col("d").alias("doi_key"))
 
 
 def classes(records: DataFrame) -> DataFrame:
     """(record_id, copies): one row per set of copies, named by its smallest id, single rows included.
 
-    ``copies`` counts rows, the row itself too.
+    ``copies`` counts rows, the row itself too. A row with neither title nor DOI is a set of its own.
     """
-    likely = refine(records)
-    sets = likely.groupBy("title_key", "doi_key").agg(F.min("record_id").alias("record_id"), F.count("*").alias("copies"))
-    return sets.select("record_id", "copies")
+    rows = parted(records)
+    several = rows.where("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    alone = rows.join(several, "k", "left_anti").select("record_id", F.lit(1).cast("long").alias("copies"))
+    sets = _likely(rows).groupBy("title_key", "doi_key").agg(F.min("record_id").alias("record_id"), F.count("*").alias("copies"))
+    return sets.select("record_id", "copies").unionByName(alone)
 
 
 def copy_pairs(records: DataFrame) -> DataFrame:

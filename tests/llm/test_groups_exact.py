@@ -103,3 +103,9 @@ def test_votes_of_a_large_group(spark, rows):
     values = [("g", "title", f"the effects of walking on mood v{i}", 1.0) for i in range(300)] + [("g", "title", "the effects of walking on mood", 2.0), ("h", "title", "one", 1.0)]
     out = {r["group"]: r["value"] for r in rows(survivors.vote(spark.createDataFrame(values, "group string, field string, value string, weight double")))}
     assert out == {"g": "the effects of walking on mood", "h": "one"}
+
+
+def test_classes_keep_single_rows(spark, rows):
+    data = [("a1", "One title", "10.1000/x"), ("a2", "ONE title.", "10.1000/X"), ("b1", "Alone in its class", ""), ("c1", "listen", ""), ("d1", "silent", ""), ("e1", "", None), ("e2", " ", "")]
+    out = sorted((r["record_id"], r["copies"]) for r in rows(exact.classes(rec(spark, [(*x,) for x in data]).select("record_id", "title", "doi"))))
+    assert out == [("a1", 2), ("b1", 1), ("c1", 1), ("d1", 1), ("e1", 1), ("e2", 1)]
