@@ -109,3 +109,12 @@ def test_classes_keep_single_rows(spark, rows):
     data = [("a1", "One title", "10.1000/x"), ("a2", "ONE title.", "10.1000/X"), ("b1", "Alone in its class", ""), ("c1", "listen", ""), ("d1", "silent", ""), ("e1", "", None), ("e2", " ", "")]
     out = sorted((r["record_id"], r["copies"]) for r in rows(exact.classes(rec(spark, [(*x,) for x in data]).select("record_id", "title", "doi"))))
     assert out == [("a1", 2), ("b1", 1), ("c1", 1), ("d1", 1), ("e1", 1), ("e2", 1)]
+
+
+def test_long_blank_abstracts_are_not_own(spark, rows):
+    from evspark.llm import survivors
+
+    data = [(1, "-" * 201), (2, "No abstract" + " " * 200 + "available"), (3, "." * 500), (4, "word " * 60), (5, "Short text of its own")]
+    df = spark.createDataFrame([(i, a, "") for i, a in data], "i int, abstract string, abstract_from string")
+    out = {r["i"]: r["own"] for r in rows(df.select("i", survivors.is_own(df["abstract"], df["abstract_from"]).alias("own")))}
+    assert out == {1: False, 2: False, 3: False, 4: True, 5: True}
