@@ -1,13 +1,15 @@
 """Consolidating pairwise matches into groups (problem 4).
 
-Method: vertices of degree one are stripped and chains of degree-two vertices are compressed by list ranking
-(each round contracts an independent set of them, chosen by random priorities), again and again while this
-removes a good part of the vertices; the reduced core is solved by local contraction; then the labels are given
-back to the removed vertices, last removed first. A match graph is mostly pairs, stars and short chains, so the
-core is a small part of it.
+Method: vertices of degree one are stripped and chains of degree-two vertices are compressed by list ranking. Each
+round takes out an independent set of such vertices, chosen by random priorities: of two neighbours of degree two at most,
+the one with the smaller priority may go. A leaf points at its neighbour; a vertex of a chain points at one neighbour,
+and its two neighbours are linked. Rounds go on while they remove a good part of the vertices; what is left is the reduced
+core, which is solved by local contraction, and by one task as soon as it is small. Then the labels are given back to the
+removed vertices, last removed first. A match graph is mostly pairs, stars and short chains, so the core is a small part.
 
 Every step is an aggregation or an equi-join over links or vertices. Neighbourhoods are never collected: a vertex
-of degree one or two is described by its count, smallest and largest neighbour.
+of degree one or two is described by its count, smallest and largest neighbour. A round takes three shuffles, and each
+removed vertex is written once.
 """
 
 from __future__ import annotations
@@ -15,75 +17,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.operators.components import contract, restore, smallest, undirected
-from evspark.runtime import HOT_SHARE, blank_to_null, checkpoint, lookup_join, table
+from evspark.operators.components import CORE, contract, restore, smallest, undirected
+from evspark.runtime import blank_to_null, checkpoint, table
 
-#: Stripping goes on while a round removes at least this part of the vertices, and for so many rounds at most;
-#: what is left is the core, whatever its size.
-LEAST_PART, MOST_ROUNDS = 0.1, 12
-
-
-def _degrees(links: DataFrame) -> DataFrame:
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return checkpoint(
-        both.groupBy(F.col("u").alias("id")).agg(
-            F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")
-        )
-    )
+#: Stripping goes on while a round removes at least this part of the vertices.
+LEAST_PART = 0.1
 
 
 def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("u"), F.greatest(x, y).alias("v")]
 
 
-def _strip_leaves(links: DataFrame, degrees: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pointers of the stripped vertices, and the other links. Of a link between two leaves the larger id goes."""
-    leaves = degrees.where("n = 1").select("id", F.col("a").alias("parent"))
-    mutual = leaves.select(F.col("id").alias("parent"), F.col("parent").alias("id")).where(F.col("id") < F.col("parent"))
-    gone = checkpoint(leaves.join(mutual, ["id", "parent"], "left_anti"))
-    return gone, links.join(gone.select(*_pair("id", "parent")), ["u", "v"], "left_anti")
-
-
-def _compress_chains(links: DataFrame, degrees: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """Pointers of an independent set of degree-two vertices, and the links with these contracted."""
+def _reduced(links: DataFrame, k: int) -> tuple[DataFrame, DataFrame, int]:
+    """One round: the vertices taken out (id, parent), the other links, and how many vertices there were."""
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    vertices = checkpoint(both.groupBy(F.col("u").alias("id")).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")))
     rank = F.struct(F.xxhash64(F.lit(k), F.col("id")).alias("h"), F.col("id").alias("x"))
-    chain = degrees.where("n = 2").select("id", "a", "b", rank.alias("rank"))
-    total = degrees.agg(F.sum("n").alias("t"))
-    # a vertex with more than 1/HOT_SHARE of all link ends is no chain vertex: it can't be in the way
-    hubs = degrees.crossJoin(F.broadcast(total)).where(F.col("n") * HOT_SHARE > F.greatest("t", F.lit(4 * HOT_SHARE))).select(F.col("id").alias("near"))
-    beside = chain.select("id", "rank", F.explode(F.array("a", "b")).alias("near"))
-    beaten = (
-        beside.join(F.broadcast(hubs), "near", "left_anti")
-        .join(chain.select(F.col("id").alias("near"), F.col("rank").alias("other")), "near")
-        .where(F.col("other") < F.col("rank"))
-        .select("id")
-    )
-    gone = checkpoint(chain.join(beaten, "id", "left_anti").select("id", "a", "b"))
-    old = gone.select(*_pair("id", "a")).unionByName(gone.select(*_pair("id", "b")))
-    kept = links.join(old, ["u", "v"], "left_anti")
-    return gone.select("id", F.col("a").alias("parent")), kept.unionByName(gone.select(*_pair("a", "b"))).distinct()
-
-
-def labels(pairs: DataFrame) -> DataFrame | None:
-    """(id, root) for every end of a link (u, v); None if nothing links two different ids."""
+    thin = vertices.where("n <= 2").select("id", "n", "a", "b", rank.alias("rank"))
+    # each tells its neighbours its priority, of which the least is kept: a hub hears any number of them at no cost
+    told = thin.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("id"), F.col("rank").alias("heard"))
+    met = thin.withColumn("own", F.struct("rank", "n", "a", "b")).select("id", "own").unionByName(told, allowMissingColumns=True)
+    free = met.groupBy("id").agg(F.max("own").alias("own"), F.min("heard").alias("heard"))
+    gone = checkpoint(free.where("own IS NOT NULL AND (heard IS NULL OR own.rank < heard)").select("id", "own.n", "own.a", "own.b"))
+    cut = gone.select(*_pair("id", "a")).unionByName(gone.where("n = 2").select(*_pair("id", "b"))).withColumn("old", F.lit(1))
+    new = gone.where("n = 2").select(*_pair("a", "b")).withColumn("old", F.lit(0))
+    kept = links.withColumn("old", F.lit(0)).unionByName(cut).unionByName(new).groupBy("u", "v").agg(F.max("old").alias("old"))
+    return gone.select("id", F.col("a").alias("parent")), checkpoint(kept.where("old = 0").select("u", "v")), vertices.count()
+
+
+def labels(pairs: DataFrame, core: int = CORE) -> DataFrame | None:
+    """(id, root) for every end of a link (u, v); None if nothing links two different ids. A core of at most ``core``
+    links is left to one task; at least one round comes before."""
     live = checkpoint(undirected(pairs))
     history: list[DataFrame] = []
-    for k in range(MOST_ROUNDS):
-        degrees = _degrees(live)
-        before = degrees.count()
-        if not before:
-            break
-        gone, live = _strip_leaves(live, degrees)
-        live, n = checkpoint(live), gone.count()
+    more = not live.isEmpty()
+    while more:
+        gone, live, before = _reduced(live, len(history))
         history.append(gone)
-        degrees = _degrees(live)
-        gone, rest = _compress_chains(live, degrees, k)
-        if m := gone.count():
-            live = checkpoint(rest)
-            history.append(gone)
-        if n + m < LEAST_PART * before:
-            break
-    history += contract(live)[0]
+        more = live.count() > core and gone.count() >= LEAST_PART * before
+    history += contract(live, core)
     return restore(history) if history else None
 
 
@@ -121,10 +93,9 @@ def record_groups(review_pairs: DataFrame, ledger: DataFrame) -> DataFrame:
     if found is None:
         return ids.select(F.col("id").alias("record_id"), F.col("id").alias("group_first")).where(F.lit(False))
     own = found.join(ids, "id", "left_semi")
-    size = own.groupBy("root").agg(F.min("id").alias("group_first"), F.count("*").alias("n")).where("n > 1")
-    return lookup_join(own, size, "root", size.select("root", "n"), "inner").select(
-        F.col("id").alias("record_id"), "group_first"
-    )
+    size = checkpoint(own.groupBy("root").agg(F.min("id").alias("group_first"), F.count("*").alias("n")).where("n > 1"))
+    # written, so that the join has two bare shuffles and a hot group is split
+    return own.join(size, "root").select(F.col("id").alias("record_id"), "group_first")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
