@@ -38,6 +38,20 @@ def test_consolidate_equals_brute_force(spark, rows, kind):
     assert {r["id"]: (r["group"], r["n"]) for r in rows(groups.consolidate(df))} == {x: (find(x), size[find(x)]) for x in linked}
 
 
+@pytest.mark.parametrize("core", [0, 10])
+def test_rounds_without_a_small_core(spark, rows, core):
+    """All is stripped, compressed and contracted where no task may solve more than ``core`` links."""
+    rng = random.Random(core)
+    edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(60)] + [(f"{rng.randint(0, 90)}", f"{rng.randint(0, 90)}") for _ in range(140)] + [("hub", f"x{i}") for i in range(80)]
+    find = find_all(edges)
+    out = {}
+    for r in rows(groups.labels(spark.createDataFrame(edges, "u string, v string"), core)):
+        assert r["id"] not in out
+        out[r["id"]] = r["root"]
+    linked = {x for u, v in edges if u != v for x in (u, v)}
+    assert set(out) == linked and len({(out[x], find(x)) for x in linked}) == len({find(x) for x in linked}) == len(set(out.values()))
+
+
 def test_consolidate_of_nothing(spark, rows):
     for data in ([], [("a", "a")], [(None, None)]):
         assert rows(groups.consolidate(spark.createDataFrame(data, "u string, v string"))) == []
@@ -90,13 +104,69 @@ def test_survivors(spark, rows):
     assert rows(survivors.best_representative(spark.createDataFrame([], COLUMNS))) == []
 
 
-def test_consensus_votes_by_token():
-    values = ["the effects of walking on mood", "effects of walking on mood", "the efects of walking on mood", "the effects of walking mood"]
-    assert survivors.consensus([(v.split(), 1.0) for v in values]) == "the effects of walking on mood".split()
-    assert survivors.consensus([("a b".split(), 5.0), ("x y z".split(), 1.0)]) == ["a", "b"]
-    assert survivors.distance("a b c".split(), "a x c d".split()) == 2 and survivors.distance([], ["a"]) == 1
+def consensus(values):
+    """The vote in plain Python: each value aligned with the guide, every column counted in full."""
+    values = [(v.split(), w) for v, w in values]
+    guide, total = min(values, key=lambda x: (-x[1], " ".join(x[0])))[0], sum(w for _, w in values)
+    for _ in range(survivors.PASSES):
+        columns = {}
+        for tokens, w in values:
+            column, offset = 0, 0
+            for i, j in survivors.alignment(guide, tokens):
+                column, offset = (column, offset + 1) if i is None else (i, 0)
+                cell = columns.setdefault((column, offset), Counter())
+                if j is not None:
+                    cell[tokens[j]] += w
+                column, offset = (column, offset) if i is None else (i + 1, 0)
+        out = []
+        for key in sorted(columns, key=lambda k: (k[0], k[1] or 10**9)):
+            best, weight = min(columns[key].items(), key=lambda x: (-x[1], x[0]), default=(None, -1))
+            if weight >= total - sum(columns[key].values()):
+                out.append(best)
+        guide = out
+    return guide
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_alignment_is_cheapest():
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 9))] for _ in "ab")
+        columns = survivors.alignment(a, b)
+        assert [i for i, _ in columns if i is not None] == list(range(len(a))) and [j for _, j in columns if j is not None] == list(range(len(b)))
+        assert sum(i is None or j is None or a[i] != b[j] for i, j in columns) == edit_distance(a, b) == survivors.distance(a, b)
+        assert survivors.applied(a, survivors.differences(a, b)) == b
     long = [f"w{i}" for i in range(3000)]
-    assert survivors.consensus([(long, 1.0), (long[:1500] + ["new"] + long[1500:], 1.0), (long, 1.0)]) == long
+    assert survivors.differences(long, long[:1500] + ["new"] + long[1500:]) == [(1500, 1, "new")]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_votes_equal_a_count_of_whole_columns(spark, rows, seed):
+    rng = random.Random(seed)
+    base, values = "the effects of daily walking on low mood in older adults".split(), {}
+    for g in range(25):
+        for _ in range(rng.randint(1, 9)):
+            v = list(base)
+            for _ in range(rng.randint(0, 4)):
+                k = rng.randrange(len(v))
+                v[k : k + rng.randint(0, 1)] = rng.choice([[], ["new"], ["of", "the"], [v[k] + "s"]])
+            values[f"g{g}", " ".join(v) or "none"] = float(rng.randint(1, 6))
+    df = spark.createDataFrame([(g, "title", v, w) for (g, v), w in values.items()], "group string, field string, value string, weight double")
+    expected = {}
+    for g in {g for g, _ in values}:
+        own = [(v, w) for (h, v), w in values.items() if h == g]
+        voted = consensus(own)
+        expected[g] = min(own, key=lambda x: (edit_distance(x[0].split(), voted), -x[1], x[0]))[0]
+    assert {r["group"]: r["value"] for r in rows(survivors.vote(df))} == expected
 
 
 def test_votes_of_a_large_group(spark, rows):
