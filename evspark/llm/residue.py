@@ -1,14 +1,15 @@
 """Template residue and error-page text (problem 10).
 
-Method: every line of every text gets a SimHash of its five-word shingles; partitioned tables (each keyed by half of
-the 64 bits) find lines at a small Hamming distance, and the least hashes of the shingles find all other lines of
-similarity SIMILARITY: the texts are then compared. Lines that a pattern of residue matches as a whole are trusted, and
-their label spreads over the connected components of near-duplicate lines, so that variants no pattern knows are found
-beside known ones. A text is residue if one of its lines is.
+Method: a labelled set of lines of residue (LABELLED, or the caller's own) is put beside the lines of all texts. Every line
+gets a SimHash of its five-word shingles; partitioned tables find lines at a small Hamming distance, and the least hashes
+of the shingles find all other lines of similarity SIMILARITY: the texts are then compared. The label of the labelled lines
+spreads over the connected components of near-duplicate lines. A text is residue if one of its lines is reached. Filler
+text is random words of a fixed vocabulary, so no line of it is like another: such lines are labelled by their vocabulary.
 
-Of two sets with that similarity, either has one of its floor(n / 5) + 1 least elements among those of the other. The
-tables alone miss nearly all pairs that are just similar enough; this join, which goes out from labelled lines only,
-misses none.
+The 64 bits are cut into five blocks, and each pair of blocks is the key of a table: two hashes that differ in up to HAMMING
+bits agree in two blocks at least. Of two sets with the wanted similarity, either has one of its floor(n / 5) + 1 least
+elements among those of the other. The tables alone miss nearly all pairs that are just similar enough; this join, which
+goes out from labelled lines only, misses none.
 
 An unfilled field makes a text residue wherever it stands, but its label does not spread: the line around a field is
 content, and the same line with the field filled in is sound.
@@ -16,13 +17,15 @@ content, and the same line with the field filled in is sound.
 Only numbers leave the Python workers: (doc_id, key, SimHash, label, hashes). Lines of equal words, whatever their punctuation
 and digits, have one key and are one node of the graph however often they occur, so boilerplate that stands in a third
 of all texts is one row in the tables; a label of any of them is a label of all. Texts are fetched again only for
-near-duplicates of a trusted line that are not trusted themselves.
+candidates beside a labelled line.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,36 +36,37 @@ from pyspark.sql import functions as F
 from evspark.runtime import checkpoint, table
 
 SHINGLE, SIMILARITY, HAMMING = 5, 0.8, 3
-#: Four blocks of 16 bits, two of which make a key: two lines that differ in up to two bits always share one.
-TABLES = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
+#: Blocks of bits (first bit, number), two of which make the key of a table.
+BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+TABLES = tuple(itertools.combinations(range(len(BLOCKS)), 2))
 
 NONE, FIELD, WHOLE = 0, 1, 2
 
 # ---- unfilled fields
 
-_NAME = r"[^\W\d_][\w \-/.#]{0,40}?"
+_NAME = r"[^\W\d_][\w \-/.#]*?"
 #: Notations of a field nobody filled in, each with a string without which there is none.
 FIELDS = [
     ("{{", rf"\{{\{{\s*#?{_NAME}\s*\}}\}}"),
     ("${", rf"\$\{{\s*{_NAME}\s*\}}"),
-    ("{%", r"\{%\s*[^%{}]{1,40}\s*%\}"),
+    ("{%", r"\{%\s*[^%{}\n]+\s*%\}"),
     ("[[", rf"\[\[\s*{_NAME}\s*\]\]"),
     ("<<", rf"<<\s*{_NAME}\s*>>"),
-    ("«", rf"«\s*{_NAME}\s*»(?!\w)"),
+    ("«", r"«\s*[^\W\d_][\w\-/.#]*(?: [\w\-/.#]+)?\s*»(?!\w)"),  # three words and more are a quotation
     ("@@", rf"@@\s*{_NAME}\s*@@"),
-    ("%", r"%(?<!\w%)[A-Z][A-Z0-9_]{1,30}%(?!\w)"),
-    ("__", r"__(?<!\w__)[A-Z][A-Z0-9_]{0,30}__(?!\w)"),
-    ("#", r"#(?<!\w#)[A-Z][A-Z0-9_]{1,30}#(?!\w)"),
-    ("[", r"\[\s*(?:INSERT|Insert|insert|ENTER|Enter|enter|ADD|Add|add|FILL IN|Fill in|fill in|YOUR|Your|your)\b[^\[\]\n]{1,50}\]"),
-    ("[", r"\[[^\[\]\n]{1,40}\s(?:to be (?:added|completed|confirmed|filled in|inserted)|goes here|TO BE ADDED|TBD|TBC)\]"),
+    ("%", r"%(?<!\w%)[A-Z][A-Z0-9_]+%(?!\w)"),
+    ("__", r"__(?<!\w__)[A-Z][A-Z0-9_]*?__(?!\w)"),
+    ("#", r"#(?<!\w#)[A-Z][A-Z0-9_]+#(?!\w)"),
+    ("[", r"\[\s*(?:INSERT|Insert|insert|ENTER|Enter|enter|ADD|Add|add|FILL IN|Fill in|fill in|YOUR|Your|your)\b[^\[\]\n]+\]"),
+    ("[", r"\[[^\[\]\n]+\s(?:to be (?:added|completed|confirmed|filled in|inserted)|goes here|TO BE ADDED|TBD|TBC)\]"),
     ("____", rf"____+\s*[\[(]\s*{_NAME}\s*[\])]"),
     ("……", rf"……+\s*[\[(]\s*{_NAME}\s*[\])]"),
     ("......", rf"\.\.\.\.\.\.+\s*[\[(]\s*{_NAME}\s*[\])]"),
     ("TB", rf"TB(?<!\wTB)[DAC]\s*[\[(]\s*{_NAME}\s*[\])]"),
     ("TODO", r"TODO(?<!\wTODO)\s*:\s*\S+"),
     ("FIXME", r"FIXME(?<!\wFIXME)\s*:\s*\S+"),
-    ("X.X", r"X\.X{1,3}\s*\(\s*(?:SD|SE|CI|M|N)\b[^)]{0,12}X"),
-    ("<", r"<(?<!<<)(?P<tag>[A-Za-z][\w \-]{0,30})>(?!>)"),
+    ("X.X", r"X\.X{1,3}\s*\(\s*(?:SD|SE|CI|M|N)\b[^)\n]*X"),
+    ("<", r"<(?<!<<)(?P<tag>[A-Za-z][\w \-]*)>(?!>)"),
 ]
 _FIELDS = [(sign, re.compile(pattern)) for sign, pattern in FIELDS]
 #: Names in angle brackets that are markup; others are too if the text closes them.
@@ -101,96 +105,67 @@ LATIN_FILLER = frozenset(
 )
 TYPED_FILLER = frozenset("blah foo bar baz qux test testing xxx asdf asdfasdf qwer qwerty qwertz asd lkj jkl hjkl zxcv abc aaa bla yadda dummy text sample".split())
 
-#: Notices, matched against the beginning of a sentence in small letters with digits as 0 and no punctuation.
-_SCRIPTS = r"(?:java ?script|scripts?|scripting|skripte|les scripts)"
-NOTICE_PATTERNS = [
-    rf"(?:please |you (?:need|have) to |you must |to \w+(?: \w+){{0,4}} )?(?:enable|activate|allow|turn on|switch on) (?:\w+ )?{_SCRIPTS}\b",
-    r"(?:bitte )?(?:aktivieren|erlauben) sie (?:\w+ )?(?:java ?script|skripte|cookies)\b",
-    r"(?:veuillez |merci d )?activer (?:\w+ )?(?:java ?script|les scripts)\b",
-    r"(?:por favor )?(?:active|habilite|ative) (?:\w+ )?(?:java ?script|los scripts)\b",
-    r"(?:пожалуйста )?включите (?:java ?script|скрипты)",
-    rf"(?:this|the) (?:site|page|website|viewer|reader|application) (?:requires|needs) (?:\w+ )?(?:{_SCRIPTS}|cookies)\b",
-    rf"your browser (?:does not|doesn t|cannot) (?:support|run) {_SCRIPTS}\b",
-    rf"{_SCRIPTS} (?:must|has to|have to|needs? to) be (?:allowed|enabled|switched on|turned on)\b",
-    r"checking your browser\b",
-    r"viewer inactive\b",
-    rf"(?:loading )?if nothing appears {_SCRIPTS}",
-    r"loading if nothing appears",
-    r"reload after changing the setting",
-    r"(?:error |http error )?000 (?:page |file )?(?:not found|forbidden|unauthorized|bad gateway|bad request|internal server error|service unavailable|gateway timeout)\b",
-    r"(?:page|file|document|article) not found$",
-    r"(?:the )?(?:page|address|url|content|article|document) you (?:asked for|requested|are looking for) (?:does not|doesn t|could not|cannot|can t|was not|is not)\b",
-    r"(?:the )?requested (?:page|url|article|document|content|resource) (?:could not|cannot|was not|is not|does not)\b",
-    r"(?:error|erreur|fehler|erro|ошибка) (?:code )?0+ (?:the|une?|la|le|der|die|das|o|a|page|not|internal|service)\b",
-    r"une erreur (?:interne )?est survenue",
-    r"seite nicht gefunden\b",
-    r"der angeforderte inhalt\b",
-    r"pagina no encontrada\b",
-    r"página no encontrada\b",
-    r"page (?:introuvable|non trouvée)\b",
-    r"página não encontrada\b",
-    r"страница не найдена",
-    r"we are down for\b",
-    r"(?:this|the) (?:site|service|archive|server) is (?:down|(?:temporarily|currently) (?:unavailable|down))\b",
-    r"(?:oops )?something went wrong\b",
-    r"your session has expired\b",
-    r"please log in again\b",
-    r"access denied(?: you|$)",
-    r"you don t have permission\b",
-    r"internal server error\b",
-    r"the (?:requested article|request) could not be\b",
-    r"gateway timeout\b",
-    r"service (?:temporarily )?unavailable$",
-    r"too many requests$",
-    r"your (?:ip )?address has been blocked\b",
-    r"traceback most recent call last\b",
-    r"(?:key|value|type|name|index|attribute|runtime|import)error\b",
-    r"http 0 0 000\b",
-    r"pdf conversion failed\b",
-    r"(?:your|sample|dummy|placeholder) text (?:goes )?here\b",
-    r"your text goes here\b",
-    r"replace this (?:paragraph|text|sentence)\b",
-    r"sample (?:abstract|text|paragraph)\b",
+#: Labelled lines: notices as sites, servers and programs show them. Alternatives stand in braces. Digits count as 0.
+LABELLED = [
+    "Please {enable|activate|allow|turn on} {JavaScript|scripts|cookies|JavaScript and cookies} to {view|read|see|continue to} this {article|page|document|site|content}.",
+    "You {need|have} to {enable|activate} {JavaScript|scripts|cookies|JavaScript and cookies} to {view this page|view this site|run this app|continue to the full text}.",
+    "{This|The} {site|page|website} {requires|needs} {JavaScript|scripts|cookies} to be {enabled|switched on} in your browser. Reload after changing the setting.",
+    "Your browser does not support {JavaScript|scripts}, so the {reader|page|viewer} cannot be displayed.",
+    "{JavaScript is|Scripts are} {disabled|blocked|switched off} in your browser.",
+    "To use the {document viewer|reader|site}, turn on {scripting|JavaScript}.",
+    "<noscript>To use the {document viewer|reader|site}, turn on {scripting|JavaScript}.</noscript>",
+    "Viewer inactive: allow scripts, then press refresh (notice 0).",
+    "Loading… If nothing appears, {scripting|JavaScript} may be {blocked by an extension|disabled}.",
+    "Checking your browser before {granting access|accessing the site}. {Scripts|Cookies} must be allowed for this check.",
+    "{Bitte aktivieren Sie|Aktivieren Sie bitte} {JavaScript|Skripte|Cookies}, um {den Volltext|diese Seite|den Artikel} anzuzeigen.",
+    "Veuillez activer {JavaScript|les scripts|les cookies} pour {afficher|lire|voir} {cette page|cet article|ce document}.",
+    "{Active|Habilite} JavaScript en su navegador para {leer|ver} este {documento|artículo|sitio}.",
+    "{Ative|Habilite} o JavaScript no seu navegador para {ler|ver} este {documento|artigo|site}.",
+    "Пожалуйста, включите JavaScript, чтобы {прочитать эту статью|открыть эту страницу}.",
+    "0 – page not found. The {address|page} you {asked for|requested} does not exist on this server.",
+    "{Sorry, the page|The page} you {are looking for|requested} {could not be found|does not exist}.",
+    "{Sorry, page|Page|File|Article|Error 0: page} not found.",
+    "{HTTP/0.0 |Error |}0 {Forbidden|Not Found|Bad Gateway|Bad Request|Unauthorized|Internal Server Error|Service Unavailable|Gateway Timeout|Too Many Requests}",
+    "Error 0: the service is temporarily unavailable. Please try again {in a few minutes|later}.",
+    "The {service|site|server} is temporarily {unavailable|down}.",
+    "Internal server error. The request could not be completed; reference 0.",
+    "The requested {article|page|document} could not be {retrieved|found}. Gateway timeout (0).",
+    "We are down for {scheduled maintenance|maintenance|repairs}. The {archive|site|service} returns shortly.",
+    "Oops! Something went wrong while loading this page. Our team has been notified.",
+    "{Your|The} session has expired. Please log in again to continue.",
+    "{Access denied. |}You don't have permission to {view this full text|view this page|access this resource} (code 0).",
+    "Too many requests. Your {IP address|address} has been blocked for 0 {seconds|minutes}.",
+    "Erreur 0 : une erreur interne est survenue {pendant|lors de|durant} le traitement.",
+    "{Page|Article} {introuvable|non trouvée|non trouvé}.",
+    "Seite nicht gefunden. Der angeforderte Inhalt ist nicht mehr verfügbar (Fehler 0).",
+    "Página no encontrada. Vuelva al inicio o utilice el buscador. Código 0.",
+    "Página não encontrada. Volte ao início ou use a busca. Código 0.",
+    "Страница не найдена. Вернитесь на главную.",
+    'Traceback (most recent call last): File "{export|main|app|index|server|run|views}.py", line 0, in {render|main|run|load|get|export|module}',
+    "{Key|Value|Type|Name|Index|Attribute}Error: '{abstract|title|text|id|body|content}'",
+    "PDF conversion failed: no text layer (job 0).",
+    "Your text goes here. Replace this paragraph. Sample abstract text.{| Your text goes here. Replace this paragraph. Sample abstract text.}",
+    "{Your|Sample|Dummy|Placeholder} text {goes here|here}.",
+    "{Replace this|Add your|Insert your|Type your} {paragraph|text|abstract} here.",
 ]
-NOTICES = re.compile("^(?:noscript )?(?:" + "|".join(NOTICE_PATTERNS) + ")")
-#: How the notices begin, in small letters: each pattern above begins with one of these, which the tests hold against all
-#: branches of the patterns. Words that open ordinary sentences are followed up to a word that does so rarely.
-OPENINGS = [
-    r"noscript|please|enable|activate|allow|turn|switch|bitte|aktivieren|erlauben|veuillez|merci|activer|active|habilite|ative|пожалуйста|включите",
-    r"to (?:[^\W_]+ ){1,5}(?:enable|activate|allow|turn|switch)|you (?:need|have|must|don)|your (?:browser|session|ip|address|text)|por favor",
-    r"(?:this|the) (?:site|page|website|viewer|reader|application|service|archive|server|address|url|content|article|document|requested|request)",
-    r"javascript|java|scripts?|scripting|skripte|les scripts|checking your|viewer inactive|loading|if nothing|reload",
-    r"error|http|\d\d\d|erreur|fehler|erro|ошибка|(?:page|file|document|article|address|url|content) (?:not|you|introuvable|non)|requested",
-    r"une erreur|seite nicht|der angeforderte|pagina|página|страница|we are down|oops|something went|access denied|internal server|gateway timeout",
-    r"service (?:temporarily|unavailable)|too many|traceback|(?:key|value|type|name|index|attribute|runtime|import)error|pdf conversion",
-    r"(?:sample|dummy|placeholder) (?:text|abstract|paragraph)|replace this",
-]
-_OPENING = re.compile(r"(?:^|[.!?…](?=[\s<]))[\W_]*(?:" + "|".join(OPENINGS).replace(" ", r"[\W_]+") + r")(?![^\W_])", re.M)
+_ALTERNATIVES = re.compile(r"\{([^{}]*)\}")
 _FILLER = LATIN_FILLER | TYPED_FILLER
 _TOKEN = re.compile(r"[^\W_]+|\n")
 _WORD = re.compile(r"[^\W_]+")
-_SENTENCE = re.compile(r"(?<=[.!?…])\s+|(?<=[.!?])(?=<)")
-
-
-def plain(word: str) -> str:
-    return word if word.isalpha() else re.sub(r"\d", "0", word)
-
-
-def mostly_filler(words: list[str]) -> bool:
-    return len(words) >= 4 and sum(map(_FILLER.__contains__, words)) >= 0.7 * len(words)
 
 
-def has_sign(low: str, words: list[str]) -> bool:
-    """Whether a line, in small letters and as words, may be residue: true for all lines that are."""
-    return mostly_filler(words) or _OPENING.search(low) is not None
+def expanded(template: str) -> list[str]:
+    """All lines that a template with alternatives stands for."""
+    parts = [p.split("|") if i % 2 else [p] for i, p in enumerate(_ALTERNATIVES.split(template))]
+    return ["".join(x) for x in itertools.product(*parts)]
 
 
-def is_residue(line: str) -> bool:
-    """Whether the line is filler, or has a sentence that begins as a notice does."""
-    words = _WORD.findall(line.lower())
-    if len(words) >= 4 and any(sum(w in known for w in words) >= 0.7 * len(words) for known in (LATIN_FILLER, TYPED_FILLER)):
-        return True
-    return any(NOTICES.match(" ".join(map(plain, _WORD.findall(x.lower())))) for x in _SENTENCE.split(line))
+def is_filler(words: list[str]) -> bool:
+    """Four words at least, seven tenths of them of one vocabulary."""
+    enough = 0.7 * len(words)
+    if len(words) < 4 or sum(map(_FILLER.__contains__, words)) < enough:
+        return False
+    return any(sum(map(known.__contains__, words)) >= enough for known in (LATIN_FILLER, TYPED_FILLER))
 
 
 # ---- SimHash
@@ -253,12 +228,6 @@ def least_hashes(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(sizes), np.concatenate(values)
 
 
-def simhashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first position and the SimHash of each line of a string of word codes, where 0 ends a line."""
-    first, h, at = shingle_hashes(codes)
-    return first, simhashes_of(h, at)
-
-
 def simhashes_of(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     if not len(at):
         return np.empty(0, dtype=np.int64)
@@ -297,6 +266,32 @@ def line_keys(codes: np.ndarray) -> np.ndarray:
 _OUT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("sim", pa.int64()), ("label", pa.int8()), ("least", pa.list_(pa.int64()))])
 
 
+class _Stream:
+    """The words of some texts as one string of codes, where 0 ends a line and every text."""
+
+    def __init__(self, codes: _Codes):
+        self.codes, self.values = codes, []
+
+    def add(self, text: str) -> list[int]:
+        """Add a text; returns where its lines of filler begin."""
+        tokens = _TOKEN.findall(text.lower())
+        begin, base, filler = 0, len(self.values), []
+        for end in [*(i for i, t in enumerate(tokens) if t == "\n"), len(tokens)]:
+            if end > begin and is_filler(tokens[begin:end]):
+                filler.append(base + begin)
+            begin = end + 1
+        codes = self.codes
+        self.values.extend([codes[t] for t in tokens])
+        self.values.append(0)
+        return filler
+
+    def hashed(self) -> tuple[np.ndarray, list[int], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each line with words its first place, key, SimHash, number of least hashes; and these hashes."""
+        codes = np.array(self.values, dtype=np.uint64)
+        first, h, at = shingle_hashes(codes)
+        return first, line_keys(codes).tolist(), simhashes_of(h, at), *least_hashes(h, at)
+
+
 def _lines(batches):
     codes = _Codes()
     seen: set[int] = set()  # a line's hashes leave a task once, or a few times
@@ -304,9 +299,9 @@ def _lines(batches):
         ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for begin in range(0, len(ids), 64):
             docs, keys, sims, labels = [], [], [], []
-            stream: list[int] = []
+            stream = _Stream(codes)
             where: list[tuple[int, int]] = []  # where each text begins in the stream
-            trusted: set[int] = set()
+            filler: set[int] = set()
             for d, text in zip(ids[begin : begin + 64], texts[begin : begin + 64], strict=True):
                 if not text:
                     continue
@@ -316,22 +311,9 @@ def _lines(batches):
                     keys.append(None)
                     sims.append(None)
                     labels.append(FIELD)
-                low = text.lower()
-                tokens = _TOKEN.findall(low)
-                where.append((len(stream), d))
-                begin_line, opened = 0, _OPENING.search(low) is not None
-                ends = [*(i for i, t in enumerate(tokens) if t == "\n"), len(tokens)]
-                for row, low_row, end_line in zip(text.split("\n"), low.split("\n"), ends, strict=True):
-                    own = tokens[begin_line:end_line]
-                    if own and (mostly_filler(own) or (opened and _OPENING.search(low_row))) and is_residue(row):
-                        trusted.add(len(stream) + begin_line)
-                    begin_line = end_line + 1
-                stream.extend([codes[t] for t in tokens])
-                stream.append(0)
-            text_codes = np.array(stream, dtype=np.uint64)
-            first, h, at = shingle_hashes(text_codes)
-            sim, own_keys = simhashes_of(h, at), line_keys(text_codes).tolist()
-            sizes, least = least_hashes(h, at)
+                where.append((len(stream.values), d))
+                filler.update(stream.add(text))
+            first, own_keys, sim, sizes, least = stream.hashed()
             new = np.zeros(len(sizes), dtype=bool)
             for i, key in enumerate(own_keys):
                 if key not in seen:
@@ -347,26 +329,41 @@ def _lines(batches):
             for p, x, k in zip(first.tolist(), sim.tolist(), np.searchsorted(starts, first, "right").tolist() if where else [], strict=True):
                 docs.append(owners[k - 1])
                 sims.append(x)
-                labels.append(WHOLE if p in trusted else NONE)
+                labels.append(WHOLE if p in filler else NONE)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(docs, pa.int64()), pa.array(keys, pa.int64()), pa.array(sims, pa.int64()), pa.array(labels, pa.int8()), hashes], schema=_OUT
             )
 
 
+_SCHEMA = "doc_id long, key long, sim long, label byte, least array<long>"
+
+
+@lru_cache(maxsize=4)
+def _labelled(templates: tuple[str, ...]) -> tuple[list[tuple], list[tuple[int, str]]]:
+    """Rows as ``lines`` has them, without a document, and (key, line), of the labelled lines."""
+    rows, texts, codes = [], [], _Codes()
+    for line in dict.fromkeys(x for t in templates for x in expanded(t)):
+        stream = _Stream(codes)
+        stream.add(unicodedata.normalize("NFC", line))
+        first, keys, sim, _, least = stream.hashed()
+        if len(keys) != 1:
+            raise ValueError(f"a labelled line is one line with words: {line!r}")
+        rows.append((None, keys[0], int(sim[0]), WHOLE, least.tolist()))
+        texts.append((keys[0], line))
+    return rows, texts
+
+
 def lines(documents: DataFrame) -> DataFrame:
     """(doc_id, key, sim, label, least) of every line with words; of a text with an unfilled field also a row without
     ``key``. At least one row of each key has the hashes it is found by."""
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _lines, "doc_id long, key long, sim long, label byte, least array<long>"
-    )
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_lines, _SCHEMA)
 
 
 def near_duplicates(sims: DataFrame) -> DataFrame:
     """(u, v), u < v: SimHashes that share a key in one of the tables and differ in HAMMING bits at most."""
-    x = F.col("sim")
-    block = lambda i: F.shiftrightunsigned(x, 16 * i).bitwiseAND(0xFFFF)
+    block = lambda b: F.shiftrightunsigned(F.col("sim"), BLOCKS[b][0]).bitwiseAND((1 << BLOCKS[b][1]) - 1)
     keys = [
-        F.struct(F.lit(t).cast("byte").alias("t"), F.shiftleft(block(i), 16).bitwiseOR(block(j)).alias("key")) for t, (i, j) in enumerate(TABLES)
+        F.struct(F.lit(t).cast("byte").alias("t"), F.shiftleft(block(i), 13).bitwiseOR(block(j)).alias("key")) for t, (i, j) in enumerate(TABLES)
     ]
     dealt = sims.select("sim", F.explode(F.array(*keys)).alias("k")).select("sim", "k.t", "k.key")
     a, b = dealt.withColumnRenamed("sim", "u"), dealt.withColumnRenamed("sim", "v")
@@ -403,11 +400,12 @@ def _similar(batches):
         yield batch.filter(pa.array(ok, pa.bool_())).select([0, 1])
 
 
-def spread(documents: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(key) of the trusted lines and of all that are linked to one by verified near-duplicates.
+def spread(documents: DataFrame, rows: DataFrame, nodes: DataFrame, known_texts: DataFrame) -> DataFrame:
+    """(key) of the labelled lines and of all that are linked to one by verified near-duplicates.
 
-    Goes out from the trusted lines: in each round the candidates beside the lines reached last have their texts
-    fetched and compared by shingles, until no line is new. ``nodes`` has (key, sim, label).
+    Goes out from the labelled lines: in each round the candidates beside the lines reached last have their texts
+    fetched and compared by shingles, until no line is new. ``nodes`` has (key, sim, label), ``known_texts`` (key, line) of
+    lines that stand in no document.
     """
     near = checkpoint(near_duplicates(nodes.select("sim").distinct()))
     beside = near.unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -432,7 +430,7 @@ def spread(documents: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame
         doubtful = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
         ids = rows.join(doubtful, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
         texts = (
-            documents.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_texts, "key long, line string")
+            documents.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_texts, "key long, line string").unionByName(known_texts)
             .join(doubtful, "key", "left_semi").groupBy("key").agg(F.min("line").alias("line"))
         )
         named = lambda c: texts.select(F.col("key").alias(c), F.col("line").alias(c + "_line"))
@@ -444,17 +442,20 @@ def spread(documents: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame
     return known
 
 
-def residue(documents: DataFrame) -> DataFrame:
+def residue(documents: DataFrame, labelled: tuple[str, ...] = tuple(LABELLED)) -> DataFrame:
     """(doc_id, n_fields, n_lines): texts with residue, whether they have an unfilled field (1 or 0), and the number
     of their lines that are residue as a whole.
 
-    ``documents`` has (doc_id, text). Null and empty texts, and texts without a word, have no residue; rows with the
-    same doc_id count as one text. Other columns are ignored.
+    ``documents`` has (doc_id, text). ``labelled`` are lines known to be residue, with alternatives in braces. Null and
+    empty texts, and texts without a word, have no residue; rows with the same doc_id count as one text. Other columns are
+    ignored.
     """
-    rows = checkpoint(lines(documents))
+    spark = documents.sparkSession
+    told, texts = _labelled(tuple(labelled))
+    rows = checkpoint(lines(documents).unionByName(spark.createDataFrame(told, _SCHEMA)))
     nodes = rows.where("key IS NOT NULL").groupBy("key", "sim").agg(F.max("label").alias("label"))
-    known = spread(documents, rows, checkpoint(nodes))
-    linked = rows.join(known, "key", "left_semi").select("doc_id", F.lit(WHOLE).cast("byte").alias("label"))
+    known = spread(documents, rows, checkpoint(nodes), spark.createDataFrame(texts, "key long, line string"))
+    linked = rows.where("doc_id IS NOT NULL").join(known, "key", "left_semi").select("doc_id", F.lit(WHOLE).cast("byte").alias("label"))
     found = rows.where(F.col("label") == FIELD).select("doc_id", "label").unionByName(linked)
     return found.groupBy("doc_id").agg(
         F.max((F.col("label") == FIELD).cast("int")).alias("n_fields"), F.count_if(F.col("label") == WHOLE).alias("n_lines")
