@@ -1,13 +1,18 @@
 """Broken prompt and response pairs (problem 5).
 
-Method: the answers are sorted by text (a range partitioning, then a sort inside partitions) and each is compared with
-its successor; one that is a proper prefix of it is a shortened version. Lengths that answers without a proper end
-share far more often than the lengths beside them are limits that cut answers. An answer that another answer to the same
-request begins with is cut wherever it ends; a beginning of any other answer only at a limit. With these signs, each
-answer and its request go through the rules: empty, copy, refusal, truncated, language.
-
-A prefix of any other answer is a prefix of its successor in the order too, so comparing neighbours finds all of them
-without comparing pairs; the last answer of a partition is compared with the first of the next by a summary of one row
+Method: texts are sorted (a range partitioning, then a sort inside partitions) and each is compared with its successor by
+their common prefix. Three kinds of texts are sorted together or one after the other:
+
+* whole answers: one that another answer to the same request begins with is cut wherever it ends; a beginning of any other
+  answer is cut at a length limit, which is a length that answers without a proper end share far more often than the
+  lengths beside it;
+* last sentences among all sentences of the answers, with digits as 0: one that other sentences begin with, and that
+  nowhere else stands as a whole sentence, breaks off, also if it seems to end well ("had a mean of 41.", "(N = 27)").
+
+With these signs, each answer and its request go through the rules: empty, copy, refusal, truncated, language.
+
+A prefix of any other text is a prefix of its successor in the order too, so comparing neighbours finds all of them
+without comparing pairs; the last text of a partition is compared with the first of the next by a summary of one row
 per partition.
 """
 
@@ -86,9 +91,10 @@ def spoken(text: str) -> str:
 
 # ---- truncated
 
+_SENTENCES = re.compile(r"(?<=[.!?…。])[\"”»')\]]*\s+|\n+")
 _ENDED = re.compile(r"[.!?…。»”\"')\]}]\W*$")
 #: Lines that may follow the last sentence: a list entry, a code in brackets, a short labelled value.
-_CLOSING = re.compile(r"^\s*(?:[-*•]\s+\S.{0,60}|\[[^\]]{1,40}\]|\W{0,3}[^\W\d_]+(?: \w+)?\W{0,3}:\W{0,3}\s*\S.{0,30}|\([^)]{1,40}\))\s*$")
+_CLOSING = re.compile(r"^\s*(?:[-*•]\s+\S.*|\[[^\]]+\]|\W{0,3}[^\W\d_]+(?: \w+)?\W{0,3}:\W{0,3}\s*\S+(?:\s+\S+){0,4}|\([^)]+\))\s*$")
 
 
 def cut_off(text: str) -> bool:
@@ -105,12 +111,26 @@ def cut_off(text: str) -> bool:
             else:
                 depth += (c in "{[") - (c in "}]")
         return quoted or depth > 0
-    own = spoken(text).strip(_EDGES)
-    rows = own.split("\n")
+    own = _body(text)
+    return len(own) > 0 and not _ENDED.search(own)
+
+
+def _body(text: str) -> str:
+    """What is spoken, without the lines that may follow the last sentence."""
+    rows = spoken(text).strip(_EDGES).split("\n")
     while len(rows) > 1 and (not rows[-1].strip() or _CLOSING.match(rows[-1])):
         rows.pop()
-    own = "\n".join(rows).rstrip(_EDGES)
-    return len(own) > 0 and not _ENDED.search(own)
+    return "\n".join(rows).rstrip(_EDGES)
+
+
+def sentences(raw: str | None) -> tuple[list[str], str | None]:
+    """The sentences of an answer with digits as 0, and the last of them if it's the end of the answer: what a closed object
+    says is whole."""
+    text = content(raw)
+    parts = [re.sub(r"\d+", "0", p) for x in _SENTENCES.split(_body(text)) if (p := x.strip(_EDGES))]
+    if not parts or text.startswith(("{", "[")):
+        return parts, None
+    return parts[:-1], parts[-1]
 
 
 # ---- refusals: fixed openings in which an answerer declines
@@ -130,33 +150,51 @@ REFUSALS = re.compile(
 
 
 def is_refusal(text: str) -> bool:
-    own = _quoted(spoken(text))
-    return bool(own) and len(own.split()) <= 45 and REFUSALS.search(" ".join(own.split()[:22])) is not None
+    """Whether at least half of the sentences decline: an answer that declines a part and then answers does not."""
+    said = [x for x in _SENTENCES.split(_quoted(spoken(text))) if x.strip(_EDGES)]
+    no = sum(REFUSALS.search(x) is not None for x in said)
+    return no > 0 and 2 * no >= len(said)
 
 
 # ---- copies
 
 _ALNUM = re.compile(r"[^\W_]+")
+#: Lines of the request count as a copy, and not as a short answer in its words, from so many words on.
+LEAST_COPY = 12
 
 
 def _key(text: str) -> str:
     return " ".join(_ALNUM.findall(text.lower()))
 
 
+def _told(request: str) -> set[str]:
+    """The lines of all strings of a request."""
+    value = parsed(request)
+    texts = [str(x) for x in _leaves(value) if x is not None] if isinstance(value, (dict, list)) else [request]
+    return {_key(row) for x in texts for row in x.split("\n")}
+
+
 def is_copy(text: str, instructions: str, request: str) -> bool:
+    """Whether the answer is the request's, or its own words are: the instructions without as much beside them, most of the
+    instructions, or lines of the request only (as a rationale, with the instructions among them)."""
     value = parsed(text)
     if isinstance(value, dict) and isinstance(value.get("instructions"), str):
         return True
+    if value is None and re.match(r'\{\s*"instructions"', text.lstrip(_EDGES)):
+        return True
     own, asked = _key(spoken(text)), _key(instructions)
-    if not own:
+    if not own or not request:
         return False
-    if len(asked) > 20 and asked in own and len(asked) * 2 >= len(own):
-        return True
-    if len(own) > 20 and own in asked and len(own) * 2 >= len(asked):
+    if asked and asked in own and len(asked) * 2 >= len(own):
         return True
-    if text.lstrip(_EDGES).startswith("{") and value is None and re.match(r'\{\s*"instructions"', text):
+    if own in asked and len(own) * 2 >= len(asked):
         return True
-    return len(own.split()) >= 12 and not isinstance(value, dict) and own in _key(request)
+    rows = [k for x in spoken(text).split("\n") if (k := _key(x))]
+    if len(own.split()) < LEAST_COPY or (isinstance(value, dict) and rows[0] != asked):
+        return False
+    told = _told(request)
+    # the last line may break off
+    return all(k in told for k in rows[:-1]) and (rows[-1] in told or (len(rows) > 1 and any(k.startswith(rows[-1]) for k in told)))
 
 
 # ---- languages
@@ -222,7 +260,7 @@ def wrong_language(text: str, instructions: str) -> bool:
 # ---- the operator
 
 
-def defect_of(raw: str | None, request: str | None, shortened: bool, at_limit: bool) -> str | None:
+def defect_of(raw: str | None, request: str | None, cut: bool) -> str | None:
     text = content(raw)
     if is_empty(text):
         return "empty"
@@ -233,7 +271,7 @@ def defect_of(raw: str | None, request: str | None, shortened: bool, at_limit: b
         return "copy"
     if is_refusal(text):
         return "refusal"
-    if cut_off(text) or (shortened and at_limit):
+    if cut or cut_off(text):
         return "truncated"
     return "language" if wrong_language(text, instructions) else None
 
@@ -268,10 +306,35 @@ def shortened_versions(texts: DataFrame) -> DataFrame:
 
 
 def cut_attempts(answers: DataFrame) -> DataFrame:
-    """(request_id, raw_text) of answers that another answer to the same request begins with."""
-    texts = answers.where("request_id IS NOT NULL AND trim(raw_text) <> ''").select("request_id", "raw_text").distinct()
+    """(request_id, text) of answers that another answer to the same request begins with."""
+    texts = answers.where("request_id IS NOT NULL AND trim(raw_text) <> ''").select("request_id", "text", "raw_text").distinct()
     following = F.lead("raw_text").over(Window.partitionBy("request_id").orderBy("raw_text"))
-    return texts.withColumn("next", following).where(F.col("next").startswith(F.col("raw_text"))).select("request_id", "raw_text")
+    return texts.withColumn("next", following).where(F.col("next").startswith(F.col("raw_text"))).select("request_id", "text")
+
+
+def _ends(batches):
+    """(sentence, whole, text): each sentence of a text, and of the last one which text it ends if it ends one."""
+    for pdf in batches:
+        rows = []
+        for key, raw in zip(pdf["text"], pdf["raw_text"], strict=True):
+            inner, last = sentences(raw)
+            rows += [(x, None) for x in inner]
+            if last is not None:
+                rows.append((last, key))
+        yield pd.DataFrame(rows, columns=["sentence", "text"], dtype="object")
+
+
+def broken_ends(texts: DataFrame) -> DataFrame:
+    """(text): of distinct texts (text, raw_text) those whose last sentence others begin with, and which is whole nowhere.
+
+    A sentence is whole where another one follows it, or a closed object does.
+    """
+    rows = checkpoint(texts.select("text", "raw_text").mapInPandas(_ends, "sentence string, text string"))
+    each = rows.groupBy("sentence").agg(F.count_if(F.col("text").isNull()).alias("whole"))
+    begun = shortened_versions(each.select(F.col("sentence").alias("raw_text"))).select(F.col("raw_text").alias("sentence"))
+    broken = checkpoint(each.where("whole = 0").join(begun, "sentence", "left_semi").select("sentence"))
+    # two bare shuffles: a hot sentence is split
+    return rows.where("text IS NOT NULL").join(broken, "sentence").select("text").distinct()
 
 
 def length_limits(answers: DataFrame) -> DataFrame:
@@ -295,24 +358,25 @@ def defects(responses: DataFrame, requests: DataFrame) -> DataFrame:
     answers = responses.where(kind).select(
         "request_id", F.col("attempt").cast("long").alias("attempt"), F.coalesce("raw_text", F.lit("")).alias("raw_text")
     ).distinct()
-    limits = length_limits(answers).withColumn("at_limit", F.lit(True))
+    answers = checkpoint(answers.withColumn("text", F.md5("raw_text")))
+    limits = checkpoint(length_limits(answers))
     # the same text may be the answer to any part of the requests: texts are compared once, and joined by how hot they are
-    texts = checkpoint(answers.where("trim(raw_text) <> ''").groupBy("raw_text").agg(F.count("*").alias("n")))
-    cut = checkpoint(shortened_versions(texts)).withColumn("shortened", F.lit(True))
-    marked = lookup_join(answers, cut, "raw_text", texts).withColumn("size", F.length("raw_text")).join(limits, "size", "left")
-    marked = marked.join(cut_attempts(answers).withColumn("cut", F.lit(True)), ["request_id", "raw_text"], "left")
+    texts = checkpoint(answers.where("trim(raw_text) <> ''").groupBy("text").agg(F.count("*").alias("n"), F.min("raw_text").alias("raw_text")))
+    at_limit = shortened_versions(texts.select("raw_text")).withColumn("size", F.length("raw_text")).join(limits, "size", "left_semi")
+    cut = checkpoint(at_limit.select(F.md5("raw_text").alias("text")).unionByName(broken_ends(texts)).distinct().withColumn("cut", F.lit(True)))
+    marked = lookup_join(answers, cut, "text", texts.select("text", "n"))
+    marked = marked.join(cut_attempts(answers).withColumn("again", F.lit(True)), ["request_id", "text"], "left")
     asked = requests.groupBy("request_id").agg(F.min("request").alias("request"))
 
     def judge(batches):
         for pdf in batches:
             pdf["defect"] = [
-                defect_of(t, r, s is True or c is True, a is True or c is True)
-                for t, r, s, a, c in zip(pdf["raw_text"], pdf["request"], pdf["shortened"], pdf["at_limit"], pdf["cut"], strict=True)
+                defect_of(t, r, c is True or a is True) for t, r, c, a in zip(pdf["raw_text"], pdf["request"], pdf["cut"], pdf["again"], strict=True)
             ]
             yield pdf.loc[pdf["defect"].notna(), ["request_id", "attempt", "defect"]]
 
     return (
-        marked.select("request_id", "attempt", "raw_text", "shortened", "at_limit", "cut").join(asked, "request_id", "left")
+        marked.select("request_id", "attempt", "raw_text", "cut", "again").join(asked, "request_id", "left")
         .mapInPandas(judge, "request_id string, attempt long, defect string").distinct()
     )
 

@@ -14,13 +14,16 @@ GOOD = "C6 holds; the training is described in line 9. The groups were compared
     ("The authors refuse to report the mean, hence the row is unresolved.", None), ("I was unable to find an SD, so the field stays null.", None), ("The study cannot be included because adults are not the target.", None),
     (None, "empty"), ("", "empty"), (" \n​", "empty"), ("null", "empty"), ("```json\n```", "empty"), ("<answer></answer>", "empty"), ('{"decision": "", "rationale": null}', "empty"), ("N/A", "empty"), ("...", "empty"),
     (ASK, "copy"), ("Q: " + ASK.upper(), "copy"), (REQUEST, "copy"), (json.dumps({"decision": "x", "rationale": ASK}), "copy"),
+    (ASK + "\n# Report\nPopulation: adults\nEl informe cumple el criterio porque describe la práctica.", "copy"), (ASK + "\n# Report\nPopulation: ad", "copy"), ("Population: adults", "truncated"),
+    ("I'm sorry, but this table is unclear to me after reading every one of its very many rows and columns and all of the notes below it twice over, so I can't help.", "refusal"),
+    ("I can't give the total. " + GOOD + " The rest is in the table.", None),
     ("I'm sorry, but I can't help with assessing this report.", "refusal"), ('{"decision": null, "rationale": "As an assistant, I have to pass on this request."}', "refusal"), ("Leider kann ich bei dieser Anfrage nicht helfen.", "refusal"),
     (GOOD[:-20], "truncated"), ('{"decision": "include", "rationale": "The gro', "truncated"), ("```json\n{\"decision\": \"incl", "truncated"),
     ("El informe cumple el criterio porque describe los diarios de metas con precisión. La puntuación media aumentó en el grupo.", "language"),
     (json.dumps({"decision": "include", "rationale": "В исследовании проверено, как парное чтение влияет на память."}, ensure_ascii=False), "language"),
 ])
 def test_defects(raw, defect):
-    assert responses.defect_of(raw, REQUEST, False, False) == defect
+    assert responses.defect_of(raw, REQUEST, False) == defect
 
 
 def test_answers_of_a_table(spark, rows):
@@ -49,3 +52,17 @@ def test_a_cut_at_a_sentence_end_beside_its_full_version(spark, rows):
     req = spark.createDataFrame([(i, REQUEST) for i in "abc"], "request_id string, request string")
     out = {(r["request_id"], r["attempt"]): r["defect"] for r in rows(responses.defects(df, req)) if r["defect"] != "empty"}
     assert out == {("a", 1): "truncated"} and rows(responses.length_limits(df)) == []
+
+
+def test_a_sentence_that_breaks_off_at_a_dot(spark, rows):
+    """Rows that only the comparison of neighbours finds: they end as a sentence ends."""
+    whole = [f"C{i} holds. The treatment arm (N = {20 + i}) had a mean of {i}.5 with a deviation of {i}.2." for i in range(4)]
+    cut = ["C7 holds. The treatment arm (N = 31) had a mean of 41.", "C8 holds. The treatment arm (N = 9)"]
+    sound = ["C9 holds. The record was seen on page 7.", "The record was seen on page 5. C9 holds.", json.dumps({"rationale": "The treatment arm (N = 3)"})]
+    data = [(f"r{i}", 1, "response", t) for i, t in enumerate(whole + cut + sound)]
+    df = spark.createDataFrame(data, "request_id string, attempt int, kind string, raw_text string")
+    req = spark.createDataFrame([], "request_id string, request string")
+    assert all(responses.defect_of(t, None, False) is None for t in cut)
+    assert {r["request_id"]: r["defect"] for r in rows(responses.defects(df, req))} == {"r4": "truncated"}  # r5's end is whole in an object
+    rest = df.where("raw_text NOT LIKE '{%'")
+    assert {r["request_id"]: r["defect"] for r in rows(responses.defects(rest, req))} == {"r4": "truncated", "r5": "truncated"}
