@@ -1,8 +1,11 @@
 """Duplicates hidden by formatting differences (problem 6).
 
-Method: progressive partition refinement. All rows are first parted by cheap invariants of the text (lengths without
-formatting, number of digits, letter histogram); a row that is alone in its class leaves at once. The whole keys are
-shuffled and compared inside classes with several members only.
+Method: progressive partition refinement in three levels, each of which looks only at rows that share their class with
+another row; a row that is alone leaves.
+
+1. Counts of digits and of some letters, taken from the texts as they stand: formatting changes none of them.
+2. Lengths without formatting and the letter histogram; here texts are stripped, of the rows left only.
+3. The whole keys.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from evspark.runtime import checkpoint, table
 DOI = r"10\.\d{4,9}/"
 #: White space, punctuation, controls and ASCII symbols: what formatting may change.
 FORMATTING = r"[\s\p{Z}\p{P}\p{C}$+<=>^`|~]+"
+CONTENT = FORMATTING.replace("[", "[^").removesuffix("+")
 #: Members of a class that one task pairs with each other; larger classes are salted.
 BLOCK = 500
 
@@ -36,34 +40,42 @@ def title_and_doi(title: Column, doi: Column) -> tuple[Column, Column]:
     return F.when(swapped, d).otherwise(t), bare
 
 
-def _several(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows in classes with several members. Counting combines before the shuffle; a class that holds much of the
-    input is an ordinary skewed side of a semi-join, which adaptive execution splits."""
-    return rows.join(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), keys, "left_semi")
+def _counted(column: Column, letters: str) -> Column:
+    return F.length(column) - F.length(F.translate(column, letters, ""))
 
 
-def parted(records: DataFrame) -> DataFrame:
-    """(record_id, t, d, k): all rows with their keys and the class of their invariants, which is NULL for a row with
-    neither title nor DOI."""
-    title, doi = title_and_doi(F.col("title"), F.col("doi"))
-    rows = records.select("record_id", stripped(title).alias("t"), stripped(doi).alias("d"))
-    # one long for all invariants; a chance collision only leaves a row for the next level
-    letters = [F.length("t") - F.length(F.translate("t", c, "")) for c in "aeiostnrlcdmup"]
-    digits = F.length(F.regexp_replace("t", r"\D", ""))
-    invariants = F.xxhash64(F.length("t"), F.length("d"), digits, *letters)
-    return checkpoint(rows.withColumn("k", F.when((F.col("t") != "") | (F.col("d") != ""), invariants)))
+def _parted(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The written rows whose class has several members, and those that are alone.
+
+    The classes are counted before the shuffle and written, so that both sides of the join are bare shuffles, of which
+    adaptive execution splits the partition of a class that holds much of the input.
+    """
+    n = checkpoint(rows.where(F.col(key).isNotNull()).groupBy(key).agg((F.count("*") > 1).alias("more")))
+    several = rows.join(n.where("more"), key, "left_semi")
+    return several, rows.join(n.where("more"), key, "left_anti")
 
 
-def refine(records: DataFrame) -> DataFrame:
-    """(record_id, title_key, doi_key) of the rows that are in a class with another row.
+def refine(records: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(record_id, key) of the rows that are in a class with another row up to the last level, with a hash of their whole
+    texts, and the (record_id) of those that left, level by level.
 
     Null, empty and blank are the same missing value; a row with neither title nor DOI is in no class.
     """
-    return _likely(parted(records))
-
-
-def _likely(rows: DataFrame) -> DataFrame:
-    return _several(rows.where("k IS NOT NULL"), ["k"]).select("record_id", F.col("t").alias("title_key"), F.col("d").alias("doi_key"))
+    title, doi = title_and_doi(F.col("title"), F.col("doi"))
+    raw = records.select("record_id", title.alias("t"), doi.alias("d"))
+    # small and capital letters that no other letter becomes in small letters
+    counts = [_counted(F.col(c), x) for c in "td" for x in (*"0123456789", "aA", "eE", "nN", "oO", "rR", "tT")]
+    some = F.col("t").rlike(CONTENT) | F.col("d").rlike(CONTENT)
+    first = checkpoint(raw.withColumn("k1", F.when(some, F.xxhash64(*counts))))
+    several, alone = _parted(first, "k1")
+    left = [alone.select("record_id")]
+    texts = several.select("record_id", stripped(F.col("t")).alias("t"), stripped(F.col("d")).alias("d"))
+    histogram = [_counted(F.col("t"), c) for c in "aeiostnrlcdmup"]
+    # a chance collision of hashes only leaves a row for the next level
+    second = checkpoint(texts.withColumn("k2", F.xxhash64(F.length("t"), F.length("d"), *histogram)))
+    several, alone = _parted(second, "k2")
+    left.append(alone.select("record_id"))
+    return checkpoint(several.select("record_id", F.sha2(F.concat_ws("\x01", "t", "d"), 256).alias("key"))), left
 
 
 def classes(records: DataFrame) -> DataFrame:
@@ -71,11 +83,11 @@ def classes(records: DataFrame) -> DataFrame:
 
     ``copies`` counts rows, the row itself too. A row with neither title nor DOI is a set of its own.
     """
-    rows = parted(records)
-    several = rows.where("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    alone = rows.join(several, "k", "left_anti").select("record_id", F.lit(1).cast("long").alias("copies"))
-    sets = _likely(rows).groupBy("title_key", "doi_key").agg(F.min("record_id").alias("record_id"), F.count("*").alias("copies"))
-    return sets.select("record_id", "copies").unionByName(alone)
+    likely, left = refine(records)
+    out = likely.groupBy("key").agg(F.min("record_id").alias("record_id"), F.count("*").alias("copies")).select("record_id", "copies")
+    for alone in left:
+        out = out.unionByName(alone.select("record_id", F.lit(1).cast("long").alias("copies")))
+    return out
 
 
 def copy_pairs(records: DataFrame) -> DataFrame:
@@ -84,14 +96,13 @@ def copy_pairs(records: DataFrame) -> DataFrame:
     The rows of a large class are dealt to blocks: each task pairs one block with the class, never a whole class
     with itself. Rows that share even the id are one id, which has no pair.
     """
-    likely = refine(records)
-    keys = ["title_key", "doi_key"]
-    size = likely.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-    sized = likely.join(size, keys)
+    likely, _ = refine(records)
+    size = checkpoint(likely.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    sized = likely.join(size, "key")
     salts = F.ceil(F.col("n") / BLOCK).cast("int")
-    left = sized.select(*keys, F.col("record_id").alias("record_id_a"), F.pmod(F.xxhash64("record_id"), salts).cast("int").alias("salt"))
-    right = sized.select(*keys, F.col("record_id").alias("record_id_b"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    return left.join(right, [*keys, "salt"]).where("record_id_a < record_id_b").select("record_id_a", "record_id_b").distinct()
+    left = sized.select("key", F.col("record_id").alias("record_id_a"), F.pmod(F.xxhash64("record_id"), salts).cast("int").alias("salt"))
+    right = sized.select("key", F.col("record_id").alias("record_id_b"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    return left.join(right, ["key", "salt"]).where("record_id_a < record_id_b").select("record_id_a", "record_id_b").distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

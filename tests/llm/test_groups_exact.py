@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from evspark.llm import exact, groups, survivors
 
@@ -188,3 +189,29 @@ def test_long_blank_abstracts_are_not_own(spark, rows):
     df = spark.createDataFrame([(i, a, "") for i, a in data], "i int, abstract string, abstract_from string")
     out = {r["i"]: r["own"] for r in rows(df.select("i", survivors.is_own(df["abstract"], df["abstract_from"]).alias("own")))}
     assert out == {1: False, 2: False, 3: False, 4: True, 5: True}
+
+
+def test_rows_leave_level_by_level(spark, rows):
+    data = [("a1", "One title", "10.1000/x"), ("a2", "ONE title.", "doi:10.1000/X"), ("b1", "other", ""), ("c1", "listen", ""), ("c2", "silent", ""), ("d1", "gilt", ""), ("d2", "built", ""), ("e1", " - ", None)]
+    likely, left = exact.refine(rec(spark, [(*x,) for x in data]).select("record_id", "title", "doi"))
+    ids = lambda df: sorted(r["record_id"] for r in rows(df))
+    # gilt and built have equal counts of the first level; listen and silent differ in the whole text only
+    assert (ids(left[0]), ids(left[1]), ids(likely)) == (["b1", "e1"], ["d1", "d2"], ["a1", "a2", "c1", "c2"])
+
+
+def test_a_hot_class_is_split(spark, rows):
+    """Of a class with half of all rows no task of the join gets all."""
+    for k, v in {"skewedPartitionThresholdInBytes": "5k", "skewedPartitionFactor": "1"}.items():
+        spark.conf.set(f"spark.sql.adaptive.skewJoin.{k}", v)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "5k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = spark.range(0, 20_000, 1, 6).selectExpr("concat('r', id) AS record_id", "CASE WHEN id % 2 = 0 THEN 'Editorial' ELSE concat('title ', id) END AS title", "'' AS doi")
+        first = exact.checkpoint(hot.select("record_id", F.xxhash64("title").alias("k1")))
+        several, _ = exact._parted(first, "k1")
+        sizes = Counter(r["p"] for r in rows(several.select("record_id", F.spark_partition_id().alias("p")))).values()
+        assert sum(sizes) == 10_000 and max(sizes) < 5_000
+    finally:
+        for k in ("skewJoin.skewedPartitionThresholdInBytes", "skewJoin.skewedPartitionFactor", "advisoryPartitionSizeInBytes"):
+            spark.conf.unset(f"spark.sql.adaptive.{k}")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
