@@ -359,16 +359,46 @@ def lines(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_lines, _SCHEMA)
 
 
-def near_duplicates(sims: DataFrame) -> DataFrame:
-    """(u, v), u < v: SimHashes that share a key in one of the tables and differ in HAMMING bits at most."""
+#: Rows up to which one side of a join is broadcast, some megabytes; larger ones are shuffled.
+SMALL = 100_000
+
+
+def _small(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= SMALL else df
+
+
+def _tables(df: DataFrame) -> DataFrame:
+    """(t, place, sim, and the other columns), ten rows a line: its places in the tables."""
     block = lambda b: F.shiftrightunsigned(F.col("sim"), BLOCKS[b][0]).bitwiseAND((1 << BLOCKS[b][1]) - 1)
-    keys = [
-        F.struct(F.lit(t).cast("byte").alias("t"), F.shiftleft(block(i), 13).bitwiseOR(block(j)).alias("key")) for t, (i, j) in enumerate(TABLES)
+    places = [
+        F.struct(F.lit(t).cast("byte").alias("t"), F.shiftleft(block(i), 13).bitwiseOR(block(j)).alias("place")) for t, (i, j) in enumerate(TABLES)
     ]
-    dealt = sims.select("sim", F.explode(F.array(*keys)).alias("k")).select("sim", "k.t", "k.key")
-    a, b = dealt.withColumnRenamed("sim", "u"), dealt.withColumnRenamed("sim", "v")
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= HAMMING
-    return a.join(b, ["t", "key"]).where((F.col("u") < F.col("v")) & near).select("u", "v").distinct()
+    return df.select("*", F.explode(F.array(*places)).alias("x")).select(*df.columns, "x.t", "x.place")
+
+
+def near_duplicates(reached: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(u, v): of ``n`` lines (key, sim) and all lines, pairs of keys that share a place in a table and differ in HAMMING bits at
+    most."""
+    a = _tables(reached.select(F.col("key").alias("u"), "sim")).withColumnRenamed("sim", "other")
+    b = _tables(nodes.select(F.col("key").alias("v"), "sim"))
+    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("other"))) <= HAMMING
+    return b.join(_small(a, n * len(TABLES)), ["t", "place"]).where((F.col("u") != F.col("v")) & near).select("u", "v")
+
+
+def sharing(reached: DataFrame, hashed: DataFrame, n: int) -> DataFrame:
+    """(u, v): of ``n`` lines and all lines, pairs of keys that have one of their least hashes in common, and numbers of
+    shingles with which they can be similar enough."""
+    size = F.size("least")
+    # the least and the greatest number of shingles a line with so many hashes can have
+    fewest, most = F.ceil((size - 1) / (1 - SIMILARITY) - 1e-6), F.ceil(size / (1 - SIMILARITY) - 1e-6) - 1
+    every = hashed.select("key", fewest.alias("fewest"), most.alias("most"), "least")
+    own = every.join(_small(reached.select("key"), n), "key", "left_semi").select(
+        F.col("key").alias("u"), F.explode("least").alias("hash"), F.col("fewest").alias("a"), F.col("most").alias("b")
+    )
+    own = checkpoint(own.distinct())
+    other = every.select(F.col("key").alias("v"), "fewest", "most", F.explode("least").alias("hash"))
+    close = (F.col("most") >= SIMILARITY * F.col("a") - 1e-6) & (F.col("b") >= SIMILARITY * F.col("fewest") - 1e-6)
+    return other.join(_small(own, own.count()), "hash").where(close & (F.col("u") != F.col("v"))).select("u", "v")
 
 
 def shingles(line: str) -> frozenset:
@@ -405,40 +435,30 @@ def spread(documents: DataFrame, rows: DataFrame, nodes: DataFrame, known_texts:
 
     Goes out from the labelled lines: in each round the candidates beside the lines reached last have their texts
     fetched and compared by shingles, until no line is new. ``nodes`` has (key, sim, label), ``known_texts`` (key, line) of
-    lines that stand in no document.
+    lines that stand in no document. The lines reached in a round are broadcast if they are few, else shuffled.
     """
-    near = checkpoint(near_duplicates(nodes.select("sim").distinct()))
-    beside = near.unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v")))
     reached = checkpoint(nodes.where(F.col("label") == WHOLE).select("key", "sim"))
-    rest = nodes.where(F.col("label") != WHOLE).select("key", "sim")
-    size = F.size("least")
-    # the least and the greatest number of shingles a line with so many hashes can have
-    fewest, most = F.ceil((size - 1) / (1 - SIMILARITY) - 1e-6), F.ceil(size / (1 - SIMILARITY) - 1e-6) - 1
-    hashed = rows.where(size > 0).select("key", fewest.alias("fewest"), most.alias("most"), "least")
-    known = reached.select("key")
-    while not reached.isEmpty():
-        u, v = reached.select(F.col("key").alias("u"), F.col("sim")), rest.select(F.col("key").alias("v"), F.col("sim"))
-        near_sim = u.withColumnRenamed("sim", "s").join(beside.withColumnRenamed("u", "s").withColumnRenamed("v", "sim"), "s").select("u", "sim")
-        own = hashed.join(reached, "key", "left_semi").select(F.col("key").alias("u"), F.explode("least").alias("hash"), F.col("fewest").alias("a"), F.col("most").alias("b")).distinct()
-        close = (F.col("most") >= SIMILARITY * F.col("a") - 1e-6) & (F.col("b") >= SIMILARITY * F.col("fewest") - 1e-6)
-        other = hashed.select(F.col("key").alias("v"), "fewest", "most", F.explode("least").alias("hash"))
-        shared = other.join(own, "hash").where(close & (F.col("u") != F.col("v"))).select("u", "v").distinct()
-        shared = shared.join(rest.select(F.col("key").alias("v")), "v", "left_semi").select("u", "v")
-        pairs = checkpoint(u.unionByName(near_sim).join(v, "sim").select("u", "v").unionByName(shared).distinct())
-        if pairs.isEmpty():
+    known, n = reached.select("key"), reached.count()
+    total, hashed = n, rows.where(F.size("least") > 0).select("key", "least")
+    while n:
+        found = near_duplicates(reached, nodes, n).unionByName(sharing(reached, hashed, n)).distinct()
+        pairs = checkpoint(found.join(_small(known.select(F.col("key").alias("v")), total), "v", "left_anti").select("u", "v"))
+        many = pairs.count()
+        if not many:
             break
         doubtful = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
-        ids = rows.join(doubtful, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+        ids = rows.join(_small(doubtful, 2 * many), "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
         texts = (
-            documents.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_texts, "key long, line string").unionByName(known_texts)
-            .join(doubtful, "key", "left_semi").groupBy("key").agg(F.min("line").alias("line"))
+            documents.join(_small(ids, 2 * many), "doc_id", "left_semi").select("text").mapInArrow(_texts, "key long, line string").unionByName(known_texts)
+            .join(_small(doubtful, 2 * many), "key", "left_semi").groupBy("key").agg(F.min("line").alias("line"))
         )
-        named = lambda c: texts.select(F.col("key").alias(c), F.col("line").alias(c + "_line"))
+        texts = checkpoint(texts)
+        named = lambda c, texts=texts: texts.select(F.col("key").alias(c), F.col("line").alias(c + "_line"))
         compared = pairs.join(named("u"), "u").join(named("v"), "v").select("u", "v", "u_line", "v_line")
-        new = compared.mapInArrow(_similar, "u long, v long").select(F.col("v").alias("key")).distinct()
-        reached = checkpoint(rest.join(new, "key", "left_semi"))
-        rest = checkpoint(rest.join(reached, "key", "left_anti"))
-        known = known.unionByName(reached.select("key"))
+        new = checkpoint(compared.mapInArrow(_similar, "u long, v long").select(F.col("v").alias("key")).distinct())
+        reached = checkpoint(nodes.select("key", "sim").join(_small(new, new.count()), "key", "left_semi"))
+        n = reached.count()
+        known, total = known.unionByName(reached.select("key")), total + n
     return known
 
 
@@ -454,8 +474,8 @@ def residue(documents: DataFrame, labelled: tuple[str, ...] = tuple(LABELLED)) -
     told, texts = _labelled(tuple(labelled))
     rows = checkpoint(lines(documents).unionByName(spark.createDataFrame(told, _SCHEMA)))
     nodes = rows.where("key IS NOT NULL").groupBy("key", "sim").agg(F.max("label").alias("label"))
-    known = spread(documents, rows, checkpoint(nodes), spark.createDataFrame(texts, "key long, line string"))
-    linked = rows.where("doc_id IS NOT NULL").join(known, "key", "left_semi").select("doc_id", F.lit(WHOLE).cast("byte").alias("label"))
+    known = checkpoint(spread(documents, rows, checkpoint(nodes), spark.createDataFrame(texts, "key long, line string")))
+    linked = rows.where("doc_id IS NOT NULL").select("doc_id", "key").join(_small(known, known.count()), "key", "left_semi").select("doc_id", F.lit(WHOLE).cast("byte").alias("label"))
     found = rows.where(F.col("label") == FIELD).select("doc_id", "label").unionByName(linked)
     return found.groupBy("doc_id").agg(
         F.max((F.col("label") == FIELD).cast("int")).alias("n_fields"), F.count_if(F.col("label") == WHOLE).alias("n_lines")

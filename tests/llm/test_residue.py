@@ -66,8 +66,10 @@ def test_tables_keep_all_pairs_at_three_bits(spark, rows):
         for bit in rng.sample(range(64), 3):
             y ^= 1 << bit
         sims += [signed(x), signed(y)]
-    found = {(r["u"], r["v"]) for r in rows(residue.near_duplicates(spark.createDataFrame([(x,) for x in sims], "sim long")))}
-    assert found == {tuple(sorted(sims[i : i + 2])) for i in range(0, len(sims), 2)}
+    df = spark.createDataFrame(list(enumerate(sims)), "key long, sim long")
+    for n in (len(sims), residue.SMALL + 1):  # broadcast and shuffled
+        found = {(r["u"], r["v"]) for r in rows(residue.near_duplicates(df.where("key % 2 = 0"), df, n))}
+        assert found == {(i, i + 1) for i in range(0, len(sims), 2)}
 
 
 BASE = "Please enable JavaScript in the settings of your own web browser before you try to open the full text of this archived article of the repository again later today thank you very much for all of your kind patience with us"
@@ -85,9 +87,9 @@ def test_texts(spark, rows):
 
 
 def test_labels_spread_to_verified_neighbours(spark, rows):
-    nodes = spark.createDataFrame([(0b0, 2), (0b11, 0), (0b1111111, 0), (1 << 40, 0)], "sim long, label byte")
-    near = {(r["u"], r["v"]) for r in rows(residue.near_duplicates(nodes))}
-    assert near == {(0, 3), (0, 1 << 40), (3, 1 << 40)}
+    nodes = spark.createDataFrame([(1, 0b0), (2, 0b11), (3, 0b1111111), (4, 1 << 40)], "key long, sim long")
+    near = {(r["u"], r["v"]) for r in rows(residue.near_duplicates(nodes, nodes, 4)) if r["u"] < r["v"]}
+    assert near == {(1, 2), (1, 4), (2, 4)}
     a = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120))
     assert len(residue.shingles(a) & residue.shingles(a + " more")) / len(residue.shingles(a) | residue.shingles(a + " more")) > residue.SIMILARITY
 
@@ -98,10 +100,12 @@ def test_equal_words_share_a_label(spark, rows):
     assert out == {1: (0, 1), 2: (0, 1), 3: (0, 1)}
 
 
-def test_the_label_reaches_all_lines_of_the_similarity(spark, rows):
+@pytest.mark.parametrize("small", [residue.SMALL, 0])
+def test_the_label_reaches_all_lines_of_the_similarity(spark, rows, small, monkeypatch):
     """Held against brute force: the lines linked to a trusted one by pairs of Jaccard SIMILARITY."""
     import random
 
+    monkeypatch.setattr(residue, "SMALL", small)
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
     texts, labelled = [], []
