@@ -1,12 +1,18 @@
 """Garbled text from wrong character encoding (problem 1).
 
 Method: noisy-channel decoding. The corpus gives word and letter frequencies. Every distinct word with letters beyond
-ASCII is read as a byte lattice under each code page it may have been wrongly decoded with: a path takes a byte
-sequence of UTF-8 as the letter it stands for, a lead byte whose continuation was lost as any letter that begins so,
-or a character as it stands. A Viterbi search under letter frequencies gives each lattice's best reading; code pages
-of one byte a letter give further readings. The reading with the greatest corpus frequency wins if it clearly beats
-the word as it stands. Words with characters that were replaced altogether are matched with the words of the corpus
-that agree in all other letters.
+ASCII is a byte lattice: a path takes a byte sequence of UTF-8 as the letter it stands for, a lead byte whose continuation
+was lost as any letter that begins so, a replacement character, or up to three, as any one letter, or a character as it
+stands. Two Viterbi searches go over it:
+
+* under the word frequencies of the corpus, with the lost bytes as wildcards: the words that agree in their ASCII letters
+  are joined, and the path to each is as good as its channel cost and the word's frequency say. This settles words with
+  lost bytes, of which no reading can be written down without the corpus;
+* under letter frequencies, code page by code page, for the readings of whole sequences (and those of one byte a letter),
+  also of words without any ASCII letter, whose frequencies are looked up.
+
+The reading with the greatest corpus frequency wins if it clearly beats the word as it stands. A replacement character
+between words of the corpus is a lost space.
 
 All of it runs on distinct words: counting combines before the shuffle, so a word that makes up a third of all text
 is one row, and values are only touched again where they contain a garbled word.
@@ -33,6 +39,8 @@ RATIO, LEAST = 2, 2
 SURE = 20
 #: Cost of a letter from a cut sequence, of a character kept as it stands, and what an unknown word must gain a letter.
 CUT_COST, KEEP_COST, GAIN = 4.0, 0.5, 0.7
+#: Costs of a letter for one, two or three replacement characters: a lost byte each, or a letter each.
+LOST_COSTS = {1: 1.0, 2: 1.5, 3: 2.0}
 
 #: Code pages a text may have been decoded with by mistake, and those of one byte a letter it may really have had.
 WRONG = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "mac_roman", "cp437", "cp850", "cp852", "cp866", "koi8-r", "iso8859-2", "iso8859-15")
@@ -129,6 +137,54 @@ def viterbi(word: str, page: str, letters: Letters) -> tuple[str, bool]:
     return best[n][1], best[n][2]
 
 
+def _begins(letter: str, raw: list[int]) -> bool:
+    return letter >= "\x80" and letter.encode("utf-8", "surrogatepass")[: len(raw)] == bytes(raw)
+
+
+def channel_cost(word: str, truth: str) -> tuple[float, bool] | None:
+    """The cost of the cheapest path through the lattice of ``word`` that reads ``truth``, whatever the case of its letters, and
+    whether it takes a wildcard; None if there is no path. A Viterbi search along both words at once."""
+    low = truth.lower()
+    codes = [None if c < "\x80" else _bytes_of("cp1252").get(c, ord(c) if ord(c) < 256 else None) for c in word]
+    best: list[dict[int, tuple[float, bool]]] = [{} for _ in range(len(word) + 1)]
+    best[0][0] = (0.0, False)
+
+    def reach(i: int, j: int, new: tuple[float, bool]) -> None:
+        if j not in best[i] or new < best[i][j]:
+            best[i][j] = new
+
+    for i, c in enumerate(word):
+        for j, (cost, wild) in best[i].items():
+            if j == len(low):
+                continue
+            want = low[j]
+            if c == LOST:
+                for k, w in LOST_COSTS.items():
+                    if word[i : i + k] == LOST * k and want >= "\x80":
+                        reach(i + k, j + 1, (cost + w, True))
+                continue
+            if c.lower() == want:
+                reach(i + 1, j + 1, (cost + (KEEP_COST if c >= "\x80" else 0.0), wild))
+            lead = codes[i]
+            if lead is None or not 0xC2 <= lead <= 0xF4:
+                continue
+            size, raw = 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4, [lead]
+            while len(raw) < size and i + len(raw) < len(word) and 0x80 <= (codes[i + len(raw)] or 0) < 0xC0:
+                raw.append(codes[i + len(raw)])
+            if _begins(want, raw) or _begins(want.upper(), raw):
+                cut = len(raw) < size
+                reach(i + len(raw), j + 1, (cost + (CUT_COST if cut else 0.0), wild or cut))
+        best[i] = {}
+    return best[-1].get(len(low))
+
+
+def like(word: str, truth: str) -> str:
+    """The true word with the capitals of the damaged one."""
+    if word.isupper() and len(word) > 1:
+        return truth.upper()
+    return truth[:1].upper() + truth[1:] if word[:1].isupper() else truth
+
+
 def readings(word: str, letters: Letters) -> dict[str, tuple[bool, bool]]:
     """Other readings of a word: {reading: (whether several bytes became one letter, whether nothing was lost)}."""
     out: dict[str, tuple[bool, bool]] = {}
@@ -172,13 +228,13 @@ def plausible(reading: str) -> bool:
 
 # ---- words of the corpus
 
-def words(text: Column) -> Column:
-    """The words of a text, each once, with digits as 0 and without ASCII punctuation around.
+def words(text: Column, only=None) -> Column:
+    """The words of a text, or only those for which a condition holds, with digits as 0 and without ASCII punctuation around.
 
     A no-break space parts words unless it follows a character beyond ASCII, with which it may be one letter.
     """
     parts = F.split(F.translate(text, "123456789", "000000000"), r"[\x00-\x20]+|(?<![^\x00-\x7F])\u00A0+")
-    return F.transform(parts, lambda w: F.btrim(w, F.lit(string.punctuation)))
+    return F.transform(F.filter(parts, only) if only else parts, lambda w: F.btrim(w, F.lit(string.punctuation)))
 
 
 def _beyond_ascii(column: Column) -> Column:
@@ -206,6 +262,8 @@ def word_counts(text: DataFrame) -> DataFrame:
     )
 
 
+#: Characters that stand for lead bytes of UTF-8 in the commonest pages.
+LEAD = "[\u00c2-\u00f4]"
 _OUTER = re.compile(r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$")
 
 
@@ -224,14 +282,14 @@ def _readings(letters):
     return run
 
 
-def _explained(batches):
-    """Of words with lost characters and frequent words that agree in the rest, those that can be the same."""
+def _paths(batches):
+    """Of damaged words and words of the corpus those that a path with a wildcard joins, with the logarithm of their odds."""
     for pdf in batches:
-        ok = []
-        for w, v in zip(pdf["word"], pdf["reading"], strict=True):
-            pattern = "".join("[^\x00-\x7f]{1,3}" if c == LOST else ".{1,3}" if c >= "\x80" else re.escape(c) for c in w)
-            ok.append(LOST not in v and re.fullmatch(pattern, v, re.I) is not None)
-        yield pdf[ok]
+        rows = []
+        for w, v, n in zip(pdf["word"], pdf["truth"], pdf["n"], strict=True):
+            if (path := channel_cost(w, v)) is not None and path[1]:
+                rows.append((w, like(w, v), n, math.log(n) - path[0]))
+        yield pd.DataFrame(rows, columns=["word", "reading", "n", "score"])
 
 
 def garbled_words(counts: DataFrame) -> DataFrame:
@@ -244,7 +302,9 @@ def garbled_words(counts: DataFrame) -> DataFrame:
     letters = counts.sparkSession.sparkContext.broadcast(Letters({r.c: r.n for r in chars.collect()}))
 
     schema = "word string, reading string, several boolean, whole boolean, gain double, n_parts int, low string"
-    spread = other.where(~F.col("word").contains(LOST)).select("word").repartition("word").mapInPandas(_readings(letters), schema)
+    # a fixed number of partitions: the bytes of a word say nothing of what its readings cost
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = other.where(~F.col("word").contains(LOST)).select("word").repartition(parts, "word").mapInPandas(_readings(letters), schema)
     scored = (
         spread.join(by_low, "low", "left")
         .groupBy("word", "reading", "several", "whole", "gain", "n_parts")
@@ -261,19 +321,29 @@ def garbled_words(counts: DataFrame) -> DataFrame:
     decoded = scored.where(frequent | unknown).select(
         "word", "reading", "n", F.when(frequent, 1).otherwise(0).alias("known"), "gain", F.col("whole").alias("lossless")
     )
-    best = decoded.groupBy("word").agg(F.max_by(F.struct("reading", "lossless"), F.struct("known", "lossless", "n", "gain", "reading")).alias("b"))
-    found = best.select("word", "b.reading", "b.lossless")
-
-    lost = other.where(F.col("word").contains(LOST)).select("word")
-    shaped = counts.where(~F.col("word").contains(LOST)).select(F.col("word").alias("reading"), "n", skeleton(F.col("word")).alias("shape"))
-    same = (
-        lost.withColumn("shape", skeleton(F.col("word"))).where(F.col("shape").rlike("[a-z0]"))
-        .join(shaped.where(_beyond_ascii(F.col("reading"))), "shape").select("word", "reading", "n")
-        .mapInPandas(_explained, "word string, reading string, n long")
-        .groupBy("word").agg(F.max_by("reading", F.struct("n", "reading")).alias("reading"))
+    best = decoded.groupBy("word").agg(F.max_by(F.struct("reading", "lossless", "known"), F.struct("known", "lossless", "n", "gain", "reading")).alias("b"))
+    settled = checkpoint(best.select("word", "b.*"))
+    found = settled.select("word", "reading", "lossless")
+
+    # words that may have lost bytes: with a replacement character, or a lead byte where no whole reading is a word of the corpus
+    lost = F.col("word").contains(LOST)
+    doubtful = other.where(lost | F.col("word").rlike(LEAD)).select("word", "own").join(settled.where("lossless AND known = 1").select("word"), "word", "left_anti")
+    shaped = other.where(~lost).select(F.col("word").alias("truth"), "n", skeleton(F.col("word")).alias("shape"))
+    paths = (
+        doubtful.withColumn("shape", skeleton(F.col("word"))).where(F.col("shape").rlike("[a-z0]")).join(shaped, "shape").where("word <> truth")
+        .select("word", "truth", "n", "own").where(lost | ((F.col("n") >= LEAST) & (F.col("n") >= RATIO * F.col("own"))))
+        .select("word", "truth", "n").mapInPandas(_paths, "word string, reading string, n long, score double")
+        .groupBy("word").agg(F.max_by("reading", F.struct("score", "n", "reading")).alias("reading"))
     )
-    guessed = lost.join(same, "word", "left").select("word", "reading", F.lit(False).alias("lossless"))
-    return found.unionByName(guessed)
+    searched = checkpoint(doubtful.select("word").join(paths, "word", "left"))
+    # replacement characters between words of the corpus are lost spaces
+    apart = searched.where(lost & F.col("reading").isNull()).select("word", F.explode(F.split("word", LOST + "+")).alias("part"))
+    apart = apart.select("word", F.lower(F.btrim("part", F.lit(string.punctuation + "“”„‘’«»–—"))).alias("low")).where("low <> ''")
+    spaced = apart.join(by_low, "low", "left").groupBy("word").agg(F.min(F.coalesce("n", F.lit(0))).alias("least"), F.count("*").alias("parts"))
+    spaced = spaced.where((F.col("least") >= LEAST) & (F.col("parts") > 1)).select("word", F.regexp_replace("word", LOST, "\u00a0").alias("spaced"))
+    told = searched.join(spaced, "word", "left").select("word", F.coalesce("reading", "spaced").alias("reading"), F.lit(False).alias("lossless"))
+    told = told.where(lost | F.col("reading").isNotNull())
+    return found.join(told.select("word"), "word", "left_anti").unionByName(told)
 
 
 def garbled_values(records: DataFrame) -> DataFrame:
@@ -281,8 +351,8 @@ def garbled_values(records: DataFrame) -> DataFrame:
     text = values(records)
     counts = checkpoint(word_counts(text))
     bad = checkpoint(garbled_words(counts))
-    own = text.where(_beyond_ascii(F.col("text"))).select("record_id", "field", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    hits = lookup_join(own.where(_beyond_ascii(F.col("word"))), bad, "word", counts.where(_beyond_ascii(F.col("word"))), "inner")
+    own = text.where(_beyond_ascii(F.col("text"))).select("record_id", "field", F.explode(F.array_distinct(words(F.col("text"), _beyond_ascii))).alias("word"))
+    hits = lookup_join(own, bad, "word", counts.where(_beyond_ascii(F.col("word"))), "inner")
     repairs = hits.groupBy("record_id", "field").agg(F.sort_array(F.collect_list(F.struct("word", "reading", "lossless"))).alias("repairs"))
     return text.join(repairs, ["record_id", "field"])
 

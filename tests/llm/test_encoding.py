@@ -36,3 +36,22 @@ def test_a_lattice_reads_part_of_a_word():
     letters = encoding.Letters({"é": 500, "’": 300, "Ã": 2, "©": 1})
     assert encoding.viterbi("l’anxiÃ©tÃ©", "cp1252", letters) == ("l’anxiété", True)
     assert encoding.viterbi("été", "cp1252", letters)[0] == "été"
+
+
+def test_a_path_to_a_word_of_the_corpus():
+    cost = encoding.channel_cost
+    assert cost("Gr\ufffd\ufffdere", "Größere") == (2.0, True) and cost("Gr\ufffd\ufffdere", "Gröere") == (1.5, True)
+    assert cost("tÃ©moin", "témoin") == (0.0, False) and cost("tÃmoin", "témoin") == (encoding.CUT_COST, True)
+    assert cost("w\ufffdren", "waren") is None and cost("x\ufffdq", "xéqu") is None and cost("été", "été") == (1.0, False)
+    assert cost("x" * 50_000 + "\ufffd", "x" * 50_000 + "é") == (1.0, True)
+    assert encoding.like("AVALIA\ufffdO", "avaliação") == "AVALIAÇÃO" and encoding.like("Gr\ufffdn", "grün") == "Grün"
+
+
+def test_what_word_frequencies_add(spark, rows):
+    """Lost bytes: letters alone would say é for each; the words of the corpus say which letter was lost."""
+    data = [(f"c{k}", "A atenção e a avaliação em Köverö", None) for k in range(6)] + [
+        ("a", "A atenÃ\u0083o", ""), ("b", "AVALIA\ufffd\ufffdO em K\ufffdver\ufffd", ""), ("c", "a\ufffdaten\ufffd\ufffdo", ""), ("d", "A KÃ¶verÃ", ""), ("e", "A\ufffdem", ""),
+    ]
+    out = {r["record_id"]: (r["restored"], r["lossless"]) for r in rows(encoding.restore(spark.createDataFrame(data, "record_id string, title string, abstract string")))}
+    assert out["b"] == ("AVALIAÇÃO em Köverö", False) and out["d"] == ("A Köverö", False) and out["e"] == ("A\u00a0em", False)
+    assert set(out) == {"a", "b", "c", "d", "e"}
