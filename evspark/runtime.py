@@ -68,6 +68,21 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, counts: DataFrame,
     return cold_side.join(lookup, key, how).unionByName(hot_side.join(F.broadcast(hot_lookup), key, how))
 
 
+def pairs_within(rows: DataFrame, keys: list[str], name: str, block: int = 500) -> DataFrame:
+    """(keys, name_a, name_b): every pair of different values of ``name`` within a class, the smaller first.
+
+    The values of a class are dealt to blocks of about ``block``: each task pairs one block with the class, never a
+    large class with itself.
+    """
+    rows = checkpoint(rows.select(*keys, name))
+    size = checkpoint(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1"))
+    sized = rows.join(size, keys)
+    salts = F.ceil(F.col("_n") / block).cast("int")
+    left = sized.select(*keys, F.col(name).alias(name + "_a"), F.pmod(F.xxhash64(name), salts).cast("int").alias("_salt"))
+    right = sized.select(*keys, F.col(name).alias(name + "_b"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
+    return left.join(right, [*keys, "_salt"]).where(F.col(name + "_a") < F.col(name + "_b")).drop("_salt")
+
+
 def numbered(df: DataFrame, name: str, *order: str, start: int = 1) -> DataFrame:
     """Rows with their number in an order, without sorting them in one task.
 
