@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.runtime import checkpoint, table
+from evspark.runtime import checkpoint, pairs_within, table
 
 DOI = r"10\.\d{4,9}/"
 #: White space, punctuation, controls and ASCII symbols: what formatting may change.
@@ -97,12 +97,7 @@ def copy_pairs(records: DataFrame) -> DataFrame:
     with itself. Rows that share even the id are one id, which has no pair.
     """
     likely, _ = refine(records)
-    size = checkpoint(likely.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    sized = likely.join(size, "key")
-    salts = F.ceil(F.col("n") / BLOCK).cast("int")
-    left = sized.select("key", F.col("record_id").alias("record_id_a"), F.pmod(F.xxhash64("record_id"), salts).cast("int").alias("salt"))
-    right = sized.select("key", F.col("record_id").alias("record_id_b"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    return left.join(right, ["key", "salt"]).where("record_id_a < record_id_b").select("record_id_a", "record_id_b").distinct()
+    return pairs_within(likely, ["key"], "record_id", BLOCK).select("record_id_a", "record_id_b").distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,14 +6,15 @@ the number of bands is taken from the collision curve, so that forms of similari
 probability. One typing error leaves less than that of a short name: keys also meet if a letter taken from each makes
 them equal, which all keys at one edit or swap do. Pairs that meet are verified by Monge-Elkan similarity of their words, where an initial
 or an abbreviation agrees with the word it begins and a nickname with its name, and where every word has to find its
-match. Star clustering then takes the most frequent full forms as centres and gives each other form to the one
-centre it fits best, so that chains of errors join nothing.
+match. Star clustering then takes full and frequent forms as centres, none of them linked to another one, and gives each
+other form to the one centre it fits best, so that chains of errors join nothing.
 
 Spellings are counted before anything else: however often a name occurs, it is one row from there on.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import re
@@ -25,11 +26,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evspark.runtime import checkpoint, table
+from evspark.operators.components import CORE
+from evspark.runtime import checkpoint, pairs_within, table
 
 FIELDS = ("first_author", "journal")
 #: q-grams, rows of a band, the similarity at which forms have to meet, and with which probability.
 Q, ROWS, MEET_AT, MEET = 3, 4, 0.45, 0.985
+#: Keys that meet in one band up to which one task pairs them; those of larger bands are dealt to blocks.
+RUN = 1_000
 #: Least Monge-Elkan similarity of two forms, and of a word with its match.
 ALIKE, WORD_ALIKE = 0.86, 0.74
 
@@ -163,31 +167,63 @@ def _band_rows(batches):
 
 
 def _meetings(batches):
-    """Pairs of ids with one hash, from rows sorted by hash: one pass over the bands, one run in memory at a time."""
+    """Pairs of ids with one hash, from rows sorted by hash: one pass over the bands, RUN ids of a band in memory at most.
+    Of a larger band the ids alone, with the hash and without a partner."""
     rest = np.empty((0, 2), dtype=np.int64)
+    large: int | None = None  # the hash of the large band that goes on
+
+    def alone(rows):
+        return pd.DataFrame({"hash": rows[:, 0], "id": rows[:, 1], "id2": pd.array([None] * len(rows), dtype="Int64")})
+
+    def paired(left, right):
+        x = np.concatenate(left)
+        return pd.DataFrame({"hash": np.zeros(len(x), dtype=np.int64), "id": x, "id2": pd.array(np.concatenate(right), dtype="Int64")})
+
     for pdf in itertools.chain(batches, [None]):
         if pdf is not None:
             rest = np.concatenate((rest, pdf[["hash", "id"]].to_numpy(dtype=np.int64)))
-            if not len(rest):
-                continue
-            whole = int(np.searchsorted(rest[:, 0], rest[-1, 0]))  # the last run may go on
-        else:
-            whole = len(rest)
+        if large is not None:
+            go_on = int(np.searchsorted(rest[:, 0], large, "right"))
+            if go_on:
+                yield alone(rest[:go_on])
+                rest = rest[go_on:]
+            if len(rest):
+                large = None
+        if not len(rest):
+            continue
+        whole = int(np.searchsorted(rest[:, 0], rest[-1, 0])) if pdf is not None else len(rest)  # the last band may go on
+        if len(rest) - whole > RUN:
+            large = int(rest[-1, 0])
+            yield alone(rest[whole:])
+            rest = rest[:whole]
         done, rest = rest[:whole], rest[whole:]
         begin = np.flatnonzero(np.concatenate(([True], np.diff(done[:, 0]) != 0))) if whole else np.empty(0, dtype=np.int64)
         size = np.diff(np.concatenate((begin, [whole])))
         left, right, waiting = [], [], 0
         for b, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+            if n > RUN:
+                yield alone(done[b : b + n])
+                continue
             ids = np.unique(done[b : b + n, 1])
             for i in range(len(ids) - 1):
                 left.append(np.full(len(ids) - 1 - i, ids[i]))
                 right.append(ids[i + 1 :])
                 waiting += len(ids) - 1 - i
-                if waiting > 100_000:
-                    yield pd.DataFrame({"id": np.concatenate(left), "id2": np.concatenate(right)})
-                    left, right, waiting = [], [], 0
+            if waiting > 100_000:
+                yield paired(left, right)
+                left, right, waiting = [], [], 0
         if waiting:
-            yield pd.DataFrame({"id": np.concatenate(left), "id2": np.concatenate(right)})
+            yield paired(left, right)
+
+
+def meeting(keys: DataFrame, run: int = RUN) -> DataFrame:
+    """(id, id2): pairs of keys (id, kind, key) that meet in a band or without a letter."""
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a fixed number of partitions: the bytes of a key say nothing of what its signature costs
+    dealt = keys.repartition(parts, "id").mapInPandas(_band_rows, "id long, hash long").repartition(parts, "hash").sortWithinPartitions("hash")
+    met = checkpoint(dealt.mapInPandas(_meetings, "hash long, id long, id2 long"))
+    large = pairs_within(met.where("id2 IS NULL").select("hash", "id"), ["hash"], "id", run)
+    return met.where("id2 IS NOT NULL").select("id", "id2").unionByName(large.select(F.col("id_a").alias("id"), F.col("id_b").alias("id2"))).distinct()
 
 
 # ---- verification
@@ -285,39 +321,55 @@ def _compared(batches):
         yield pdf.loc[pdf["s"] >= ALIKE, ["u", "v", "s"]]
 
 
-def stars(forms: DataFrame, links: DataFrame, max_rounds: int = 40) -> DataFrame:
+def _greedy(batches):
+    """The centres among a small remainder of linked forms, one after the other."""
+    place: dict[str, tuple] = {}
+    near: dict[str, list[str]] = {}
+    for pdf in batches:
+        for u, v, full, n in zip(pdf["u"], pdf["v"], pdf["full"], pdf["n"], strict=True):
+            place[u] = (full, n, u)
+            near.setdefault(u, []).append(v)
+    gone: set[str] = set()
+    centres = []
+    for u in sorted(place, key=place.get, reverse=True):
+        if u not in gone:
+            centres.append(u)
+            gone.update(near[u])
+    yield pd.DataFrame({"u": pd.Series(centres, dtype="object")})
+
+
+def stars(forms: DataFrame, links: DataFrame, core: int = CORE) -> DataFrame:
     """(form, centre): star clustering of forms (form, full, n) along links (u, v, s).
 
-    In each round the forms that come before all their neighbours still to be placed, in the order of full forms,
-    number of rows and text, become centres; neighbours of a centre become its satellites, each of the centre it is
-    most similar to. Forms without a link are centres of themselves.
+    In the order of full forms, number of rows and text, from the greatest, a form that is linked to no centre becomes one.
+    Every other form is a satellite of the centre it is linked to with the greatest similarity, ties to the greater centre.
+    In a round all forms that come before all their neighbours still to be placed become centres at once; when no more than
+    ``core`` links are left, long chains among them, one task goes through them in order, with the same result.
     """
     weight = forms.select(F.col("form").alias("u"), F.struct("full", "n", "form").alias("p"))
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"), "s"))
-    live = checkpoint(both.join(weight, "u").join(weight.select(F.col("u").alias("v"), F.col("p").alias("q")), "v"))
-    placed: list[DataFrame] = []
-    for _ in range(max_rounds):
-        if live.isEmpty():
-            break
-        centre = live.groupBy("u").agg(F.max("p").alias("p"), F.max("q").alias("q")).where("p > q").select("u")
-        centre = checkpoint(centre)
-        beside = live.join(centre.select(F.col("u").alias("v")), "v", "left_semi").groupBy("u").agg(
-            F.max_by("v", F.struct("s", "q")).alias("centre")
-        )
-        placed += [checkpoint(beside.select(F.col("u").alias("form"), "centre"))]
-        done = centre.unionByName(placed[-1].select(F.col("form").alias("u"))).distinct()
-        live = checkpoint(
-            live.join(done, "u", "left_anti").join(done.select(F.col("u").alias("v")), "v", "left_anti").select("u", "v", "s", "p", "q")
-        )
-    else:
-        raise RuntimeError(f"no end of star clustering in {max_rounds} rounds")
-    out = None
-    for p in placed:
-        out = p if out is None else out.unionByName(p)
+    both = checkpoint(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"), "s")))
+    live = checkpoint(both.select("u", "v").join(weight, "u").join(weight.select(F.col("u").alias("v"), F.col("p").alias("q")), "v"))
+    centres, left = [], live.count()
+    while left > core:
+        centre = checkpoint(live.groupBy("u").agg(F.max("p").alias("p"), F.max("q").alias("q")).where("p > q").select("u"))
+        centres.append(centre)
+        beside = live.join(centre.select(F.col("u").alias("v")), "v", "left_semi").select("u")
+        done = checkpoint(centre.unionByName(beside).distinct())
+        live = checkpoint(live.join(done, "u", "left_anti").join(done.select(F.col("u").alias("v")), "v", "left_anti").select("u", "v", "p", "q"))
+        left = live.count()
+    if left:
+        rest = live.select("u", "v", F.col("p.full").cast("int").alias("full"), "p.n").coalesce(1)
+        centres.append(checkpoint(rest.mapInPandas(_greedy, "u string")))
     every = forms.select("form")
-    if out is None:
+    if not centres:
         return every.select("form", F.col("form").alias("centre"))
-    return every.join(out, "form", "left").select("form", F.coalesce("centre", "form").alias("centre"))
+    chosen = functools.reduce(DataFrame.unionByName, centres)
+    order = forms.select(F.col("form").alias("v"), F.struct("full", "n", "form").alias("q"))
+    satellites = (
+        both.join(chosen.select(F.col("u").alias("v")), "v", "left_semi").join(order, "v").join(chosen, "u", "left_anti")
+        .groupBy(F.col("u").alias("form")).agg(F.max_by("v", F.struct("s", "q")).alias("centre"))
+    )
+    return every.join(satellites, "form", "left").select("form", F.coalesce("centre", "form").alias("centre"))
 
 
 def clusters(names: DataFrame) -> DataFrame:
@@ -336,8 +388,7 @@ def clusters(names: DataFrame) -> DataFrame:
 
     # keys that meet in a band or without a letter: only numbers are shuffled, and become keys again for the pairs that met
     keys = checkpoint(forms.select("kind", "key").distinct().withColumn("id", F.xxhash64("kind", "key")))
-    dealt = keys.mapInPandas(_band_rows, "id long, hash long").repartition("hash").sortWithinPartitions("hash")
-    met = dealt.mapInPandas(_meetings, "id long, id2 long").distinct()
+    met = meeting(keys)
     met = met.join(keys, "id").join(keys.select("kind", F.col("key").alias("key2"), F.col("id").alias("id2")), ["kind", "id2"])
     met = met.select("kind", F.least("key", "key2").alias("key"), F.greatest("key", "key2").alias("key2"))
     # what no one edit or swap can make equal needs no closer look
@@ -366,9 +417,8 @@ def spellings(records: DataFrame) -> DataFrame:
 
 def same_entity(records: DataFrame) -> DataFrame:
     """(field, name_a, name_b): every pair of different spellings of one entity, the smaller first."""
-    found = checkpoint(clusters(spellings(records)))
-    a, b = found.withColumnRenamed("name", "name_a"), found.withColumnRenamed("name", "name_b")
-    return a.join(b, ["field", "entity"]).where("name_a < name_b").select("field", "name_a", "name_b")
+    found = clusters(spellings(records))
+    return pairs_within(found, ["field", "entity"], "name").select("field", "name_a", "name_b")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

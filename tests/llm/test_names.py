@@ -78,3 +78,40 @@ def test_all_names_at_one_edit_meet(kind):
     met = {(min(p), max(p)) for part in names._meetings([dealt]) for p in zip(part["id"], part["id2"], strict=True)}
     lost = {(a, b) for a, b in want if keys[a] != keys[b] and tuple(sorted((ids[keys[a]], ids[keys[b]]))) not in met}
     assert len(want) > 200 and not lost
+
+
+@pytest.mark.parametrize("core", [0, 30, names.CORE])
+def test_stars_equal_one_form_at_a_time(spark, rows, core):
+    """Also along a chain of falling weights, and whatever one task may finish."""
+    import random
+
+    rng = random.Random(core)
+    forms = [(f"f{i:02d}", rng.randint(0, 1), rng.randint(1, 5)) for i in range(40)] + [(f"z{i:02d}", 1, 100 - i) for i in range(25)]
+    links = {tuple(sorted(rng.sample([f[0] for f in forms[:40]], 2))): rng.choice([0.86, 0.9, 0.95]) for _ in range(60)}
+    links |= {(f"z{i:02d}", f"z{i + 1:02d}"): 0.9 for i in range(24)}
+    near = {f[0]: {} for f in forms}
+    for (a, b), s in links.items():
+        near[a][b] = near[b][a] = s
+    order = {f[0]: (f[1], f[2], f[0]) for f in forms}
+    centres = []
+    for f in sorted(order, key=order.get, reverse=True):
+        if not near[f].keys() & set(centres):
+            centres.append(f)
+    want = {f: f if f in centres else max(near[f].keys() & set(centres), key=lambda c, f=f: (near[f][c], order[c])) for f in order}
+    df = names.stars(spark.createDataFrame(forms, "form string, full int, n long"), spark.createDataFrame([(*p, s) for p, s in links.items()], "u string, v string, s double"), core)
+    assert {r["form"]: r["centre"] for r in rows(df)} == want
+
+
+def test_large_bands_are_dealt_to_blocks(spark, rows, monkeypatch):
+    keys = spark.createDataFrame([(i, "person", "gorelfilkin" + "abcdefghijklmnopqrstuvwxyz"[i]) for i in range(26)], "id long, kind string, key string")
+    every = {(r["id"], r["id2"]) for r in rows(names.meeting(keys))}
+    assert every == set(itertools.combinations(range(26), 2))
+    import pandas as pd
+
+    monkeypatch.setattr(names, "RUN", 10)
+    dealt = pd.DataFrame({"hash": [1] * 3 + [2] * 40 + [3] * 2 + [4] * 25, "id": [*range(3), *range(40), 7, 8, *range(25)]})
+    for step in (1, 7, 100):
+        out = pd.concat(list(names._meetings(dealt.iloc[b : b + step] for b in range(0, len(dealt), step))))
+        alone, pairs = out[out["id2"].isna()], out[out["id2"].notna()]
+        assert sorted(zip(pairs["id"], pairs["id2"])) == [(0, 1), (0, 2), (1, 2), (7, 8)]
+        assert sorted(zip(alone["hash"], alone["id"])) == [(2, i) for i in range(40)] + [(4, i) for i in range(25)]
