@@ -326,8 +326,8 @@ def _greedy(batches):
     place: dict[str, tuple] = {}
     near: dict[str, list[str]] = {}
     for pdf in batches:
-        for u, v, full, n in zip(pdf["u"], pdf["v"], pdf["full"], pdf["n"], strict=True):
-            place[u] = (full, n, u)
+        for u, v, full, n, degree in zip(pdf["u"], pdf["v"], pdf["full"], pdf["n"], pdf["degree"], strict=True):
+            place[u] = (full, n, degree, u)
             near.setdefault(u, []).append(v)
     gone: set[str] = set()
     centres = []
@@ -341,13 +341,14 @@ def _greedy(batches):
 def stars(forms: DataFrame, links: DataFrame, core: int = CORE) -> DataFrame:
     """(form, centre): star clustering of forms (form, full, n) along links (u, v, s).
 
-    In the order of full forms, number of rows and text, from the greatest, a form that is linked to no centre becomes one.
+    In the order of full forms, number of rows, number of links and text, from the greatest, a form that is linked to no centre becomes one.
     Every other form is a satellite of the centre it is linked to with the greatest similarity, ties to the greater centre.
     In a round all forms that come before all their neighbours still to be placed become centres at once; when no more than
     ``core`` links are left, long chains among them, one task goes through them in order, with the same result.
     """
-    weight = forms.select(F.col("form").alias("u"), F.struct("full", "n", "form").alias("p"))
     both = checkpoint(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"), "s")))
+    degree = both.groupBy(F.col("u").alias("form")).agg(F.count("*").alias("degree"))
+    weight = checkpoint(forms.join(degree, "form").select(F.col("form").alias("u"), F.struct("full", "n", "degree", "form").alias("p")))
     live = checkpoint(both.select("u", "v").join(weight, "u").join(weight.select(F.col("u").alias("v"), F.col("p").alias("q")), "v"))
     centres, left = [], live.count()
     while left > core:
@@ -358,13 +359,16 @@ def stars(forms: DataFrame, links: DataFrame, core: int = CORE) -> DataFrame:
         live = checkpoint(live.join(done, "u", "left_anti").join(done.select(F.col("u").alias("v")), "v", "left_anti").select("u", "v", "p", "q"))
         left = live.count()
     if left:
-        rest = live.select("u", "v", F.col("p.full").cast("int").alias("full"), "p.n").coalesce(1)
+        rest = live.select("u", "v", F.col("p.full").cast("int").alias("full"), "p.n", "p.degree").coalesce(1)
         centres.append(checkpoint(rest.mapInPandas(_greedy, "u string")))
     every = forms.select("form")
     if not centres:
         return every.select("form", F.col("form").alias("centre"))
-    chosen = functools.reduce(DataFrame.unionByName, centres)
-    order = forms.select(F.col("form").alias("v"), F.struct("full", "n", "form").alias("q"))
+    # a form whose neighbours all went to others is a centre too
+    placed = functools.reduce(DataFrame.unionByName, centres).withColumnRenamed("u", "v")
+    beside = both.join(placed, "v", "left_semi").select("u").distinct()
+    chosen = checkpoint(every.withColumnRenamed("form", "u").join(beside, "u", "left_anti"))
+    order = weight.select(F.col("u").alias("v"), F.col("p").alias("q"))
     satellites = (
         both.join(chosen.select(F.col("u").alias("v")), "v", "left_semi").join(order, "v").join(chosen, "u", "left_anti")
         .groupBy(F.col("u").alias("form")).agg(F.max_by("v", F.struct("s", "q")).alias("centre"))

@@ -92,7 +92,7 @@ def test_stars_equal_one_form_at_a_time(spark, rows, core):
     near = {f[0]: {} for f in forms}
     for (a, b), s in links.items():
         near[a][b] = near[b][a] = s
-    order = {f[0]: (f[1], f[2], f[0]) for f in forms}
+    order = {f[0]: (f[1], f[2], len(near[f[0]]), f[0]) for f in forms}
     centres = []
     for f in sorted(order, key=order.get, reverse=True):
         if not near[f].keys() & set(centres):
