@@ -1,11 +1,11 @@
 """Evaluation texts leaking into training text (problem 9).
 
-Method: a BM25 inverted index of the test items, in blocks with their greatest weight; every training passage is a
-query against it by block-max WAND, which returns all items that score above their threshold; each is then verified
-by aligning the item with the passage.
+Method: a BM25 inverted index of the test items, in blocks with their greatest weight; every training text is a
+query against it, whole, by block-max WAND, which returns all items that score above their threshold; each is then verified
+by aligning the item with the text.
 
 The threshold of an item is RETAINED of the smallest BM25 score that any stretch of SHARE of it has against the item,
-so that a passage with a whole stretch, or one with up to two fifths of its weight changed, is always retrieved. Weights
+so that a text with a whole stretch, or one with up to two fifths of its weight changed, is always retrieved. Weights
 are stored divided by their item's threshold: a document is retrieved when it reaches 1.
 
 The held-out items are a bounded set. They are indexed in shards of at most SHARD_CHARS characters; each shard is one
@@ -39,8 +39,8 @@ LOST_IN_A_ROW, FOUND = 2, 0.6
 K1, B = 1.2, 0.75
 BLOCK = 8
 SHARD_CHARS = 8_000_000
-#: Words in a passage; passages of longer texts overlap by half.
-PASSAGE = 20_000
+#: Places of a word from which on they are looked at as arrays; it changes nothing but the time.
+MANY = 200
 
 _MARKUP = re.compile(r"<[^<>\n]{1,80}>|&#?\w{1,8};")
 _HYPHENATED = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t>*#|]*(?=[^\W\d_])")
@@ -170,6 +170,31 @@ def retrieve(index: Index, terms: set[str]) -> list[int]:
             c[0] = c[3][j] if j < len(c[3]) else end
 
 
+def _chains(places: list[int], before: list[tuple], w: float, p: int) -> list[tuple]:
+    out = []
+    for place in places:
+        chain = (w, p, w)
+        for earlier, chains, lost in before:
+            k = bisect_left(earlier, place)
+            if k and (c := chains[k - 1])[0] - lost > chain[0] - w:
+                chain = (c[0] - lost + w, c[1], c[2] + w)
+        out.append(chain)
+    return out
+
+
+def _chains_of_many(places: list[int], before: list[tuple], w: float, p: int) -> list[tuple]:
+    """The same for a word with very many places, in arrays."""
+    at = np.asarray(places)
+    score, first, weight = np.full(len(at), w), np.full(len(at), p), np.full(len(at), w)
+    for earlier, chains, lost in before:
+        k = np.searchsorted(np.asarray(earlier), at)
+        of = np.array([(-np.inf, 0, 0.0), *chains])[k]
+        better = of[:, 0] - lost > score - w
+        score = np.where(better, of[:, 0] - lost + w, score)
+        first, weight = np.where(better, of[:, 1].astype(int), first), np.where(better, of[:, 2] + w, weight)
+    return list(zip(score.tolist(), first.tolist(), weight.tolist(), strict=True))
+
+
 def stretch(item: list[str], where: dict[str, list[int]], idf: dict[str, float]) -> float:
     """The part of the item covered by its best stretch: item words found in the item's order, text between them
     allowed, at most LOST_IN_A_ROW words in a row lost.
@@ -189,15 +214,12 @@ def stretch(item: list[str], where: dict[str, list[int]], idf: dict[str, float])
             continue
         w = idf[t]
         before = [(*rows[q], cost[p] - cost[q + 1]) for q in range(max(0, p - LOST_IN_A_ROW - 1), p) if rows[q][0]]
-        tops, top = [], (-1.0, p, 0.0)  # a chain: score, its first item word, weight found
-        for place in places:
-            chain = (w, p, w)
-            for earlier, chains, lost in before:
-                k = bisect_left(earlier, place)
-                if k and (c := chains[k - 1])[0] - lost > chain[0] - w:
-                    chain = (c[0] - lost + w, c[1], c[2] + w)
-            if p + 1 - chain[1] > best and chain[2] >= FOUND * (cost[p + 1] - cost[chain[1]]):
-                best = p + 1 - chain[1]
+        # chains that end at each place: score, their first item word, weight found
+        chains = _chains_of_many(places, before, w, p) if len(places) >= MANY else _chains(places, before, w, p)
+        if any(p + 1 - c[1] > best and c[2] >= FOUND * (cost[p + 1] - cost[c[1]]) for c in set(chains)):
+            best = max(p + 1 - c[1] for c in set(chains) if c[2] >= FOUND * (cost[p + 1] - cost[c[1]]))
+        tops, top = [], (-1.0, p, 0.0)
+        for chain in chains:
             if chain[0] > top[0]:
                 top = chain
             tops.append(top)
@@ -223,22 +245,17 @@ def may_hold(item: list[str], terms: set[str], idf: dict[str, float], share: flo
 
 def held_items(index: Index, text: str | None, share: float = SHARE) -> list[tuple[int, float]]:
     """(item id, part held) of the items of which the text holds at least ``share``."""
-    found: dict[int, float] = {}
     tokens = words(text)
-    for begin in range(0, max(1, len(tokens) - PASSAGE // 2), PASSAGE // 2):
-        passage = tokens[begin : begin + PASSAGE]
-        terms = index.terms.intersection(passage)
-        hits = [x for x in retrieve(index, terms) if may_hold(index.items[x], terms, index.idf, share)]
-        if not hits:
-            continue
-        where: dict[str, list[int]] = defaultdict(list)
-        for q, t in enumerate(passage):
-            if t in terms:
-                where[t].append(q)
-        for x in hits:
-            if (part := stretch(index.items[x], where, index.idf)) >= share:
-                found[index.ids[x]] = max(part, found.get(index.ids[x], 0.0))
-    return sorted(found.items())
+    terms = index.terms.intersection(tokens)
+    hits = [x for x in retrieve(index, terms) if may_hold(index.items[x], terms, index.idf, share)]
+    if not hits:
+        return []
+    where: dict[str, list[int]] = defaultdict(list)
+    for q, t in enumerate(tokens):
+        if t in terms:
+            where[t].append(q)
+    parts = [(index.ids[x], stretch(index.items[x], where, index.idf)) for x in hits]
+    return sorted((i, part) for i, part in parts if part >= share)
 
 
 def _terms(batches):
