@@ -170,7 +170,19 @@ def test_csv_lines(spark, line, reason):
     out = {r["raw_id"]: r for r in rows(csv_rows.parse_rows(df))}
     assert out[1]["reason"] == reason and out[2]["reason"] is None and out[3]["reason"] == "columns"
     assert (out[1]["fields"] is None) == (reason is not None)
-    assert {r["record_id"] for r in rows(csv_rows.load(df, "ledger"))} >= {"PM1"}
+    loaded = {r["raw_id"]: r for r in rows(csv_rows.load(df, "ledger"))}
+    assert set(loaded) == {i for i in (1, 2) if out[i]["reason"] is None} and loaded[2]["record_id"] == "PM1" and loaded[2]["year"] == 2001
+    if line == LEDGER.replace("2001", ""):
+        assert loaded[1]["year"] is None
+
+
+def test_the_cell_at_fault_is_named(spark):
+    lines = [LEDGER, LEDGER.replace("2001", "201?"), LEDGER.replace("kept", "keep").replace("2001", "x"), LEDGER.replace("PM1,pubmed", "?,pubmed").replace("kept", ""), LEDGER.replace("a.txt", "a"), "x,y"]
+    out = rows(csv_rows.parse_rows(spark.createDataFrame([(i, "ledger", x) for i, x in enumerate(lines)], "raw_id long, target string, raw_line string")))
+    assert [r["cell"] for r in sorted(out, key=lambda r: r["raw_id"])] == [None, "year", "status", "record_id", "input_file", None]
+    import pyarrow as pa
+
+    assert csv_rows._castable(pa.array(["1", "", "99999999999", "x"]), pa.int32()).to_pylist() == [True, True, False, False]
 
 
 def test_csv_lines_of_an_empty_table(spark):
