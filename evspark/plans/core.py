@@ -627,8 +627,8 @@ def manifest_diff(spark, d):
     return provenance.compare(old, new).groupBy("change").agg(F.count("*").alias("n"))
 
 
-@query(r"""WITH r AS (SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_quantity > 45 THEN 'l_quantity: violates maximum' END, CASE WHEN l_discount < 0.01 THEN 'l_discount: violates minimum' END,
-  CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'l_returnflag: value not in allowed_values' END], lambda x: x IS NOT NULL) AS e FROM lineitem)
+@query(r"""WITH r AS (SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_quantity > 45 THEN 'l_quantity is above 45' END, CASE WHEN l_discount < 0.01 THEN 'l_discount is below 0.01' END,
+  CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'l_returnflag is none of the listed values' END], lambda x: x IS NOT NULL) AS e FROM lineitem)
 SELECT errors, count(*) AS n FROM (SELECT array_to_string(e, '; ') AS errors FROM r) GROUP BY errors""")
 def row_validation(spark, d):
     from evspark.operators import codebook

@@ -340,8 +340,8 @@ def test_bad_variables(folder):
 
 
 def test_rows_against_a_codebook(spark):
-    cases = [('{"Study":"S","N":40,"Arm":"t"}', []), ('{"Study":"S","N":40.0,"Arm":"c"}', ["N: expected integer, got float"]), ('{"Study":"S","N":1,"Arm":"x"}', ["N: violates minimum", "Arm: value not in allowed_values"]),
-             ('{"Study":"S","N":null,"Arm":"t"}', ["duplicate row identity"]), ('{"Study":null,"N":null,"Arm":"t"}', ["Study: null not allowed"]), ('{"Study":"S"}', ["columns must be exactly those of the executor"]), ("{", None)]
+    cases = [('{"Study":"S","N":40,"Arm":"t"}', []), ('{"Study":"S","N":40.0,"Arm":"c"}', ["N is no integer"]), ('{"Study":"S","N":1,"Arm":"x"}', ["N is below 2", "Arm is none of the listed values"]),
+             ('{"Study":"S","N":null,"Arm":"t"}', ["another row has this identity"]), ('{"Study":null,"N":null,"Arm":"t"}', ["Study is empty"]), ('{"Study":"S"}', ["the fields are not those of the executor"]), ("{", None)]
     out = {r["row_id"]: r["errors"] for r in rows(codebook.validate_rows(spark.createDataFrame(list(enumerate(c[0] for c in cases)), "row_id long, row string"), book()))}
     for i, (_, errors) in enumerate(cases):
         assert (out[i] == errors) if errors is not None else out[i][0].startswith("not strict JSON")
