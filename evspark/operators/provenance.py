@@ -7,6 +7,7 @@ small objects.
 from __future__ import annotations
 
 import hashlib
+import re
 import shutil
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -19,19 +20,21 @@ from pyspark.sql import functions as F
 from evspark.functions import jsonx
 
 
+#: A name of parts between single slashes, none of them a dot or two, without what some systems give a meaning of its own.
+PORTABLE = re.compile(r"(?!\.{1,2}(?:/|$))[^/\\:]+(?:/(?!\.{1,2}(?:/|$))[^/\\:]+)*")
+
+
 def safe_path(root: Path, name: str) -> Path:
-    """A relative path below the root without links, dots, colons or backslashes (FN-18)."""
-    pure = PurePosixPath(name)
-    if not name or "\\" in name or ":" in name or pure.is_absolute() or any(p in ("", ".", "..") for p in name.split("/")):
-        raise ValueError(f"not a portable relative path: {name!r}")
-    path = root
-    for part in pure.parts:
-        path = path / part
-        if path.is_symlink():
-            raise ValueError(f"links are not frozen: {name}")
-    if not path.resolve().is_relative_to(root.resolve()):
-        raise ValueError(f"outside the root: {name}")
-    return path
+    """The file of a portable relative name below a folder; anything else is a ValueError (FN-18).
+
+    A name that leads over a link resolves to another place than it spells, inside the folder or out of it.
+    """
+    if not isinstance(name, str) or not PORTABLE.fullmatch(name):
+        raise ValueError(f"not a portable name: {name!r}")
+    spelled = root.resolve().joinpath(name)
+    if spelled.resolve() != spelled:
+        raise ValueError(f"leads over a link: {name}")
+    return spelled
 
 
 def manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -76,11 +79,24 @@ def write_new(path: Path, text: str) -> None:
         f.write(text)
 
 
+def _below(root: Path, scope: str) -> tuple[list[str], list[str]]:
+    """Names of the files and of the links below a folder."""
+    folder = safe_path(root, scope)
+    if not folder.is_dir():
+        raise ValueError(f"no folder: {scope}")
+    found = sorted(p for p in folder.rglob("*"))
+    name = lambda p: p.relative_to(root.resolve()).as_posix()
+    return [name(p) for p in found if p.is_file() and not p.is_symlink()], [name(p) for p in found if p.is_symlink()]
+
+
 def freeze(root: Path, files: list[str], scopes: list[str], target: str) -> dict:
-    """Write a manifest of files and of all files in scopes; it cannot hold itself (FRZ-3)."""
+    """Write a manifest of files and of all files in scopes; it cannot hold itself, and freezes no links (FRZ-3)."""
     names = set(files)
     for scope in scopes:
-        names |= {p.relative_to(root).as_posix() for p in safe_path(root, scope).rglob("*") if p.is_file()}
+        own, links = _below(root, scope)
+        if links:
+            raise ValueError(f"links in {scope}: {links[:20]}")
+        names.update(own)
     if target in names or any(PurePosixPath(target).is_relative_to(s) for s in scopes):
         raise ValueError("a manifest cannot freeze itself")
     if not names:
@@ -91,24 +107,43 @@ def freeze(root: Path, files: list[str], scopes: list[str], target: str) -> dict
     return out
 
 
+_HASH = re.compile("[0-9a-f]{64}")
+
+
+def manifest_faults(recorded) -> list[str]:
+    """Why something is no manifest."""
+    if not isinstance(recorded, dict) or sorted(recorded) != ["algorithm", "files", "schema_version", "scopes"]:
+        return ["the keys are not those of a manifest"]
+    out = [] if recorded["schema_version"] == 1 and recorded["schema_version"] is not True and recorded["algorithm"] == "sha256" else ["of another version or algorithm"]
+    entries, scopes = recorded["files"], recorded["scopes"]
+    if not isinstance(scopes, list) or not all(isinstance(x, str) for x in scopes):
+        out.append("scopes are no list of names")
+    if not isinstance(entries, list) or not entries:
+        return [*out, "no files"]
+    sound = [e for e in entries if isinstance(e, dict) and sorted(e) == ["path", "sha256", "size"] and isinstance(e["path"], str)]
+    out += ["an entry has other keys"] * (len(sound) < len(entries))
+    out += ["a path stands twice"] * (len({e["path"] for e in sound}) < len(sound))
+    good = lambda e: type(e["size"]) is int and e["size"] >= 0 and isinstance(e["sha256"], str) and _HASH.fullmatch(e["sha256"])
+    return out + [f"no size or hash: {e['path']}" for e in sound if not good(e)]
+
+
 def verify(root: Path, recorded: dict) -> list[tuple[str, str]]:
-    """(path, change) of everything that differs from a manifest, files added to closed scopes included (FRZ-2)."""
-    if set(recorded) != {"schema_version", "algorithm", "scopes", "files"} or recorded["schema_version"] != 1 or recorded["algorithm"] != "sha256":
-        raise ValueError("malformed manifest")
-    known, out = {}, []
-    for e in recorded["files"]:
-        if set(e) != {"path", "size", "sha256"} or e["path"] in known:
-            raise ValueError("malformed manifest entry")
-        known[e["path"]] = e
-    for name, e in sorted(known.items()):
+    """(path, change) of everything that differs from a manifest; files and links added to closed scopes included (FRZ-2).
+
+    What is no manifest, and a scope that is gone, is a ValueError.
+    """
+    if faults := manifest_faults(recorded):
+        raise ValueError(f"not a manifest: {'; '.join(faults[:20])}")
+    known = {e["path"]: (e["size"], e["sha256"]) for e in recorded["files"]}
+    out = []
+    for name, told in sorted(known.items()):
         path = safe_path(root, name)
-        if not path.is_file():
-            out.append((name, "missing"))
-        elif path.stat().st_size != e["size"] or digest(path) != e["sha256"]:
-            out.append((name, "changed"))
+        now = (path.stat().st_size, digest(path)) if path.is_file() else None
+        if now != told:
+            out.append((name, "changed" if now else "missing"))
     for scope in recorded["scopes"]:
-        folder = safe_path(root, scope)
-        out += [(n, "added") for p in sorted(folder.rglob("*")) if p.is_file() and (n := p.relative_to(root).as_posix()) not in known]
+        files, links = _below(root, scope)
+        out += [(n, "added") for n in files if n not in known] + [(n, "link") for n in links]
     return out
 
 
@@ -119,8 +154,6 @@ class Releases:
         self.project, self.folder, self.left_out = project, project / "releases", left_out
 
     def create(self, name: str) -> str:
-        import re
-
         if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]{0,63}", name):
             raise ValueError("not a release name")
         target = self.folder / name

@@ -344,7 +344,7 @@ def test_rows_against_a_codebook(spark):
              ('{"Study":"S","N":null,"Arm":"t"}', ["another row has this identity"]), ('{"Study":null,"N":null,"Arm":"t"}', ["Study is empty"]), ('{"Study":"S"}', ["the fields are not those of the executor"]), ("{", None)]
     out = {r["row_id"]: r["errors"] for r in rows(codebook.validate_rows(spark.createDataFrame(list(enumerate(c[0] for c in cases)), "row_id long, row string"), book()))}
     for i, (_, errors) in enumerate(cases):
-        assert (out[i] == errors) if errors is not None else out[i][0].startswith("not strict JSON")
+        assert (out[i] == errors) if errors is not None else out[i][0].startswith("no strict JSON")
     assert codebook.path_error({"ES_Path": "means_sd", "events": 1}) and codebook.path_error({"ES_Path": "events_total", "events": 3, "total": 2}) and not codebook.path_error({"ES_Path": "events_total", "events": 3, "total": 4})
 
 
