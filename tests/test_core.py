@@ -449,8 +449,16 @@ def test_manifests_and_releases(spark, tmp_path):
             provenance.safe_path(tmp_path, bad)
     with pytest.raises(ValueError):
         provenance.freeze(tmp_path, [], ["in"], "in/M.json")
+    entry = recorded["files"][0]
+    for wrong in ({"schema_version": 2}, {"schema_version": True}, {"files": []}, {"files": [entry, entry]}, {"files": [entry | {"sha256": "x"}]}, {"files": [entry | {"size": -1}]}, {"files": ["x"]}, {"scopes": ["gone"]}, {"scopes": "in"}, {"more": 1}):
+        with pytest.raises(ValueError):
+            provenance.verify(tmp_path, recorded | wrong)
+    (tmp_path / "in" / "l").symlink_to(tmp_path / "in" / "c.txt")
+    assert ("in/l", "link") in provenance.verify(tmp_path, recorded)
+    with pytest.raises(ValueError):
+        provenance.safe_path(tmp_path, "in/l")
     with pytest.raises(ValueError):
-        provenance.verify(tmp_path, recorded | {"schema_version": 2})
+        provenance.freeze(tmp_path, [], ["in"], "M2.json")
     r = provenance.Releases(tmp_path)
     r.create("v1")
     r.activate("v1")
