@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 # Shapes of credentials.
 CREDENTIALS = {
-    "private key": r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", "access key": r"\bAKIA[0-9A-Z]{16}\b", "token": r"\b(?:ghp|gho|github_pat)_[A-Za-z0-9_]{20,}",
-    "assigned secret": r"(?i)\b(?:api[_-]?key|secret|password)\b\s*[:=]\s*[\"'][^\"'\s]{12,}[\"']",
+    "private key": r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----", "access key": r"\bAKIA[0-9A-Z]{16}\b",
+    "code host token": r"\b(?:ghp_|github_pat_)[A-Za-z0-9_]{30,}\b", "service key": r"\bsk-(?:proj-)?[A-Za-z0-9_-]{32,}\b",
 }
 
 

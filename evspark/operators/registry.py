@@ -68,7 +68,12 @@ def request_problems(requested: DataFrame, registry: DataFrame, fields: list[str
 
 
 def register(requested: DataFrame, registry: DataFrame, fields: list[str], namespace: str, order: str) -> DataFrame:
-    """The next version: the registry and an entry for each new identity, numbered in the order of ``order``."""
+    """The next version: the registry and an entry for each new identity, numbered in the order of ``order``.
+
+    An identity that is requested twice or retired is a ValueError; one that is active keeps its id.
+    """
+    if wrong := request_problems(requested, registry, fields).take(20):
+        raise ValueError(f"these can't be registered: {[(r.key, r.problem) for r in wrong]}")
     own = F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f).cast("string"))])
     known = registry.select(identity_key(F.col("identity")).alias("_key"))
     new = requested.select(own.alias("identity"), order).withColumn("_key", identity_key(F.col("identity"))).join(known, "_key", "left_anti")
@@ -77,6 +82,9 @@ def register(requested: DataFrame, registry: DataFrame, fields: list[str], names
 
 
 def retire(registry: DataFrame, uids: DataFrame) -> DataFrame:
-    """The next version with these ids retired."""
+    """The next version with these ids retired; an id that is unknown or retired already is a ValueError."""
+    active = registry.where("status = 'active'").select("row_uid")
+    if wrong := uids.select("row_uid").distinct().join(active, "row_uid", "left_anti").take(20):
+        raise ValueError(f"not active: {[r.row_uid for r in wrong]}")
     gone = uids.select("row_uid").distinct().withColumn("_gone", F.lit(True))
     return registry.join(gone, "row_uid", "left").select("row_uid", "identity", F.when(F.col("_gone"), "retired").otherwise(F.col("status")).alias("status"))

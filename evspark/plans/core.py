@@ -39,7 +39,7 @@ def _rec(spark: SparkSession, d: str) -> DataFrame:
     return r.select(
         "record_id", F.lower(F.trim("source")).alias("source"), F.lit("").alias("input_file"),
         *map(missing, ("pmid", "doi", "title", "abstract", "year", "first_author", "journal", "language")),
-        F.filter(F.transform(F.split(F.coalesce("doc_types", F.lit("")), ";"), F.trim), lambda t: t != "").alias("doc_types"),
+        F.filter(F.transform(F.split(F.coalesce("doc_types", F.lit("")), ";"), lambda t: F.trim(t)), lambda t: t != "").alias("doc_types"),
     )
 
 
@@ -158,21 +158,6 @@ def glob_removable(spark, d):
 # ---- linkage
 
 
-@query(f"""WITH {_REC} SELECT record_id, min(record_id) OVER (PARTITION BY pmid) AS first_id FROM rec WHERE pmid <> ''""")
-def m1_groups(spark, d):
-    r = _rec(spark, d).where("pmid <> ''")
-    first = r.groupBy("pmid").agg(F.min("record_id").alias("first_id"))
-    return r.join(first, "pmid").select("record_id", "first_id")
-
-
-@query(f"""WITH {_REC}, k AS (SELECT *, {_KEY.format(c='title')} AS nt FROM rec)
-SELECT a.record_id AS id_a, b.record_id AS id_b FROM k a JOIN k b ON a.nt = b.nt AND a.year = b.year AND a.record_id < b.record_id
-WHERE a.nt <> '' AND a.year <> '' AND len(string_split(a.nt, ' ')) >= 6""")
-def m3_pairs(spark, d):
-    k = _rec(spark, d).select("record_id", "year", _ascii_key(F.col("title")).alias("nt")).where("nt <> '' AND year <> ''").where(text.count_words(F.col("nt")) >= 6)
-    return k.join(k.withColumnRenamed("record_id", "id_b"), ["nt", "year"]).where("record_id < id_b").select(F.col("record_id").alias("id_a"), "id_b")
-
-
 @query(f"""WITH k AS (SELECT doc_id, {_KEY.format(c="split_part(coalesce(text, ''), chr(10), 1)")} AS nt, 2000 + n_chars % 20 AS y FROM documents)
 SELECT least(a.doc_id, b.doc_id) AS id_a, greatest(a.doc_id, b.doc_id) AS id_b FROM k a JOIN k b ON a.nt = b.nt AND b.y - a.y = 1 WHERE len(string_split(a.nt, ' ')) >= 6""")
 def r1_pairs(spark, d):
@@ -183,19 +168,94 @@ def r1_pairs(spark, d):
     return pairs.select(F.col("ord_a").alias("id_a"), F.col("ord_b").alias("id_b"))
 
 
-@query(f"""WITH {_REC}, k AS (SELECT *, {_KEY.format(c='title')} AS nt, {_KEY.format(c='first_author')} AS na FROM rec)
-SELECT a.record_id AS id_a, b.record_id AS id_b FROM k a JOIN k b ON a.nt = b.nt AND a.year = b.year AND a.na = b.na AND a.record_id < b.record_id
-WHERE a.nt <> '' AND a.year <> '' AND len(string_split(a.nt, ' ')) < 6""")
-def r2_short_pairs(spark, d):
-    k = _rec(spark, d).select("record_id", "year", _ascii_key(F.col("title")).alias("nt"), _ascii_key(F.col("first_author")).alias("na")).where("nt <> '' AND year <> ''")
-    k = k.where(text.count_words(F.col("nt")) < 6)
-    return k.join(k.withColumnRenamed("record_id", "id_b"), ["nt", "year", "na"]).where("record_id < id_b").select(F.col("record_id").alias("id_a"), "id_b")
+RULES = linkage.Rules(source_precedence=("pubmed", "wos"), listed={"default": ("Editorial", "Letter")}, neutral={"default": ("Journal Article",)})
+
+
+def _keyed_by(spark, d, *keys: str) -> DataFrame:
+    """All records with these keys only, so that one rule decides all; titles by their ASCII letters, which both engines fold
+    alike. What a record is called by, and what it is, stays."""
+    empty = {c: F.lit("") for c in ("pmid", "doi", "title", "first_author") if c not in keys}
+    own = {"title": _ascii_key(F.col("title"))} if "title" in keys else {}
+    return _ordered(spark, d).withColumns(empty | own)
+
+
+#: The ledger of a linkage by one key: {key} is the SQL of the key, NULL if there is none; {title} the title that is kept.
+_LEDGER = """rec AS (SELECT record_id, lower(trim(source)) AS source, coalesce(pmid, '') AS pmid, coalesce(doi, '') AS doi, coalesce(title, '') AS title, coalesce(abstract, '') AS abstract,
+    coalesce(year, '') AS year, list_filter(list_transform(string_split(coalesce(doc_types, ''), ';'), lambda x: trim(x)), lambda x: x <> '') AS types FROM records),
+  k AS (SELECT *, {key} AS key FROM rec),
+  g AS (SELECT *, coalesce('k' || key, 'r' || record_id) AS root, CASE source WHEN 'pubmed' THEN 1 WHEN 'wos' THEN 2 ELSE 3 END AS p,
+    len(list_filter(types, lambda x: x IN ('Editorial', 'Letter'))) > 0 AND len(list_filter(types, lambda x: x NOT IN ('Editorial', 'Letter', 'Journal Article'))) = 0 AS off FROM k),
+  o AS (SELECT *, first_value(record_id) OVER (PARTITION BY root ORDER BY p, CASE WHEN p < 3 THEN '' ELSE source END, abstract = '', record_id) AS best,
+    bool_and(off) OVER (PARTITION BY root) AS drop_, row_number() OVER (PARTITION BY root ORDER BY record_id) AS i,
+    first_value(record_id) OVER (PARTITION BY root ORDER BY record_id) AS head, nth_value(record_id, 2) OVER (PARTITION BY root ORDER BY record_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second FROM g),
+  l AS (SELECT *, CASE WHEN record_id <> best THEN 'duplicate' WHEN drop_ THEN 'removed_doc_type' ELSE 'kept' END AS status FROM o)"""
+_LEDGER_ROWS = """SELECT record_id, source, best AS group_id, status, CASE status WHEN 'duplicate' THEN '{rule}' WHEN 'removed_doc_type' THEN 'DT' ELSE '' END AS rule,
+  CASE WHEN status <> 'duplicate' THEN '' WHEN i = 1 THEN second ELSE head END AS matched_to, array_to_string(types, '; ') AS doc_types, year, {title} AS title FROM l"""
+_DOI_KEY = "nullif(" + r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(doi)), '^https://doi\.org/', ''), '^http://doi\.org/', ''), '^https://dx\.doi\.org/', ''),
+  '^http://dx\.doi\.org/', ''), '^doi:', ''))""".replace("\\\\", "\\") + ", '')"
+_TITLE = _KEY.format(c="title")
+#: Long titles of one year, apart by whether the record is a report version.
+_TITLE_KEY = f"CASE WHEN len(string_split({_TITLE}, ' ')) >= 6 AND {_TITLE} <> '' AND year <> '' THEN {_TITLE} || '|' || year || '|' || (len(list_filter(types, lambda x: x IN ('Preprint', 'UNPB'))) > 0) END"
+
+
+def _ledger_of(key: str, rule: str, title: str) -> str:
+    return f"WITH {_LEDGER.format(key=key)} {_LEDGER_ROWS.format(rule=rule, title=title)}"
+
+
+@query(_ledger_of("nullif(pmid, '')", "M1", "''"))
+def dedup_by_pmid(spark, d):
+    """Rule M1 alone on all records: groups, survivors, removal by document types, ledger."""
+    return linkage.link(_keyed_by(spark, d, "pmid"), RULES).ledger.drop("input_file")
+
+
+@query(_ledger_of(_DOI_KEY, "M2", "''"))
+def dedup_by_doi(spark, d):
+    return linkage.link(_keyed_by(spark, d, "doi"), RULES).ledger.drop("input_file")
+
+
+@query(_ledger_of(_TITLE_KEY, "M3", _TITLE))
+def dedup_by_title(spark, d):
+    """Rule M3 alone; of one title and year report versions stay apart from the rest (R4)."""
+    return linkage.link(_keyed_by(spark, d, "title"), RULES).ledger.drop("input_file")
+
+
+@query(f"""WITH {_LEDGER.format(key=_TITLE_KEY)}, c AS (SELECT DISTINCT {_TITLE} AS nt, year, types, key, record_id FROM k WHERE {_TITLE} <> '' AND year <> ''),
+  v AS (SELECT DISTINCT nt, year, key FROM c WHERE key IS NOT NULL), w AS (SELECT nt, year, record_id FROM c WHERE key IS NULL)
+SELECT 'R1' AS rule, count(*) AS n FROM v a JOIN v b ON a.nt = b.nt AND regexp_full_match(a.year, '[0-9]{{1,9}}') AND regexp_full_match(b.year, '[0-9]{{1,9}}') AND TRY_CAST(b.year AS BIGINT) = TRY_CAST(a.year AS BIGINT) + 1 HAVING count(*) > 0
+UNION ALL SELECT 'R2', count(*) FROM w a JOIN w b ON a.nt = b.nt AND a.year = b.year AND a.record_id < b.record_id HAVING count(*) > 0
+UNION ALL SELECT 'R4', count(*) FROM v a JOIN v b ON a.nt = b.nt AND a.year = b.year AND a.key < b.key HAVING count(*) > 0""")
+def review_by_title(spark, d):
+    """Pairs shown to the reader when titles, years and report versions decide, by rule."""
+    return linkage.link(_keyed_by(spark, d, "title"), RULES).review.groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_LEDGER.format(key="nullif(pmid, '')")}, a AS (SELECT best, string_agg(record_id, '; ' ORDER BY p, CASE WHEN p < 3 THEN '' ELSE source END, abstract = '', record_id) AS others FROM l WHERE status = 'duplicate' GROUP BY best),
+  n AS (SELECT best, record_id AS donor, abstract AS lent, row_number() OVER (PARTITION BY best ORDER BY length(abstract) DESC, p, CASE WHEN p < 3 THEN '' ELSE source END, record_id) AS j FROM l WHERE abstract <> '')
+SELECT record_id, coalesce(others, '') AS also_found_as, CASE WHEN abstract = '' THEN coalesce(donor, '') ELSE '' END AS abstract_from, CASE WHEN abstract = '' THEN coalesce(length(lent), 0) ELSE length(abstract) END AS abstract_length
+FROM l LEFT JOIN a USING (best) LEFT JOIN n ON l.best = n.best AND j = 1 WHERE status = 'kept'""")
+def kept_by_pmid(spark, d):
+    """Kept records with their other copies and, where they have no abstract, the one of the best copy that has."""
+    kept = linkage.link(_keyed_by(spark, d, "pmid"), RULES).kept
+    return kept.select("record_id", "also_found_as", "abstract_from", F.length("abstract").cast(L).alias("abstract_length"))
+
+
+@query("""WITH RECURSIVE n AS (SELECT count(*) AS n FROM records), l AS (SELECT DISTINCT trim(record_id_a) AS u, trim(record_id_b) AS v FROM review_pairs
+  WHERE lower(trim(decision)) = 'duplicate' AND trim(record_id_a) IN (SELECT record_id FROM records) AND trim(record_id_b) IN (SELECT record_id FROM records) AND trim(record_id_a) <> trim(record_id_b)),
+e AS (SELECT u, v FROM l UNION SELECT v, u FROM l), walk AS (SELECT u AS id, u AS seen FROM e UNION SELECT w.id, e.v FROM walk w JOIN e ON w.seen = e.u), r AS (SELECT id, min(seen) AS root FROM walk GROUP BY id)
+SELECT n AS records_identified, count(*) - count(DISTINCT root) AS duplicates_removed, count(*) - count(DISTINCT root) AS duplicates_d, n - (count(*) - count(DISTINCT root)) AS records_passed_to_screening, true AS balanced FROM r, n GROUP BY n""")
+def dedup_by_decision(spark, d):
+    """Rule D alone: all decided pairs of the table, in the order of their ids; ids without a record decide nothing."""
+    records = _keyed_by(spark, d)
+    pairs = table(spark, d, "review_pairs").where("lower(trim(decision)) = 'duplicate'").select(
+        "pair_id", F.trim("record_id_a").alias("record_id_a"), F.trim("record_id_b").alias("record_id_b"), F.lit("duplicate").alias("decision"), F.lit("").alias("note")
+    )
+    counts = linkage.link(records, linkage.Rules(), numbered(pairs, "decision_ord", "pair_id")).counts
+    return counts.select("records_identified", "duplicates_removed", "duplicates_d", "records_passed_to_screening", "balanced")
 
 
 @query()
 def dedup_ledger(spark, d):
-    out = linkage.link(_ordered(spark, d), linkage.Rules(source_precedence=("pubmed", "wos"), listed={"default": ("Editorial", "Letter")}, neutral={"default": ("Journal Article",)}))
-    return out.ledger
+    return linkage.link(_ordered(spark, d), RULES).ledger
 
 
 @query()
@@ -210,22 +270,6 @@ def r3_similar(spark, d):
     return found.select("ord_a", "ord_b", F.round("ratio", 3).alias("similarity"))
 
 
-@query("""WITH s AS (SELECT coalesce(status, '') AS status, coalesce(rule, '') AS rule FROM ledger)
-SELECT rule, count(*) AS n FROM s WHERE status = 'duplicate' GROUP BY rule""")
-def duplicates_by_rule(spark, d):
-    l = table(spark, d, "ledger").where("status = 'duplicate'")
-    return l.groupBy(F.coalesce("rule", F.lit("")).alias("rule")).agg(F.count("*").alias("n"))
-
-
-@query("""SELECT count(*) AS identified, count(*) FILTER (WHERE status = 'duplicate') AS duplicates, count(*) FILTER (WHERE status = 'removed_doc_type') AS removed,
-  count(*) FILTER (WHERE status = 'kept') AS passed,
-  count(*) = count(*) FILTER (WHERE status = 'duplicate') + count(*) FILTER (WHERE status = 'removed_doc_type') + count(*) FILTER (WHERE status = 'kept') AS balanced FROM ledger""")
-def ledger_balance(spark, d):
-    n = lambda s: F.count_if(F.col("status") == s)
-    out = table(spark, d, "ledger").agg(F.count("*").alias("identified"), n("duplicate").alias("duplicates"), n("removed_doc_type").alias("removed"), n("kept").alias("passed"))
-    return out.withColumn("balanced", F.col("identified") == F.col("duplicates") + F.col("removed") + F.col("passed"))
-
-
 @query("""WITH RECURSIVE l AS (SELECT trim(record_id_a) AS u, trim(record_id_b) AS v FROM review_pairs WHERE trim(record_id_a) <> trim(record_id_b)),
 e AS (SELECT u, v FROM l UNION SELECT v, u FROM l), walk AS (SELECT u AS id, u AS seen FROM e UNION SELECT w.id, e.v FROM walk w JOIN e ON w.seen = e.u)
 SELECT id, min(seen) AS first_id FROM walk GROUP BY id""")
@@ -234,23 +278,6 @@ def component_labels(spark, d):
     return components(links).select("id", F.col("group").alias("first_id"))
 
 
-@query(f"""WITH {_REC}, k AS (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY CASE source WHEN 'pubmed' THEN 1 WHEN 'wos' THEN 2 ELSE 3 END, CASE WHEN source IN ('pubmed', 'wos') THEN '' ELSE source END,
-  abstract = '', record_id) AS i FROM rec WHERE pmid <> '') SELECT pmid, record_id FROM k WHERE i = 1""")
-def kept_records(spark, d):
-    r = _rec(spark, d).where("pmid <> ''").select("pmid", "record_id", "source", "abstract")
-    known = F.col("source").isin("pubmed", "wos")
-    out = lookup.first_by(r, ["pmid"], F.when(F.col("source") == "pubmed", 1).when(F.col("source") == "wos", 2).otherwise(3), F.when(known, "").otherwise(F.col("source")), F.col("abstract") == "", F.col("record_id"))
-    return out.select("pmid", "record_id")
-
-
-@query(f"""WITH {_REC}, k AS (SELECT *, {_KEY.format(c='title')} AS nt FROM rec), m AS (
-  SELECT nt, record_id, row_number() OVER (PARTITION BY nt ORDER BY length(abstract) DESC, record_id) AS i FROM k WHERE nt <> '' AND abstract <> '')
-SELECT nt, record_id AS donor FROM m WHERE i = 1""")
-def abstract_donor(spark, d):
-    k = _rec(spark, d).select(_ascii_key(F.col("title")).alias("nt"), "record_id", "abstract").where("nt <> '' AND abstract <> ''")
-    return k.groupBy("nt").agg(F.min_by("record_id", F.struct(-F.length("abstract"), "record_id")).alias("donor"))
-
-
 # ---- screening
 
 CRITERIA = [
@@ -643,13 +670,3 @@ def row_validation(spark, d):
     return codebook.validate_rows(rows, book).select(F.array_join("errors", "; ").alias("errors")).groupBy("errors").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_SCREEN}, d AS (SELECT record_id, row_number() OVER (PARTITION BY title ORDER BY record_id) AS k FROM records WHERE title IS NOT NULL)
-SELECT count(*) AS search_records, count(*) FILTER (WHERE k > 1) AS duplicates, count(*) FILTER (WHERE k = 1) AS screened_records,
-  count(*) FILTER (WHERE k = 1 AND decision = 'exclude') AS excluded, count(*) FILTER (WHERE k = 1 AND decision = 'keep') AS passed FROM d JOIN s USING (record_id)""")
-def flow_counts(spark, d):
-    r = lookup.exact_duplicates(table(spark, d, "records").where("title IS NOT NULL"), "title", "record_id")
-    s = screening.screen(r, CRITERIA, "ta", "1").select("record_id", "decision")
-    x = r.select("record_id", F.col("duplicate_of").isNull().alias("u")).join(s, "record_id")
-    n = lambda c: F.count_if(c)
-    u, keep = F.col("u"), F.col("decision") == "keep"
-    return x.agg(F.count("*").alias("search_records"), n(~u).alias("duplicates"), n(u).alias("screened_records"), n(u & ~keep).alias("excluded"), n(u & keep).alias("passed"))
