@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from evspark.functions import sqlfunctions, stats, text
 from evspark.functions.jsonx import strict_json
-from evspark.operators import audit, effects, evidence, linkage, lookup, provenance, registry, screening
+from evspark.operators import audit, codebook, effects, evidence, linkage, lookup, provenance, registry, screening
 from evspark.operators.components import components
 from evspark.runtime import numbered, table
 from evspark.sources import exports
+from evspark.plans import flow as flows
 from evspark.streaming import attempts
 
 L, D = "long", "double"
@@ -658,8 +659,6 @@ def manifest_diff(spark, d):
   CASE WHEN l_returnflag NOT IN ('A', 'N') THEN 'l_returnflag is none of the listed values' END], lambda x: x IS NOT NULL) AS e FROM lineitem)
 SELECT errors, count(*) AS n FROM (SELECT array_to_string(e, '; ') AS errors FROM r) GROUP BY errors""")
 def row_validation(spark, d):
-    from evspark.operators import codebook
-
     var = lambda n, t, **k: {"name": n, "type": t, "nullable": False, "owner": "executor", **k}
     book = {
         "variables": [var("id", "string"), var("l_quantity", "number", maximum=45), var("l_discount", "number", minimum=0.01), var("l_returnflag", "string", allowed_values=["A", "N"])],
@@ -670,3 +669,94 @@ def row_validation(spark, d):
     return codebook.validate_rows(rows, book).select(F.array_join("errors", "; ").alias("errors")).groupBy("errors").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {_SCREEN}, r AS (SELECT record_id, length(coalesce(abstract, '')) AS n, row_number() OVER (PARTITION BY coalesce(title, '') ORDER BY record_id) AS k FROM records),
+u AS (SELECT r.record_id, n, decision FROM r JOIN s USING (record_id) WHERE k = 1), f AS (SELECT * FROM u WHERE decision = 'keep'),
+h AS (SELECT record_id, sha256(record_id) AS h FROM records), v AS (SELECT record_id, substr(h, 1, 1) < '8' AS a, substr(h, 2, 1) < '8' AS b, substr(h, 3, 1) < '8' AS c, substr(h, 4, 1) < '8' AS d FROM h),
+m AS (SELECT count(*) FILTER (WHERE ((a = b AND a) OR (a <> b AND c)) AND d) AS n FROM v)
+SELECT (SELECT count(*) FROM r WHERE k > 1) AS duplicates, (SELECT count(*) FROM u) AS screened_records, (SELECT count(*) FROM u WHERE decision = 'exclude') AS first_phase_excluded,
+  (SELECT count(*) FROM f) AS full_texts_assessed, (SELECT count(*) FROM f WHERE n < 300) AS full_text_excluded, (SELECT count(*) FROM f WHERE n >= 300) AS included_reports,
+  m.n AS confirmed_misses, (SELECT count(*) FROM r) AS search_records, true AS balanced FROM m""")
+def flow_counts(spark, d):
+    """The path of all records: copies by title, screening, two versions of a rule over full texts, votes and confirmations."""
+    r = table(spark, d, "records")
+    records = r.select("record_id", F.col("record_id").alias("source_id"), F.coalesce("title", F.lit("")).alias("source_key"), "title", "abstract", "language", F.col("record_id").alias("ord"))
+    texts = r.select(F.col("record_id").alias("source_id"), F.length(F.coalesce("abstract", F.lit(""))).alias("n"))
+    rules = spark.createDataFrame([("1", 600), ("2", 300)], "version string, least int")
+    votes = _votes(spark, d)
+    human = audit.routed_votes(votes).where("majority = 'include'").select("source_id", F.when(F.substring(F.sha2("source_id", 256), 4, 1) < "8", "include").otherwise("exclude").alias("decision"))
+    return flows.flow_counts(flows.flow(records, CRITERIA, texts, rules, F.col("n") >= F.col("least"), votes, human), "2")
+
+
+@query("""WITH h AS (SELECT record_id AS source_id, sha256(record_id) AS h FROM records), v AS (
+  SELECT source_id, substr(h, 1, 1) < '8' AS a, substr(h, 2, 1) < '8' AS b, substr(h, 3, 1) < '8' AS c, substr(h, 4, 1) AS d FROM h), m AS (SELECT source_id, (a = b AND a) OR (a <> b AND c) AS yes, d FROM v)
+SELECT source_id, CASE WHEN yes THEN 'include' ELSE 'exclude' END AS majority, CASE WHEN yes AND d < '8' THEN 'include' ELSE 'exclude' END AS final,
+  CASE WHEN yes AND d >= 'e' THEN 'adjudication missing' WHEN NOT yes AND d < '4' THEN 'unused adjudication' END AS problem FROM m""")
+def confirmations(spark, d):
+    """Votes and a person's word: only what both include counts; words nobody asked for and missing ones are named."""
+    routed = audit.routed_votes(_votes(spark, d))
+    digit = F.substring(F.sha2("source_id", 256), 4, 1)
+    human = routed.where(((F.col("majority") == "include") & (digit < "e")) | ((F.col("majority") == "exclude") & (digit < "4"))).select(
+        "source_id", F.when(digit < "8", "include").otherwise("exclude").alias("decision")
+    )
+    return audit.confirmed(routed, human).select("source_id", "majority", "final", "problem")
+
+
+@query("""WITH s AS (SELECT o_orderkey AS source_id, o_totalprice >= 200000 AS a, o_totalprice >= 100000 AS b FROM orders)
+SELECT source_id, 'confirmed miss still excluded' AS problem FROM s WHERE NOT b AND source_id % 3 = 0 UNION ALL SELECT source_id, 'exclusion without an audit' FROM s WHERE NOT b AND source_id % 5 <> 0""")
+def rule_revisions(spark, d):
+    """A rule in two versions over all orders, the second against confirmed misses and audited exclusions."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("source_id"), "o_totalprice")
+    rules = spark.createDataFrame([("1", 200000.0), ("2", 100000.0)], "version string, least double")
+    screened = audit.rule_versions(o, rules, F.col("o_totalprice") >= F.col("least"))
+    return audit.revision_errors(screened, o.where("source_id % 3 = 0"), o.where("source_id % 5 = 0"), "2").select("source_id", "problem")
+
+
+@query("""WITH k AS (SELECT doc_id AS path, doc_id % 4 AS k FROM documents)
+SELECT CAST(path AS VARCHAR) AS path, CASE k WHEN 0 THEN 'missing' WHEN 1 THEN 'filled' WHEN 2 THEN 'current' ELSE 'outdated' END AS status FROM k""")
+def template_states(spark, d):
+    """Documents as templates of a project: unchanged, filled in, gone, or overtaken by a newer one."""
+    t = table(spark, d, "documents").select(F.col("doc_id").alias("k"), F.col("doc_id").cast("string").alias("path"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    project = t.where("k % 4 <> 0").select("path", F.when(F.col("k") % 4 == 1, F.lit("x")).otherwise(F.col("sha256")).alias("sha256"))
+    current = t.select("path", F.when(F.col("k") % 4 == 3, F.lit("y")).otherwise(F.col("sha256")).alias("sha256"))
+    return provenance.template_status(project, t.select("path", "sha256"), current)
+
+
+@query("""WITH r AS (SELECT coalesce(source, '') AS source, record_id, coalesce(year, '') AS year, coalesce(language, '') AS language FROM records)
+SELECT record_id, CASE WHEN NOT regexp_full_match(year, '[0-9]{4}') THEN 'value' WHEN language = '' THEN 'default' END AS level_missing FROM r""")
+def cached_values(spark, d):
+    """Attributes looked up in a cache of one version; what the cache lacks is told by its absence."""
+    r = table(spark, d, "records").select("record_id", F.coalesce("year", F.lit("")).alias("year"), F.coalesce("language", F.lit("")).alias("language"))
+    cache = r.where(F.col("year").rlike("^[0-9]{4}$")).select(F.col("record_id").alias("entity"), F.lit("2").alias("cache_version"), F.col("language").alias("v"))
+    old = r.select(F.col("record_id").alias("entity"), F.lit("1").alias("cache_version"), F.lit("old").alias("v"))
+    found = lookup.cached_attributes(r.select(F.col("record_id").alias("entity")), cache.unionByName(old), "2")
+    return found.select(F.col("entity").alias("record_id"), F.when(F.col("v").isNull(), "value").when(F.col("v") == "", "default").alias("level_missing"))
+
+
+@query("""WITH e AS (SELECT l_orderkey, l_linenumber, l_quantity AS events, l_quantity + l_tax * 100 - 4 AS total, l_linenumber % 3 AS k FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN k = 0 THEN 'inputs of events_total given' WHEN k = 1 AND events > total THEN 'events exceed total' WHEN k = 2 THEN 'unknown path' END AS problem FROM e""")
+def computation_paths(spark, d):
+    """The way of computing that a row names against the inputs it gives, for all line items."""
+    k = F.pmod(F.col("l_linenumber"), F.lit(3))
+    total = F.round(F.col("l_quantity") + F.col("l_tax") * 100 - 4, 6)
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(k == 0, "means_sd").when(k == 1, "events_total").otherwise("other").alias("ES_Path"), F.col("l_quantity").alias("events"), total.alias("total"),
+        F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("sd"),
+    )
+    return rows.select("l_orderkey", "l_linenumber", codebook.path_problem().alias("problem"))
+
+
+@query("""WITH q AS (SELECT o_totalprice > 150000 AS n, o_custkey % 2 = 1 AS m, o_orderkey % 4 AS e FROM orders), f AS (
+  SELECT 'N' AS field, n AS given, CASE WHEN e = 0 THEN 0 WHEN e = 1 THEN 2 ELSE 1 END AS k FROM q UNION ALL SELECT 'mean', m, CASE WHEN e = 3 THEN 0 ELSE 1 END FROM q)
+SELECT field, problem, count(*) AS n FROM (SELECT field, CASE WHEN given AND k = 0 THEN 'no evidence' WHEN NOT given AND k > 0 THEN 'evidence for nothing' WHEN given AND k > 1 THEN 'evidence given twice' END AS problem FROM f) WHERE problem IS NOT NULL GROUP BY ALL""")
+def evidence_coverage(spark, d):
+    """Numbers without evidence and evidence for no number, with orders as arms."""
+    o = table(spark, d, "orders").withColumn("e", F.pmod(F.col("o_orderkey"), F.lit(4)))
+    ids = [F.col("o_orderkey").alias("Study_ID"), F.lit("treatment").alias("Arm")]
+    rows = o.select(
+        *ids, F.when(F.col("o_totalprice") > 150000, F.col("o_totalprice")).alias("N"), F.when(F.col("o_custkey") % 2 == 1, F.col("o_totalprice")).alias("mean"),
+        *[F.lit(None).cast("double").alias(c) for c in ("sd", "events", "total")],
+    )
+    n = F.when(F.col("e") == 0, 0).when(F.col("e") == 1, 2).otherwise(1)
+    fields = F.concat(F.array_repeat(F.lit("N"), n), F.array_repeat(F.lit("mean"), F.when(F.col("e") == 3, 0).otherwise(1)))
+    given = o.select(*ids, F.explode(fields).alias("field"))
+    return codebook.evidence_gaps(rows, given).groupBy("field", "problem").agg(F.count("*").alias("n"))
