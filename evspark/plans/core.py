@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from evspark.functions import sqlfunctions, stats, text
 from evspark.functions.jsonx import strict_json
-from evspark.operators import audit, codebook, effects, evidence, linkage, lookup, provenance, registry, screening
+from evspark.operators import answers, audit, codebook, effects, evidence, linkage, lookup, provenance, registry, screening
 from evspark.operators.components import components
 from evspark.runtime import numbered, table
 from evspark.sources import exports
@@ -760,3 +760,76 @@ def evidence_coverage(spark, d):
     fields = F.concat(F.array_repeat(F.lit("N"), n), F.array_repeat(F.lit("mean"), F.when(F.col("e") == 3, 0).otherwise(1)))
     given = o.select(*ids, F.explode(fields).alias("field"))
     return codebook.evidence_gaps(rows, given).groupBy("field", "problem").agg(F.count("*").alias("n"))
+
+
+# ---- answers
+
+_ANSWERS = """a AS (SELECT DISTINCT request_id, CAST(attempt AS BIGINT) AS attempt, kind, raw_text FROM responses),
+q AS (SELECT request_id, min(request) AS request FROM requests GROUP BY 1),
+j AS (SELECT a.*, CASE WHEN json_valid(raw_text) AND json_type(raw_text) = 'OBJECT' THEN raw_text END AS o, request,
+  json_extract_string(request, '$.sources[0].source_id') AS sid, string_split(json_extract_string(request, '$.sources[0].text'), chr(10)) AS ls FROM a LEFT JOIN q USING (request_id)),
+e AS (SELECT *, list_filter(json_keys(o), lambda x: x NOT IN ('rationale', 'unresolved')) AS ks, CAST(json_extract(o, '$.criterion_ids') AS VARCHAR[]) AS ids,
+  json_extract(o, '$.evidence') AS ev, TRY_CAST(json_extract(o, '$.evidence.line') AS BIGINT) AS ln, json_extract_string(o, '$.evidence.quote') AS qu FROM j),
+v AS (SELECT request_id, attempt, kind, CASE WHEN request IS NULL THEN 'no request' WHEN o IS NULL THEN 'no object' WHEN list_sort(ks) <> ['criterion_ids', 'decision', 'evidence'] THEN 'other keys'
+  WHEN coalesce(json_extract_string(o, '$.decision') NOT IN ('include', 'exclude'), true) THEN 'no decision'
+  WHEN ids IS NULL OR len(ids) = 0 OR len(list_filter(ids, lambda x: NOT regexp_full_match(x, 'C[1-9]'))) > 0 THEN 'unknown criteria'
+  WHEN coalesce(json_type(ev) <> 'OBJECT', true) OR list_sort(json_keys(ev)) <> ['line', 'quote', 'source_id'] THEN 'no quotation'
+  WHEN coalesce(json_extract_string(ev, '$.source_id') <> sid, true) THEN 'quotation of another source' WHEN ln IS NULL OR ln < 1 OR ln > len(ls) THEN 'line out of range'
+  WHEN coalesce(qu, '') = '' OR NOT contains(ls[ln], qu) THEN 'quotation not on its line' END AS problem FROM e)"""
+
+
+def _answers(spark, d) -> DataFrame:
+    a = table(spark, d, "responses").select("request_id", "attempt", "kind", "raw_text").distinct()
+    check = answers.screening_answer({f"C{i}" for i in range(1, 10)}, ("rationale", "unresolved"))
+    return answers.checked(a, table(spark, d, "requests"), check)
+
+
+@query(f"WITH {_ANSWERS} SELECT request_id, attempt, kind, problem FROM v")
+def screening_answers(spark, d):
+    """Every answer against its request: keys, decision, criteria, and the quotation on its line of the source."""
+    return _answers(spark, d)
+
+
+@query(f"""WITH {_ANSWERS}, k AS (SELECT request_id, attempt, CASE regexp_replace(lower(trim(kind)), '[\\W_]+', '_', 'g') WHEN 'technical_error' THEN 'TECHNICAL_FAILURE'
+  WHEN 'response' THEN CASE WHEN problem IS NULL THEN 'VALID' ELSE 'INVALID_RESPONSE' END END AS status FROM v),
+g AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY attempt) AS k, min(CASE WHEN status = 'VALID' THEN attempt END) OVER (PARTITION BY request_id) AS first FROM k)
+SELECT status, CASE WHEN status IS NULL THEN 'unknown kind' WHEN attempt <> k THEN 'attempts are not 1 to n' WHEN attempt > first THEN 'attempt after a valid one' END AS problem, count(*) AS n FROM g GROUP BY ALL""")
+def replayed_attempts(spark, d):
+    """All logged attempts replayed under the validator of answers."""
+    log = audit.attempt_log(_answers(spark, d), F.col("problem").isNull())
+    return log.groupBy("status", "problem").agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT request_id, nullif(regexp_extract(request, '(?:^|[^\\])"(reviewer|decision|rationale)"\s*:', 1), '') AS shown FROM requests""")
+def blinding(spark, d):
+    """Requests that show what a reviewer must not see; here all name the reviewer."""
+    return table(spark, d, "requests").select("request_id", answers.shows(F.col("request"), ["reviewer", "decision", "rationale"]).alias("shown"))
+
+
+@query("""SELECT route, count(*) AS n FROM (SELECT CASE o_orderkey % 6 WHEN 0 THEN 'rejected' WHEN 1 THEN 'correction' WHEN 2 THEN 'needs_human' WHEN 3 THEN 'needs_human' ELSE 'malformed' END AS route FROM orders) GROUP BY route""")
+def three_way_outcomes(spark, d):
+    k = F.pmod(F.col("o_orderkey"), F.lit(6))
+    outcome = F.when(k == 0, answers.SUPPORTED).when(k == 3, answers.AMBIGUOUS).when(k == 5, "other").otherwise(answers.CORRECTED)
+    price = F.col("o_totalprice").cast("string")
+    corrected = F.when(k == 1, price).when(k == 2, F.lit("0"))
+    judged = table(spark, d, "orders").select(outcome.alias("outcome"), corrected.alias("corrected"), price.alias("proposed"))
+    return answers.three_way(judged).groupBy("route").agg(F.count("*").alias("n"))
+
+
+@query("""WITH s AS (SELECT o_orderkey, o_orderdate < DATE '1998-01-01' AS reviewed, o_custkey % 3 > 0 AS available, o_orderstatus <> 'P' AS prepared, o_orderstatus = 'F' AS coded FROM orders)
+SELECT problem, count(*) AS n FROM (SELECT CASE WHEN available AND NOT reviewed THEN 'available but not reviewed' WHEN prepared AND NOT available THEN 'prepared but not available' WHEN coded AND NOT prepared THEN 'coded but not prepared' END AS problem FROM s) GROUP BY problem""")
+def tracker_states(spark, d):
+    o = table(spark, d, "orders").select(
+        (F.col("o_orderdate") < F.lit("1998-01-01").cast("date")).alias("reviewed"), (F.col("o_custkey") % 3 > 0).alias("available"), (F.col("o_orderstatus") != "P").alias("prepared"), (F.col("o_orderstatus") == "F").alias("coded")
+    )
+    return answers.tracked(o).groupBy("problem").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'o_totalprice' WHEN 1 THEN 'o_orderpriority' END AS "column" FROM orders WHERE o_orderkey % 5 < 3""")
+def differing_cells(spark, d):
+    """All orders against a copy with changed cells, tiny differences and a lost part."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderpriority")
+    k = F.pmod(F.col("o_orderkey"), F.lit(5))
+    price = F.when(k == 0, F.col("o_totalprice") * (1 + 1e-9)).when(k == 3, F.col("o_totalprice") * (1 + 1e-14)).otherwise(F.col("o_totalprice"))
+    copy = o.where(k != 2).withColumns({"o_totalprice": price, "o_orderpriority": F.when(k == 1, "x").otherwise(F.col("o_orderpriority"))})
+    return answers.differing(copy, o, ["o_orderkey"])

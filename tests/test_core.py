@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evspark.functions import jsonx, stats, text
-from evspark.operators import audit, codebook, components, effects, evidence, lookup, provenance, registry, screening
+from evspark.operators import answers, audit, codebook, components, effects, evidence, files_check, lookup, provenance, registry, screening
 from evspark.plans import flow
 from evspark.sources import csv_rows, exports, files
 from evspark.streaming import attempts
@@ -514,3 +514,88 @@ def test_stream_of_attempts(spark, tmp_path):
     assert {r["request_id"]: (r["attempts"], r["technical_failures"], r["accepted"]) for r in rows(done)} == {"a": (3, 1, 2), "b": (1, 0, None)}
     wins = attempts.run_to_end(attempts.arrivals(stream()), "append")
     assert {(r["status"], r["n"]) for r in rows(wins)} == {("TECHNICAL_FAILURE", 1), ("VALID", 1)}
+
+
+# ---- answers
+
+
+PAPER = {"source_id": "S1", "text": "Population: adults\nTreatment: N = 20, mean 5.5, sd 1.5\nComparator: N = 22, mean 4.5, sd 1.0"}
+QUOTE = {"source_id": "S1", "line": 2, "quote": "N = 20"}
+
+
+@pytest.mark.parametrize("change,fault", [
+    ({}, None), ({"decision": "maybe"}, "no decision"), ({"criterion_ids": []}, "unknown criteria"), ({"criterion_ids": ["C9"]}, "unknown criteria"), ({"more": 1}, "other keys"), ({"rationale": "r"}, None),
+    ({"evidence": QUOTE | {"line": 1}}, "quotation not on its line"), ({"evidence": QUOTE | {"line": 9}}, "line out of range"), ({"evidence": QUOTE | {"line": True}}, "line out of range"),
+    ({"evidence": QUOTE | {"source_id": "S2"}}, "quotation of another source"), ({"evidence": None}, "no quotation"), ({"evidence": QUOTE | {"quote": ""}}, "quotation not on its line"),
+])
+def test_screening_answers(change, fault):
+    answer = {"decision": "include", "criterion_ids": ["C1"], "evidence": QUOTE} | change
+    assert next(answers.screening_answer({"C1", "C2"}, ("rationale",))(answer, {"sources": [PAPER]}), None) == fault
+
+
+def coding_book():
+    var = lambda n, t, **k: {"name": n, "type": t, "nullable": True, "owner": "executor", **k}
+    names = [var("Study_ID", "string", nullable=False), var("Arm", "string", nullable=False), var("ES_Path", "string"), *[var(n, "number", minimum=0) for n in ("N", "mean", "sd", "events", "total")]]
+    return {"variables": names, "unit": {"identity_fields": ["Study_ID", "Arm"]}}
+
+
+def coded(arm, **change):
+    return {"Study_ID": "A", "Arm": arm, "ES_Path": "means_sd", "N": 20, "mean": None, "sd": None, "events": None, "total": None} | change
+
+
+@pytest.mark.parametrize("change,fault", [
+    ({}, None), ({"rows": [coded("treatment")]}, "not one row of each arm"), ({"rows": [coded("treatment", Study_ID="B"), coded("comparator")]}, "a row of another study"),
+    ({"rows": [coded("treatment", events=1), coded("comparator")]}, "inputs of events_total given"), ({"rows": [coded("treatment", N="x"), coded("comparator")]}, "N is no number"), ({"warnings": None}, "other keys"),
+    ({"evidence": []}, "evidence and numbers differ"), ({"evidence": [{"Arm": "treatment", "field": "N", "source": QUOTE}] * 2}, "evidence and numbers differ"), ({"evidence": [{"Arm": "x"}]}, "evidence for no field"),
+])
+def test_coding_answers(change, fault):
+    good = {"rows": [coded("treatment"), coded("comparator", N=None)], "evidence": [{"Arm": "treatment", "field": "N", "source": QUOTE}], "unresolved_items": [], "skipped_conditions": [], "warnings": []}
+    request = {"study_id": "A", "source_id": "S1", "sources": [PAPER]}
+    assert next(answers.coding_answer(coding_book())(good | change, request), None) == fault
+
+
+CHALLENGE = {"Row_UID": "R1", "field": "mean", "proposed": 5.5, "rule": "U1", "evidence": QUOTE}
+
+
+@pytest.mark.parametrize("change,fault", [
+    ({}, None), ({"status": "PASS", "challenges": []}, None), ({"status": "PASS"}, "status and challenges differ"), ({"checked_rows": ["R1"]}, "other rows"), ({"checked_rows": ["R1", "R1"]}, "other rows"),
+    ({"domains": []}, "other domains"), ({"challenges": [CHALLENGE, CHALLENGE]}, "a value challenged twice"), ({"challenges": [CHALLENGE | {"field": "Arm"}]}, "a challenge of what is fixed"),
+    ({"challenges": [CHALLENGE | {"proposed": "x"}]}, "mean is no number"), ({"challenges": [CHALLENGE | {"rule": "U9"}]}, "an unknown rule"), ({"challenges": [{}]}, "no challenge"), ({"x": 1}, "other keys"),
+])
+def test_audit_answers(change, fault):
+    good = {"status": "CHALLENGE", "checked_rows": ["R2", "R1"], "domains": ["values"], "challenges": [CHALLENGE]}
+    request = {"targets": [{"Row_UID": "R1"}, {"Row_UID": "R2"}], "sources": [PAPER]}
+    assert next(answers.audit_answer(coding_book(), ["values"], {"U1"})(good | change, request), None) == fault
+
+
+def test_checked_attempts_and_blinding(spark):
+    request = json.dumps({"sources": [PAPER], "text": 'says "decision": x'})
+    good = json.dumps({"decision": "include", "criterion_ids": ["C1"], "evidence": QUOTE})
+    data = [("a", 1, "response", "{"), ("a", 2, "response", good), ("b", 1, "response", good), ("c", 1, "response", None), ("d", 1, "response", '{"decision": 1, "decision": 2}')]
+    attempts = spark.createDataFrame(data, "request_id string, attempt int, kind string, raw_text string")
+    requests = spark.createDataFrame([("a", request), ("c", request), ("d", request)], "request_id string, request string")
+    out = {(r["request_id"], r["attempt"]): r["problem"] for r in rows(answers.checked(attempts, requests, answers.screening_answer({"C1"})))}
+    assert out == {("a", 1): "no object", ("a", 2): None, ("b", 1): "no request", ("c", 1): "no object", ("d", 1): "no object"}
+    assert rows(answers.checked(attempts.limit(0), requests, answers.screening_answer({"C1"}))) == []
+    shown = [r["s"] for r in rows(requests.limit(1).select(answers.shows(requests["request"], ["decision", "text"]).alias("s")))]
+    assert shown == ["text"]
+    assert answers.blinded(attempts, ["request_id", "attempt"]).columns == ["request_id", "attempt"]
+    with pytest.raises(Exception):
+        answers.blinded(attempts, ["effect"])
+
+
+def test_registry_refuses(spark):
+    empty = spark.createDataFrame([], "row_uid string, identity map<string,string>, status string")
+    req = lambda *x: spark.createDataFrame(x, "study string, k int")
+    with pytest.raises(ValueError, match="twice"):
+        registry.register(req(("S", 1), ("S", 2)), empty, ["study"], "TEST", "k")
+    one = registry.register(req(("S", 1)), empty, ["study"], "TEST", "k")
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "row_uid string")
+    gone = registry.retire(one, ids("TEST-R000001"))
+    for wrong in ("TEST-R000001", "TEST-R000009"):
+        with pytest.raises(ValueError, match="not active"):
+            registry.retire(gone, ids(wrong))
+    with pytest.raises(ValueError, match="retired"):
+        registry.register(req(("S", 1)), gone, ["study"], "TEST", "k")
+    found = files_check.credentials(spark.createDataFrame([("a", "sk-proj-" + "a" * 40), ("b", "sk-short"), ("c", "ghp_" + "b" * 36)], "path string, text string"))
+    assert {r["path"]: r["kind"] for r in rows(found)} == {"a": "service key", "c": "code host token"}
