@@ -65,8 +65,9 @@ def screen(a) -> int:
         files.require_none(screening.list_errors(records, decided, added, missing, texts), "lists and texts")
         records = screening.full_text_input(records, decided, added, missing).join(texts.withColumnRenamed("text", "_full"), "record_id")
         text = "_full"
-    found = screening.screen(records, full if a.phase == "ft" and full else first, a.phase, spec["version"], text)
-    files.write_screening(found, Path(a.output), Path(a.records))
+    criteria = full if a.phase == "ft" and full else first
+    found = screening.screen(records, criteria, a.phase, spec["version"], text)
+    files.write_screening(found, Path(a.output), Path(a.records), screening.evidence(records, criteria, a.phase, text))
     return 0
 
 

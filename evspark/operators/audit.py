@@ -1,4 +1,4 @@
-"""Audits: logged attempts, votes and their routing, challenges and reconciliation, seeded samples (VAL-4 to VAL-15, WIN-6, WIN-9, JN-15, JN-16)."""
+"""Audits: logged attempts, votes and their routing, challenges and reconciliation, seeded samples (VAL-4, VAL-8 to VAL-10, VAL-13, VAL-14, WIN-6, WIN-9, JN-15, JN-16)."""
 
 from __future__ import annotations
 

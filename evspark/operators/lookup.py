@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evspark.functions.text import norm_text
+from evspark.runtime import pairs_within
 
 
 def first_by(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -58,7 +59,7 @@ def same_study_pairs(reports: DataFrame, least_authors: float = 0.5, least_title
         F.array_distinct(F.split(norm_text(F.col("title")), " ")).alias("words"), "length",
     )
     by = own.select("source_id", F.explode("authors").alias("author")).where("author <> ''")
-    met = by.join(by.withColumnRenamed("source_id", "b"), "author").where("source_id < b").groupBy(F.col("source_id").alias("a"), "b").agg(F.count("*").alias("n"))
+    met = pairs_within(by, ["author"], "source_id").groupBy(F.col("source_id_a").alias("a"), F.col("source_id_b").alias("b")).agg(F.count("*").alias("n"))
     side = lambda s: own.select(F.col("source_id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in own.columns[1:]])
     both = met.join(side("a"), "a").join(side("b"), "b")
     authors = F.col("n") / F.least(F.size("a_authors"), F.size("b_authors"))

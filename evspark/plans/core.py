@@ -63,10 +63,10 @@ def _ascii_key(c):
 # ---- functions
 
 
-@query(r"""SELECT doc_id, trim(regexp_replace(lower(strip_accents(replace(replace(replace(replace(split_part(coalesce(text, ''), chr(10), 1),
+@query(r"""SELECT doc_id, trim(regexp_replace(lower(strip_accents(replace(replace(replace(replace(coalesce(text, ''),
   '…', '...'), 'º', 'o'), 'ª', 'a'), '²', '2'))), '[^a-z0-9]+', ' ', 'g')) AS ntitle FROM documents""")
 def norm_title(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.norm_text(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)).alias("ntitle"))
+    return table(spark, d, "documents").select("doc_id", text.norm_text(F.coalesce("text", F.lit(""))).alias("ntitle"))
 
 
 @query(r"""SELECT record_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce(doi, ''))),
@@ -94,8 +94,9 @@ def _joined(*parts) -> F.Column:
 
 
 def _files(df: DataFrame, body, name: str) -> DataFrame:
-    """Rendered records as files of bounded size, eight of them."""
-    rows = df.select(F.pmod(F.xxhash64(df.columns[0]), F.lit(8)).alias("f"), F.struct(F.col(df.columns[0]).alias("k"), body.alias("b")).alias("r"))
+    """Rendered records as files of some five hundred records each, whatever their number."""
+    n = df.count() // 500 + 1
+    rows = df.select(F.pmod(F.xxhash64(df.columns[0]), F.lit(n)).alias("f"), F.struct(F.col(df.columns[0]).alias("k"), body.alias("b")).alias("r"))
     text_ = F.array_join(F.transform(F.sort_array(F.collect_list("r")), lambda r: r["b"]), "\n")
     return rows.groupBy("f").agg(text_.alias("text")).select(F.concat(F.lit(f"x/{name}_"), F.col("f").cast("string"), F.lit(".txt")).alias("file"), "text")
 
@@ -159,13 +160,13 @@ def glob_removable(spark, d):
 # ---- linkage
 
 
-@query(f"""WITH k AS (SELECT doc_id, {_KEY.format(c="split_part(coalesce(text, ''), chr(10), 1)")} AS nt, 2000 + n_chars % 20 AS y FROM documents)
-SELECT least(a.doc_id, b.doc_id) AS id_a, greatest(a.doc_id, b.doc_id) AS id_b FROM k a JOIN k b ON a.nt = b.nt AND b.y - a.y = 1 WHERE len(string_split(a.nt, ' ')) >= 6""")
+@query(f"""WITH k AS (SELECT record_id, {_KEY.format(c="coalesce(title, '')")} AS nt, 2000 + length(coalesce(abstract, '')) % 20 AS y FROM records)
+SELECT least(a.record_id, b.record_id) AS id_a, greatest(a.record_id, b.record_id) AS id_b FROM k a JOIN k b ON a.nt = b.nt AND b.y - a.y = 1 WHERE len(string_split(a.nt, ' ')) >= 6""")
 def r1_pairs(spark, d):
-    docs = table(spark, d, "documents").select(
-        F.col("doc_id").alias("ord"), _ascii_key(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)).alias("ntitle"), (F.col("n_chars") % 20 + 2000).cast("string").alias("year")
-    )
-    pairs = linkage.years_apart(docs.withColumn("long", text.count_words(F.col("ntitle")) >= 6))
+    """Equal titles with years one apart; the years come from the lengths of the abstracts."""
+    year = (F.length(F.coalesce("abstract", F.lit(""))) % 20 + 2000).cast("string")
+    r = table(spark, d, "records").select(F.col("record_id").alias("ord"), _ascii_key(F.col("title")).alias("ntitle"), year.alias("year"))
+    pairs = linkage.years_apart(r.withColumn("long", text.count_words(F.col("ntitle")) >= 6))
     return pairs.select(F.col("ord_a").alias("id_a"), F.col("ord_b").alias("id_b"))
 
 
@@ -391,10 +392,12 @@ def attempts_to_valid(spark, d):
     return audit.resolved(_log(spark, d)).withColumn("accepted", F.coalesce("accepted", F.lit(0)).cast(L))
 
 
-@query("""WITH a AS (SELECT DISTINCT request_id FROM requests), b AS (SELECT DISTINCT request_id FROM responses WHERE attempt > 1)
+@query("""WITH a AS (SELECT DISTINCT record_id AS request_id FROM records), b AS (SELECT DISTINCT trim(record_id_a) AS request_id FROM review_pairs WHERE record_id_a IS NOT NULL)
 SELECT request_id, 'unused request' AS problem FROM a WHERE request_id NOT IN (SELECT request_id FROM b) UNION ALL SELECT request_id, 'unknown request' FROM b WHERE request_id NOT IN (SELECT request_id FROM a)""")
 def request_gaps(spark, d):
-    return audit.request_gaps(table(spark, d, "requests"), table(spark, d, "responses").where("attempt > 1"))
+    """Records as requests and review pairs as attempts: what was never used, and what nobody asked for."""
+    ids = lambda name, c: table(spark, d, name).where(F.col(c).isNotNull()).select(F.trim(c).alias("request_id"))
+    return audit.request_gaps(ids("records", "record_id"), ids("review_pairs", "record_id_a"))
 
 
 @query("""SELECT request_id, sha256(request) = request_sha256 AS sha_ok FROM requests""")
@@ -456,20 +459,23 @@ def registry_lookup(spark, d):
 # ---- evidence
 
 
-@query("""WITH q AS (SELECT doc_id AS source_id, doc_id % 7 AS line, split_part(coalesce(text, ''), chr(10), CAST(doc_id % 5 + 1 AS BIGINT)) AS quote, string_split(replace(text, chr(13) || chr(10), chr(10)), chr(10)) AS ls FROM documents)
-SELECT source_id, CASE WHEN ls IS NULL THEN 'unknown source' WHEN quote = '' THEN 'empty quote' WHEN line < 1 OR line > len(ls) THEN 'line out of range' WHEN NOT contains(ls[line], quote) THEN 'not on this line' END AS problem FROM q""")
+@query("""WITH l AS (SELECT doc_id, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+q AS (SELECT doc_id, ls, unnest(ls) AS quote, generate_subscripts(ls, 1) AS n FROM l), w AS (SELECT doc_id, quote, ls, CASE WHEN n % 3 = 0 THEN n + 1 ELSE n END AS line FROM q)
+SELECT doc_id AS source_id, problem, count(*) AS n FROM (SELECT doc_id, CASE WHEN quote = '' THEN 'empty quote' WHEN line > len(ls) THEN 'line out of range' WHEN NOT contains(ls[line], quote) THEN 'not on this line' END AS problem FROM w) GROUP BY ALL""")
 def quote_lines(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("source_id"), "text")
-    n = (F.col("source_id") % 5 + 1).cast("int")
-    quotes = docs.select("source_id", (F.col("source_id") % 7).alias("line"), F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), n).alias("quote"))
-    return evidence.check_quotes(quotes, docs).select("source_id", "problem")
+    """Every line of every document as a quotation, each third one with the number of the next line."""
+    docs = table(spark, d, "documents").where("text IS NOT NULL").select(F.col("doc_id").alias("source_id"), "text")
+    n = F.col("line")
+    quotes = evidence.source_lines(docs).select("source_id", F.when(n % 3 == 0, n + 1).otherwise(n).alias("line"), F.col("text").alias("quote"))
+    return evidence.check_quotes(quotes, docs).groupBy("source_id", "problem").agg(F.count("*").alias("n"))
 
 
 @query()
 def quote_locator(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("source_id"), "text")
-    quotes = docs.select("source_id", F.substring(F.col("text"), F.lit(40), F.lit(200)).alias("quote"))
-    return evidence.locate_quotes(quotes, docs).groupBy("found").agg(F.count("*").alias("n"))
+    """The abstract of every record that has a document, looked for in it."""
+    docs = table(spark, d, "documents").where("record_id IS NOT NULL").select(F.col("record_id"), F.col("doc_id").alias("source_id"), "text")
+    quotes = docs.select("source_id", "record_id").join(table(spark, d, "records").select("record_id", F.col("abstract").alias("quote")), "record_id").select("source_id", "quote")
+    return evidence.locate_quotes(quotes, docs.select("source_id", "text")).groupBy("found").agg(F.count("*").alias("n"))
 
 
 @query(r"""WITH h AS (SELECT doc_id AS source_id, list_filter(string_split(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(10)), lambda x: regexp_matches(x, '^(?:Study-ID|Version|Design):')) AS p FROM documents),
@@ -641,10 +647,14 @@ def priority_lookup(spark, d):
     return out.select("s_suppkey", F.round("value", 6).alias("value"), "level")
 
 
-@query("""SELECT ok, count(*) AS n FROM (SELECT CASE event_id % 8 WHEN 0 THEN false WHEN 1 THEN false WHEN 2 THEN false WHEN 3 THEN false ELSE true END AS ok FROM events) GROUP BY ok""")
+@query("""WITH p AS (SELECT props, unnest(['whole', 'twice', 'repeated', 'nan', 'cut']) AS way FROM events)
+SELECT way, way = 'whole' AS ok, count(*) AS n FROM p GROUP BY ALL""")
 def strict_json_checks(spark, d):
-    bad = F.expr("""CASE event_id % 8 WHEN 0 THEN '{"a":1,"a":2}' WHEN 1 THEN '{"a":NaN}' WHEN 2 THEN '{"a":1e999}' WHEN 3 THEN '{} {}' WHEN 4 THEN '{"b":[1,2.5],"a":"x"}' ELSE props END""")
-    return table(spark, d, "events").select(strict_json(bad).alias("j")).groupBy(F.col("j.ok").alias("ok")).agg(F.count("*").alias("n"))
+    """The properties of every event as they are, twice over, with a repeated key, with no number, and cut."""
+    p = F.col("props")
+    ways = {"whole": p, "twice": F.concat(p, F.lit(" "), p), "repeated": F.concat(F.lit('{"x":1,"x":'), p, F.lit("}")), "nan": F.concat(F.lit('{"x":NaN,"y":'), p, F.lit("}")), "cut": F.substring(p, F.lit(1), F.length(p) - 1)}
+    rows = table(spark, d, "events").select(F.explode(F.array(*[F.struct(F.lit(k).alias("way"), v.alias("text")) for k, v in ways.items()])).alias("x"))
+    return rows.select("x.way", strict_json(F.col("x.text")).alias("j")).groupBy("way", F.col("j.ok").alias("ok")).agg(F.count("*").alias("n"))
 
 
 @query("""SELECT change, count(*) AS n FROM (SELECT CASE WHEN doc_id % 10 = 0 THEN 'missing' WHEN doc_id % 10 = 1 THEN 'added' WHEN doc_id % 10 = 2 THEN 'changed' END AS change FROM documents) WHERE change IS NOT NULL GROUP BY change""")

@@ -119,6 +119,11 @@ def abstract_sources(records: DataFrame) -> DataFrame:
 # ---- writers
 
 
+def spark_table(evidence: DataFrame, folder: Path) -> DataFrame:
+    """What was written, so that it isn't computed again."""
+    return evidence.sparkSession.read.parquet(str(folder / "evidence.parquet"))
+
+
 def write_table(df: DataFrame, path: str, order: list[str]) -> None:
     """Parquet sorted by ``order`` inside range partitions; an existing path is an error."""
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(path)
@@ -139,13 +144,18 @@ def write_one_csv(df: DataFrame, path: Path, order: list[str]) -> None:
     shutil.rmtree(part)
 
 
-def write_screening(decisions: DataFrame, folder: Path, input_file: Path) -> dict:
-    """decisions.csv, evidence as a table, and summary.json with the hash of what was read (SNK-2)."""
+def write_screening(decisions: DataFrame, folder: Path, input_file: Path, evidence: DataFrame | None = None) -> dict:
+    """decisions.csv, the reasons and the evidence as tables, evidence.json with one record a line, and summary.json with the hash
+    of what was read (SNK-2)."""
     if folder.exists():
         raise ValueError("the output exists; choose a new one")
     folder.mkdir(parents=True)
     write_one_csv(decisions.drop("criteria"), folder / "decisions.csv", ["record_id"])
     decisions.select("record_id", "criteria").write.parquet(str(folder / "criteria.parquet"))
+    if evidence is not None:
+        evidence.write.parquet(str(folder / "evidence.parquet"))
+        by = spark_table(evidence, folder).groupBy("record_id").agg(F.sort_array(F.collect_list(F.struct("criterion", "supported", "reason", "evidence"))).alias("criteria"))
+        by.repartitionByRange("record_id").sortWithinPartitions("record_id").write.json(str(folder / "evidence.json"))
     counts = {r["decision"]: r["n"] for r in decisions.groupBy("decision").agg(F.count("*").alias("n")).collect()}
     version = decisions.select("rules_version").first()
     out = {"rules_version": version[0] if version else None, "input_file": input_file.name, "input_sha256": digest(input_file), "records": sum(counts.values()), "decisions": counts}

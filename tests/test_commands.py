@@ -8,7 +8,34 @@ from evspark.__main__ import main
 from evspark.functions import sqlfunctions
 from evspark.operators import files_check
 from evspark.sources import connector
-from tests.test_linkage import MEDLINE, WOS
+
+
+MEDLINE = """PMID- 501
+TI  - Bright light in the morning for tired crews
+      of night trains
+DP  - 2003 Feb
+PT  - Journal Article
+
+PMID- 502
+TI  - Naps
+LID - 10.5555/m1 [doi]
+DP  - 2004
+
+PMID- 503
+TI  - From the desk
+PT  - Editorial
+DP  - 2004
+
+PMID- 504
+TI  - Quiet rooms and the mood of nurses on wards
+DP  - 2005
+"""
+WOS = "FN An Export\nVR 1.0\n" + "".join(
+    f"PT J\nTI {title}\n{more}PY {year}\nUT WOS:{ut}\nER\n\n"
+    for ut, title, year, more in (
+        ("A1", "Light", 2003, "PM 501\n"), ("A2", "On naps", 2004, "DI 10.5555/M1\n"), ("A3", "Quiet rooms and the mood of nurses -\n   on wards", 2005, ""), ("A4", "Quiet rooms and the mood of nurses on wards", 2006, ""),
+    )
+) + "EF\n"
 
 
 def read(path):
@@ -22,7 +49,7 @@ def inputs(spark, tmp_path):
     (tmp_path / "in" / "pubmed.txt").write_text("﻿" + MEDLINE, encoding="utf-8")
     (tmp_path / "in" / "wos.txt").write_bytes(WOS.replace("\n", "\r\n").encode())
     rules = {"min_title_words": 6, "similarity_threshold": 0.9, "source_precedence": ["pubmed", "wos"], "report_version_labels": ["Preprint"],
-             "doc_type_removal": {"listed": {"pubmed": ["Review", "Systematic Review"], "wos": ["Review"]}, "neutral": {"pubmed": ["Journal Article", "Research Support, *"]}}}
+             "doc_type_removal": {"listed": {"pubmed": ["Editorial"]}, "neutral": {"default": ["Journal *"]}}}
     (tmp_path / "rules.json").write_text(json.dumps(rules))
     return tmp_path
 
@@ -31,15 +58,15 @@ def test_dedupe(inputs):
     args = ["dedupe", "--inputs", str(inputs / "in" / "wos.txt"), str(inputs / "in" / "pubmed.txt"), "--rules", str(inputs / "rules.json"), "--output"]
     assert main([*args, str(inputs / "out")]) == 0
     summary = json.loads((inputs / "out" / "summary.json").read_text())
-    assert summary["status"] == "pending" and summary["counts"]["records_passed_to_screening"] == 8 and [i["records"] for i in summary["inputs"]] == [6, 7]
-    assert len(read(inputs / "out" / "records.csv")) == 8 and len(read(inputs / "out" / "ledger.csv")) == 13
-    assert [r["pair_id"] for r in read(inputs / "out" / "review_pairs.csv")] == ["P001", "P002", "P003"]
+    assert summary["status"] == "pending" and summary["counts"]["records_passed_to_screening"] == 4 and [i["records"] for i in summary["inputs"]] == [4, 4]
+    assert len(read(inputs / "out" / "records.csv")) == 4 and len(read(inputs / "out" / "ledger.csv")) == 8
+    assert [r["pair_id"] for r in read(inputs / "out" / "review_pairs.csv")] == ["P001"]
     assert main([*args, str(inputs / "out")]) == 2
     (inputs / "in" / "again.txt").write_text("﻿" + MEDLINE, encoding="utf-8")
     assert main(["dedupe", "--inputs", *[str(inputs / "in" / n) for n in ("pubmed.txt", "again.txt")], "--rules", str(inputs / "rules.json"), "--output", str(inputs / "o2")]) == 2
-    (inputs / "d.csv").write_text("record_id_a,record_id_b,decision,note\nPM33,WOS0003,not_duplicate,x\n")
+    (inputs / "d.csv").write_text("record_id_a,record_id_b,decision,note\nPM504,WOSA3,not_duplicate,x\n")
     assert main([*args, str(inputs / "o3"), "--decisions", str(inputs / "d.csv")]) == 1
-    (inputs / "d.csv").write_text("record_id_a,record_id_b,decision,note\nPM33,nobody,duplicate,x\n")
+    (inputs / "d.csv").write_text("record_id_a,record_id_b,decision,note\nPM504,nobody,duplicate,x\n")
     assert main([*args, str(inputs / "o4"), "--decisions", str(inputs / "d.csv")]) == 2
 
 
@@ -50,6 +77,8 @@ def test_screen_in_two_phases(spark, tmp_path):
     assert main([*base, str(tmp_path / "ta")]) == 0
     assert {r["record_id"]: r["decision"] for r in read(tmp_path / "ta" / "decisions.csv")} == {"A": "keep", "B": "exclude", "C": "keep"}
     assert json.loads((tmp_path / "ta" / "summary.json").read_text())["decisions"] == {"keep": 2, "exclude": 1}
+    told = {r["record_id"]: r["criteria"] for r in spark.read.json(str(tmp_path / "ta" / "evidence.json")).collect()}
+    assert told["A"][0]["evidence"][0]["term"] == "walking" and not told["B"][0]["supported"]
     (tmp_path / "texts").mkdir()
     (tmp_path / "texts" / "A.txt").write_text("about nothing")
     ft = ["screen", "ft", str(tmp_path / "r.csv"), "--criteria", str(tmp_path / "c.json"), "--after-ta", str(tmp_path / "ta"), "--texts", str(tmp_path / "texts"), "--output"]

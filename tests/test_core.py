@@ -599,3 +599,19 @@ def test_registry_refuses(spark):
         registry.register(req(("S", 1)), gone, ["study"], "TEST", "k")
     found = files_check.credentials(spark.createDataFrame([("a", "sk-proj-" + "a" * 40), ("b", "sk-short"), ("c", "ghp_" + "b" * 36)], "path string, text string"))
     assert {r["path"]: r["kind"] for r in rows(found)} == {"a": "service key", "c": "code host token"}
+
+
+def test_suffixes_look_for_a_free_number(spark):
+    data = [("f1", 1, "X"), ("f1", 2, "X-2"), ("f1", 3, "X"), ("f2", 1, "X"), ("f2", 2, "Y"), ("f2", 3, "Y"), ("f3", 1, "X-2")]
+    out = rows(exports.unique_ids(spark.createDataFrame(data, "file string, block int, record_id string")))
+    assert {(r["file"], r["block"]): r["record_id"] for r in out} == {
+        ("f1", 1): "X", ("f1", 2): "X-2", ("f1", 3): "X-3", ("f2", 1): "X-4", ("f2", 2): "Y", ("f2", 3): "Y-2", ("f3", 1): "X-2-2",
+    }
+
+
+def test_hot_blocks_are_dealt_to_tasks(spark):
+    from evspark.runtime import pairs_within
+
+    df = spark.createDataFrame([("hot", f"v{i:03d}") for i in range(120)] + [(f"c{i}", "v") for i in range(120)], "k string, v string")
+    out = pairs_within(df, ["k"], "v", 10)
+    assert out.count() == 120 * 119 // 2 and out.where("v_a >= v_b").isEmpty()
