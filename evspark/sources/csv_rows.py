@@ -120,10 +120,12 @@ def _parse(lines: pa.Array, layout: Layout) -> tuple[list[str | None], list[str
     fault = pa.array([None] * parsed.num_rows, pa.string())
     for name in layout.columns:  # the first cell that fails names its line
         values = parsed.column(name).combine_chunks()
-        if name in layout.patterns:
-            fault = pc.if_else(pc.or_(pc.is_valid(fault), pc.match_substring_regex(values, layout.patterns[name])), fault, name)
+        fits = pc.match_substring_regex(values, layout.patterns[name]) if name in layout.patterns else None
         if name in layout.types:
-            fault = pc.if_else(pc.or_(pc.is_valid(fault), _castable(values, layout.types[name])), fault, name)
+            cast = _castable(values if fits is None else pc.if_else(fits, values, ""), layout.types[name])
+            fits = cast if fits is None else pc.and_(fits, cast)
+        if fits is not None:
+            fault = pc.if_else(pc.or_(pc.is_valid(fault), fits), fault, name)
     columns = [parsed.column(c).to_pylist() for c in layout.columns]
     for k, (i, cell) in enumerate(zip(at, fault.to_pylist(), strict=True)):
         if cell is None:
