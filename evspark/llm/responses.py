@@ -192,6 +192,9 @@ def is_copy(text: str, instructions: str, request: str) -> bool:
     rows = [k for x in spoken(text).split("\n") if (k := _key(x))]
     if len(own.split()) < LEAST_COPY or (isinstance(value, dict) and rows[0] != asked):
         return False
+    low = request.lower()
+    if "\\u" not in low and not all(w in low for w in rows[0].split()):
+        return False  # a word of the first line stands nowhere in the request
     told = _told(request)
     # the last line may break off
     return all(k in told for k in rows[:-1]) and (rows[-1] in told or (len(rows) > 1 and any(k.startswith(rows[-1]) for k in told)))
