@@ -13,7 +13,7 @@ import re
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from evspark.sources.exports import FORMATS, PARSED, read_tags
+from evspark.sources.exports import FORMATS, PARSED, read_tags, record_of
 
 
 class _File(InputPartition):
@@ -48,7 +48,7 @@ class _Reader(DataSourceReader):
         source = re.sub("[^a-z0-9]+", "_", os.path.splitext(os.path.basename(partition.path))[0].lower()).strip("_") or "ris"
         blocks = re.split(form.blocks, text)
         for k, block in enumerate(blocks[:-1] if form.closed else blocks):
-            if record := form.record(read_tags(block, form), source):
+            if record := record_of(read_tags(block, form), form, source):
                 row = {"file": partition.path, "block": k, **record}
                 yield tuple(row[c] for c in PARSED.names)
 

@@ -539,17 +539,17 @@ def coding_book():
     return {"variables": names, "unit": {"identity_fields": ["Study_ID", "Arm"]}}
 
 
-def coded(arm, **change):
+def coded_arm(arm, **change):
     return {"Study_ID": "A", "Arm": arm, "ES_Path": "means_sd", "N": 20, "mean": None, "sd": None, "events": None, "total": None} | change
 
 
 @pytest.mark.parametrize("change,fault", [
-    ({}, None), ({"rows": [coded("treatment")]}, "not one row of each arm"), ({"rows": [coded("treatment", Study_ID="B"), coded("comparator")]}, "a row of another study"),
-    ({"rows": [coded("treatment", events=1), coded("comparator")]}, "inputs of events_total given"), ({"rows": [coded("treatment", N="x"), coded("comparator")]}, "N is no number"), ({"warnings": None}, "other keys"),
+    ({}, None), ({"rows": [coded_arm("treatment")]}, "not one row of each arm"), ({"rows": [coded_arm("treatment", Study_ID="B"), coded_arm("comparator")]}, "a row of another study"),
+    ({"rows": [coded_arm("treatment", events=1), coded_arm("comparator")]}, "inputs of events_total given"), ({"rows": [coded_arm("treatment", N="x"), coded_arm("comparator")]}, "N is no number"), ({"warnings": None}, "other keys"),
     ({"evidence": []}, "evidence and numbers differ"), ({"evidence": [{"Arm": "treatment", "field": "N", "source": QUOTE}] * 2}, "evidence and numbers differ"), ({"evidence": [{"Arm": "x"}]}, "evidence for no field"),
 ])
 def test_coding_answers(change, fault):
-    good = {"rows": [coded("treatment"), coded("comparator", N=None)], "evidence": [{"Arm": "treatment", "field": "N", "source": QUOTE}], "unresolved_items": [], "skipped_conditions": [], "warnings": []}
+    good = {"rows": [coded_arm("treatment"), coded_arm("comparator", N=None)], "evidence": [{"Arm": "treatment", "field": "N", "source": QUOTE}], "unresolved_items": [], "skipped_conditions": [], "warnings": []}
     request = {"study_id": "A", "source_id": "S1", "sources": [PAPER]}
     assert next(answers.coding_answer(coding_book())(good | change, request), None) == fault
 
