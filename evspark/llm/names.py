@@ -9,6 +9,10 @@ or an abbreviation agrees with the word it begins and a nickname with its name,
 match. Star clustering then takes full and frequent forms as centres, none of them linked to another one, and gives each
 other form to the one centre it fits best, so that chains of errors join nothing.
 
+Names built of the same syllables meet in bands by chance, as often as the square of their number. So a key goes through the
+bands with a sketch of its letters, and a pair whose sketches lie more than an edit apart is never written; and the bands are
+worked off in STEPS steps, each of which gives its shuffle files back.
+
 Spellings are counted before anything else: however often a name occurs, it is one row from there on.
 """
 
@@ -23,7 +27,7 @@ import unicodedata
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evspark.operators.components import CORE
@@ -34,6 +38,8 @@ FIELDS = ("first_author", "journal")
 Q, ROWS, MEET_AT, MEET = 3, 4, 0.45, 0.985
 #: Keys that meet in one band up to which one task pairs them; those of larger bands are dealt to blocks.
 RUN = 1_000
+#: Steps in which the bands are worked off: one step's rows of the bands are on disk at a time.
+STEPS = 4
 #: Least Monge-Elkan similarity of two forms, and of a word with its match.
 ALIKE, WORD_ALIKE = 0.86, 0.74
 
@@ -150,38 +156,73 @@ def signature(items: set[str], seeds: np.ndarray) -> np.ndarray:
     return z.min(axis=0)
 
 
-def _band_rows(batches):
+def sketch(kind: str, key: str) -> int:
+    """64 bits: the kind in the upper two, and of each letter's first, second and further occurrences one bit each, where
+    bits that meet cancel out. A letter more or less turns one bit, so keys at one edit or swap differ in two at most.
+    """
+    bits, seen = 0, {}
+    for c in key:
+        n = seen[c] = seen.get(c, 0) + 1
+        bits ^= 1 << (2 * (ord(c) - 97) + n - 1 if "a" <= c <= "z" and n < 3 else 52 + (ord(c) + n) % 10)
+    return bits | ("person", "group", "journal").index(kind) << 62
+
+
+def _may_agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the keys of two sketches have one kind and, unless they are periodicals, may be at one edit or swap."""
+    off = a ^ b
+    return (off >> 62 == 0) & ((a < 0) | (np.bitwise_count(off) <= 2))
+
+
+def _may_agree_columns(a: Column, b: Column) -> Column:
+    off = a.bitwiseXOR(b)
+    return (F.shiftright(off, 62) == 0) & ((a < 0) | (F.bit_count(off) <= 2))
+
+
+def _band_rows(batches, first: int = 0, last: int | None = None):
+    """(id, hash, sketch) of the bands from first to before last, and with the first band of the keys without a letter."""
     n = bands()
-    seeds = _seeds(n * ROWS)
+    last = n if last is None else last
+    seeds = _seeds(n * ROWS)[first * ROWS : last * ROWS]
     weights = _seeds(n * ROWS + ROWS)[-ROWS:] | np.uint64(1)
     for pdf in batches:
         for begin in range(0, len(pdf), 500):
             part = pdf.iloc[begin : begin + 500]
+            sketches = np.array([sketch(*x) for x in zip(part["kind"], part["key"], strict=True)], dtype=np.uint64).view(np.int64)
             sigs = np.stack([signature(grams(kind, key), seeds) for kind, key in zip(part["kind"], part["key"], strict=True)])
-            mixed = (sigs.reshape(len(part), n, ROWS) * weights).sum(axis=2, dtype=np.uint64)
-            mixed ^= np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # the band
-            yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), n), "hash": mixed.ravel().view(np.int64)})
-            exact = [(i, xxhash.xxh64_intdigest(f"{kind}|{x}")) for i, kind, key in zip(part["id"], part["kind"], part["key"], strict=True) for x in shortened(kind, key)]
-            ids, hashes = zip(*exact, strict=True)
-            yield pd.DataFrame({"id": np.array(ids, dtype=np.int64), "hash": np.array(hashes, dtype=np.uint64).view(np.int64)})
+            mixed = (sigs.reshape(len(part), last - first, ROWS) * weights).sum(axis=2, dtype=np.uint64)
+            mixed ^= np.arange(first, last, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # the band
+            yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), last - first), "hash": mixed.ravel().view(np.int64), "sketch": np.repeat(sketches, last - first)})
+            if first == 0:
+                exact = [
+                    (i, xxhash.xxh64_intdigest(f"{kind}|{x}"), s)
+                    for i, kind, key, s in zip(part["id"], part["kind"], part["key"], sketches, strict=True) for x in shortened(kind, key)
+                ]
+                ids, hashes, of = zip(*exact, strict=True)
+                yield pd.DataFrame({"id": np.array(ids, dtype=np.int64), "hash": np.array(hashes, dtype=np.uint64).view(np.int64), "sketch": np.array(of, dtype=np.int64)})
 
 
 def _meetings(batches):
-    """Pairs of ids with one hash, from rows sorted by hash: one pass over the bands, RUN ids of a band in memory at most.
-    Of a larger band the ids alone, with the hash and without a partner."""
-    rest = np.empty((0, 2), dtype=np.int64)
+    """Pairs of ids with one hash that may agree, from rows sorted by hash: one pass over the bands, RUN ids of a band in
+    memory at most. Of a larger band the ids alone, with the hash and without a partner. Without sketches any pair may agree.
+    """
+    rest = np.empty((0, 3), dtype=np.int64)
     large: int | None = None  # the hash of the large band that goes on
 
     def alone(rows):
-        return pd.DataFrame({"hash": rows[:, 0], "id": rows[:, 1], "id2": pd.array([None] * len(rows), dtype="Int64")})
+        return pd.DataFrame({"hash": rows[:, 0], "id": rows[:, 1], "id2": pd.array([None] * len(rows), dtype="Int64"), "sketch": rows[:, 2]})
 
-    def paired(left, right):
-        x = np.concatenate(left)
-        return pd.DataFrame({"hash": np.zeros(len(x), dtype=np.int64), "id": x, "id2": pd.array(np.concatenate(right), dtype="Int64")})
+    def paired(rows, size):
+        """The pairs within bands of these sizes, which lie one behind the other."""
+        after = np.repeat(np.cumsum(size), size) - np.arange(len(rows)) - 1  # rows of the band behind each row
+        left = np.repeat(np.arange(len(rows)), after)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+        some = _may_agree(rows[left, 2], rows[right, 2]) & (rows[left, 1] != rows[right, 1])
+        a, b = rows[left[some], 1], rows[right[some], 1]
+        return pd.DataFrame({"hash": np.zeros(len(a), dtype=np.int64), "id": np.minimum(a, b), "id2": pd.array(np.maximum(a, b), dtype="Int64"), "sketch": np.zeros(len(a), dtype=np.int64)})
 
     for pdf in itertools.chain(batches, [None]):
         if pdf is not None:
-            rest = np.concatenate((rest, pdf[["hash", "id"]].to_numpy(dtype=np.int64)))
+            rest = np.concatenate((rest, pdf.reindex(columns=["hash", "id", "sketch"], fill_value=0).to_numpy(dtype=np.int64)))
         if large is not None:
             go_on = int(np.searchsorted(rest[:, 0], large, "right"))
             if go_on:
@@ -199,31 +240,33 @@ def _meetings(batches):
         done, rest = rest[:whole], rest[whole:]
         begin = np.flatnonzero(np.concatenate(([True], np.diff(done[:, 0]) != 0))) if whole else np.empty(0, dtype=np.int64)
         size = np.diff(np.concatenate((begin, [whole])))
-        left, right, waiting = [], [], 0
-        for b, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-            if n > RUN:
-                yield alone(done[b : b + n])
-                continue
-            ids = np.unique(done[b : b + n, 1])
-            for i in range(len(ids) - 1):
-                left.append(np.full(len(ids) - 1 - i, ids[i]))
-                right.append(ids[i + 1 :])
-                waiting += len(ids) - 1 - i
-            if waiting > 100_000:
-                yield paired(left, right)
-                left, right, waiting = [], [], 0
-        if waiting:
-            yield paired(left, right)
+        for b, n in zip(begin[size > RUN].tolist(), size[size > RUN].tolist(), strict=True):
+            yield alone(done[b : b + n])
+        several = (size > 1) & (size <= RUN)
+        done, size = done[np.repeat(several, size)], size[several]
+        pairs, ends = np.cumsum(size * (size - 1) // 2), np.cumsum(size)
+        b = 0
+        while b < len(size):  # some 100,000 pairs at once, or those of one band
+            e = max(b + 1, int(np.searchsorted(pairs, 100_000 + (pairs[b - 1] if b else 0), "right")))
+            yield paired(done[ends[b] - size[b] : ends[e - 1]], size[b:e])
+            b = e
 
 
 def meeting(keys: DataFrame, run: int = RUN) -> DataFrame:
-    """(id, id2): pairs of keys (id, kind, key) that meet in a band or without a letter."""
+    """(id, id2): pairs of keys (id, kind, key) that meet in a band or without a letter, less those of persons and groups that
+    no one edit or swap can make equal and those of two kinds."""
     parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a fixed number of partitions: the bytes of a key say nothing of what its signature costs
-    dealt = keys.repartition(parts, "id").mapInPandas(_band_rows, "id long, hash long").repartition(parts, "hash").sortWithinPartitions("hash")
-    met = checkpoint(dealt.mapInPandas(_meetings, "hash long, id long, id2 long"))
-    large = pairs_within(met.where("id2 IS NULL").select("hash", "id"), ["hash"], "id", run)
-    return met.where("id2 IS NOT NULL").select("id", "id2").unionByName(large.select(F.col("id_a").alias("id"), F.col("id_b").alias("id2"))).distinct()
+    dealt = keys.repartition(parts, "id")
+    steps = []
+    for some in np.array_split(np.arange(bands()), STEPS):
+        rows = functools.partial(_band_rows, first=int(some[0]), last=int(some[-1]) + 1)
+        banded = dealt.mapInPandas(rows, "id long, hash long, sketch long").repartition(parts, "hash").sortWithinPartitions("hash")
+        steps.append(checkpoint(banded.mapInPandas(_meetings, "hash long, id long, id2 long, sketch long").distinct(), tidy=True))
+    met = functools.reduce(DataFrame.unionByName, steps)
+    large = pairs_within(met.where("id2 IS NULL").select("hash", F.struct("id", "sketch").alias("key")), ["hash"], "key", run)
+    large = large.where(_may_agree_columns(F.col("key_a.sketch"), F.col("key_b.sketch")))
+    return met.where("id2 IS NOT NULL").select("id", "id2").unionByName(large.select(F.col("key_a.id").alias("id"), F.col("key_b.id").alias("id2"))).distinct()
 
 
 # ---- verification
@@ -385,13 +428,13 @@ def clusters(names: DataFrame) -> DataFrame:
     schema = "field string, name string, n long, kind string, base string, given string, middle string, key string"
     parsed = checkpoint(names.select("field", "name", F.col("n").cast("long").alias("n")).mapInPandas(_parsed, schema).withColumn(
         "form", F.concat_ws("|", "kind", "base", "given", "middle")
-    ))
+    ), tidy=True)
     forms = parsed.groupBy("form", "kind", "base", "given", "middle", "key").agg(F.sum("n").alias("n"))
     base = parsed.groupBy("kind", "base").agg(F.sum("n").alias("base_n"), F.count("*").alias("base_forms"))
-    forms = checkpoint(forms.join(base, ["kind", "base"]))
+    forms = checkpoint(forms.join(base, ["kind", "base"]), tidy=True)
 
     # keys that meet in a band or without a letter: only numbers are shuffled, and become keys again for the pairs that met
-    keys = checkpoint(forms.select("kind", "key").distinct().withColumn("id", F.xxhash64("kind", "key")))
+    keys = checkpoint(forms.select("kind", "key").distinct().withColumn("id", F.xxhash64("kind", "key")), tidy=True)
     met = meeting(keys)
     met = met.join(keys, "id").join(keys.select("kind", F.col("key").alias("key2"), F.col("id").alias("id2")), ["kind", "id2"])
     met = met.select("kind", F.least("key", "key2").alias("key"), F.greatest("key", "key2").alias("key2"))
@@ -400,11 +443,11 @@ def clusters(names: DataFrame) -> DataFrame:
     own = forms.select("kind", "key").distinct().select("kind", "key", F.col("key").alias("key2"))
     second = forms.select("kind", *[F.col(c).alias(c + "2") for c in ("key", "base", "given", "middle", "base_n", "base_forms")], F.col("form").alias("v"))
     pairs = (
-        forms.withColumnRenamed("form", "u").join(checkpoint(met).unionByName(own), ["kind", "key"]).join(second, ["kind", "key2"])
+        forms.withColumnRenamed("form", "u").join(checkpoint(met, tidy=True).unionByName(own), ["kind", "key"]).join(second, ["kind", "key2"])
         .where("u <> v AND (key <> key2 OR u < v)")
     )
     columns = ["u", "v", "kind", "base", "given", "middle", "base_n", "base_forms", "base2", "given2", "middle2", "base_n2", "base_forms2"]
-    links = checkpoint(pairs.select(*columns).mapInPandas(_compared, "u string, v string, s double"))
+    links = checkpoint(pairs.select(*columns).mapInPandas(_compared, "u string, v string, s double"), tidy=True)
     # an initial or an abbreviation is never the centre if a full form is at hand
     full = F.when(F.col("kind") == "journal", F.length("base")).otherwise((F.length("given") > 1).cast("int"))
     weighted = forms.select("form", full.alias("full"), "n")

@@ -115,3 +115,62 @@ def test_large_bands_are_dealt_to_blocks(spark, rows, monkeypatch):
         alone, pairs = out[out["id2"].isna()], out[out["id2"].notna()]
         assert sorted(zip(pairs["id"], pairs["id2"])) == [(0, 1), (0, 2), (1, 2), (7, 8)]
         assert sorted(zip(alone["hash"], alone["id"])) == [(2, i) for i in range(40)] + [(4, i) for i in range(25)]
+
+
+def syllables(n, seed=5):
+    """Surnames of few syllables, each with one that is an edit or a swap away."""
+    import random
+
+    rng = random.Random(seed)
+    parts = [a + b + c for a in "bdgklmt" for b in "aio" for c in "lnr"]
+    spelled = {"".join(rng.choice(parts) for _ in range(4)) for _ in range(n)}
+    for w in sorted(spelled)[: n // 4]:
+        i = rng.randrange(len(w) - 1)
+        spelled.add(rng.choice([w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "e" + w[i + 1 :], w[:i] + "ß" + w[i:]]))
+    return sorted(spelled)
+
+
+def test_names_of_common_syllables_do_not_meet_by_chance(spark, rows):
+    """What chance brings into a band is not written, and the rows of the bands give their disk back."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return sum(f.length() for f in map(files.apply, range(files.size())) if f.getName().startswith("shuffle_"))
+
+    spelled = syllables(800)
+    keys = spark.createDataFrame([(i, "person", w) for i, w in enumerate(spelled)] + [(-1, "group", spelled[0])], "id long, kind string, key string")
+    want = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(spelled), 2) if abs(len(a) - len(b)) < 2 and names.near(a, b) == 1}
+    before = shuffled()
+    met = names.meeting(keys)
+    written = shuffled() - before
+    found = {tuple(sorted((r["id"], r["id2"]))) for r in rows(met)}
+    assert len(want) > 150 and want <= found and len(found) < 2 * len(want)
+    assert written < 200_000  # 0.1 million rows of bands
+
+
+def test_sketches_of_one_edit(spark, rows):
+    """Two bits at most, whatever the letters; and the two ways to compare sketches agree."""
+    import random
+
+    import numpy as np
+
+    rng, letters = random.Random(7), "aabbcdefgßé9 ж"
+    x, y = [], []
+    for _ in range(2000):
+        w = "".join(rng.choice(letters) for _ in range(rng.randint(2, 15)))
+        i, c = rng.randrange(len(w) - 1), rng.choice(letters)
+        v = rng.choice([w[:i] + w[i + 1 :], w[:i] + c + w[i:], w[:i] + c + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[::-1][:i] + c * 3])
+        kind = rng.choice([("person", "person"), ("group", "group"), ("journal", "journal"), ("person", "journal"), ("group", "person")])
+        x.append((kind[0], w))
+        y.append((kind[1], v))
+    a, b = (np.array([names.sketch(*k) for k in v], dtype=np.uint64).view(np.int64) for v in (x, y))
+    may = names._may_agree(a, b)
+    for (kind, w), (kind2, v), m in zip(x, y, may, strict=True):
+        if kind != kind2 or kind == "journal":
+            assert m == (kind == kind2)
+        elif names.near(w, v) <= 1:
+            assert m
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(zip(a.tolist(), b.tolist(), strict=True))], "i int, a long, b long")
+    out = {r["i"]: r["m"] for r in rows(df.select("i", names._may_agree_columns(df["a"], df["b"]).alias("m")))}
+    assert [out[i] for i in range(len(may))] == may.tolist() and 0 < sum(may) < len(may)
